@@ -1,0 +1 @@
+"""No operator of this library is a stream: every input is bounded, so all jobs are batch DataFrames."""
