@@ -559,11 +559,11 @@ def _loci(spark, sf):
 def variant_ids(spark, sf):
     c, p, a = F.col("contig"), F.col("pos"), F.col("alleles")
     return _loci(spark, sf).select(
-        "s", "pos", V.ref_allele(a).alias("ref"), V.alt_allele(a).alias("alt"), V.plain_contig(c).alias("contig"),
+        "s", "pos", V.ref_allele(a).alias("ref"), V.alt_allele(a).alias("alt"), V.plain_contig(c).alias("plain"),
         V.variant_id(c, p, a).alias("id"), V.variant_id(c, p, a, 8).alias("short_id"),
         F.array_join(V.variant_ids(c, p, a), ",").alias("ids"),
         F.array_join(V.variant_ids(c, p, a, 9), ",").alias("short_ids"),
-        V.variant_key(p, F.col("ref"), F.col("alt")).alias("variant_key"))
+        V.variant_key(p, F.col("ref"), F.col("alt")).alias("variant_key")).withColumnRenamed("plain", "contig")
 
 
 @query
