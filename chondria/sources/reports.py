@@ -56,7 +56,7 @@ def read_coverage_metrics(spark: SparkSession, path) -> DataFrame:
     def field(name):
         place = F.array_position(names, name).cast("int")
         return number(F.when(place > 0, F.get(values, place - 1)))
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     broken = F.coalesce(F.size(lines) < 2, F.lit(True)) | ~F.array_contains(names, "MEDIAN_COVERAGE") | \
         ~F.array_contains(names, "MEAN_COVERAGE")
     checked = F.when(broken, F.raise_error(F.concat(F.lit("no coverage metrics in "), "_metadata.file_path")))

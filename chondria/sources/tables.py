@@ -26,8 +26,8 @@ def last_per_key(rows: DataFrame, keys: list[str], values: list[str], order: str
     return rows.groupBy(*keys).agg(last, F.max(order).alias(order)).select(*keys, "last.*", order)
 
 
-def read_commented(spark: SparkSession, path: str, keys: list[str], values: list[str], sep: str = "\t") -> DataFrame:
-    """String table whose ``#`` starts a comment anywhere in a line; the last row of a key wins."""
+def read_commented(spark: SparkSession, path: str, needed: list[str], sep: str = "\t") -> DataFrame:
+    """String table whose ``#`` starts a comment anywhere in a line; ``ord`` as in :func:`read_strings`."""
     lines = (spark.read.text(path)
              .select(F.regexp_replace("value", "#.*$", "").alias("value"), F.struct(*file_order()).alias("ord"))
              .filter(F.trim("value") != ""))
@@ -39,9 +39,8 @@ def read_commented(spark: SparkSession, path: str, keys: list[str], values: list
     parsed = (lines.filter(F.col("value") != header["value"])
               .select("ord", F.from_csv("value", ddl, {"sep": sep}).alias("r"))
               .select("ord", "r.*"))
-    require_columns(parsed, keys + values, path)
-    clean = parsed.select("ord", *[text_or_null(F.col(f"`{n}`")).alias(n) for n in dict.fromkeys(keys + values)])
-    return last_per_key(clean, [f"`{k}`" for k in keys], [f"`{v}`" for v in values], "ord")
+    require_columns(parsed, needed, path)
+    return parsed.select(*[text_or_null(F.col(f"`{n}`")).alias(n) for n in needed], "ord")
 
 
 def read_strings(spark: SparkSession, path: str, needed: list[str], sep: str = "\t") -> DataFrame:
