@@ -94,11 +94,14 @@ def protein_domains_of_ranked(ranked: Column) -> Column:
     return _text_set(F.flatten(F.transform(known, lambda t: t["domains"])))
 
 
+def _worst(terms: Column) -> Column:
+    """``rank, place, term`` of the worst term; unknown terms come last, equal ranks keep the array order."""
+    return F.array_min(F.transform(terms, lambda t, i: F.struct(
+        F.coalesce(severity_rank(t), F.lit(len(SEVERITY))).alias("rank"), i.alias("place"), t.alias("term"))))
+
+
 def major_term(terms: Column) -> Column:
-    """Worst term; unknown terms come last, equal ranks keep the array order."""
-    ranked = F.transform(terms, lambda t, i: F.struct(
-        F.coalesce(severity_rank(t), F.lit(len(SEVERITY))).alias("rank"), i.alias("place"), t.alias("term")))
-    return F.array_min(ranked)["term"]
+    return _worst(terms)["term"]
 
 
 def category(rank: Column) -> Column:
@@ -146,16 +149,17 @@ def ranked_transcripts(transcripts: Column, most_severe: Column, coding: bool =
             *[t[f].alias(f) for f in keep],
             F.filter(t["consequence_terms"], lambda x: ~F.array_contains(omitted, x)).alias("consequence_terms"),
             _domain_names(t["domains"]).alias("domains"),
-            major_term(t["consequence_terms"]).alias("major_consequence"),
+            _worst(t["consequence_terms"]).alias("_worst"),
             t["amino_acids"].alias("_aa"), t["protein_start"].alias("_at"))
 
     def described(t):
-        rank = severity_rank(t["major_consequence"])
-        out = (t.withField("category", category(rank))
-               .withField("hgvs", formatted_hgvs(t["hgvsc"], t["hgvsp"], t["major_consequence"], t["_aa"], t["_at"]))
-               .withField("major_consequence_rank", rank)
-               .dropFields("_aa", "_at"))
-        return out if coding else out.dropFields("domains", "hgvsp")
+        major, rank = t["_worst"]["term"], t["_worst"]["rank"]
+        rank = F.when(rank < len(SEVERITY), rank)
+        keep = BASE_FIELDS + (CODING_FIELDS + ["domains"] if coding else [])
+        hgvs = formatted_hgvs(t["hgvsc"], t["hgvsp"], major, t["_aa"], t["_at"])
+        return [*[t[f].alias(f) for f in keep if coding or f != "hgvsp"],
+                t["consequence_terms"].alias("consequence_terms"), major.alias("major_consequence"),
+                category(rank).alias("category"), hgvs.alias("hgvs"), rank.alias("major_consequence_rank")]
 
     def order(t):
         steps = [(F.coalesce(t["biotype"], F.lit("")) == "protein_coding", 4),
@@ -164,8 +168,8 @@ def ranked_transcripts(transcripts: Column, most_severe: Column, coding: bool =
         return sum((F.when(flag, 0).otherwise(weight) for flag, weight in steps), F.lit(1))
 
     kept = F.filter(F.transform(transcripts, reduced), lambda t: F.size(t["consequence_terms"]) > 0)
-    keyed = F.transform(kept, lambda t, i: F.struct(order(t).alias("key"), i.alias("place"), described(t).alias("t")))
-    return F.transform(F.sort_array(keyed), lambda e, i: e["t"].withField("transcript_rank", i))
+    keyed = F.transform(kept, lambda t, i: F.struct(order(t).alias("key"), i.alias("place"), t.alias("t")))
+    return F.transform(F.sort_array(keyed), lambda e, i: F.struct(*described(e["t"]), i.alias("transcript_rank")))
 
 
 def _json_object(pairs: Column) -> Column:

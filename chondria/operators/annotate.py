@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chondria import schema
 from chondria.functions.casts import number
 from chondria.functions.variant import variant_key
-from chondria.operators.joins import keep_listed, lookup_join, prefixes
+from chondria.operators.joins import keep_listed, lookup_join, prefixes, settled
 from chondria.operators.matrix import union_samples
 from chondria.sources.calls import info_value, tag_value
 
@@ -89,7 +89,7 @@ def variants_with(rows: DataFrame, is_call: Column, site: list[str]) -> DataFram
     """Rows of the sites where some row is a call."""
     hit = rows.groupBy(*site).agg(F.max(is_call).alias("_any")).filter("_any").select(*site)
     others = [c for c in ("SampleID", "s") if c in rows.columns] or site
-    return lookup_join(rows, hit, site, others, "left_semi")
+    return lookup_join(rows, hit, site, others, "left_semi", computed=True)
 
 
 def uncontaminated(rows: DataFrame, status: DataFrame, key: str, spread: list[str]) -> DataFrame:
@@ -198,13 +198,13 @@ def merged_resources(*tables: DataFrame) -> DataFrame:
     return rows.groupBy(*KEY).agg(*last)
 
 
-def look_up(rows: DataFrame, resources: DataFrame, spread: list[str], bound: DataFrame | None = None) -> DataFrame:
-    """Joins merged resources to rows with string columns ``REF, POS, ALT``; all resource columns exist after it."""
-    table = resources.withColumnsRenamed({"ref": "REF", "pos": "POS", "alt": "ALT"})
+def look_up(rows: DataFrame, tables: list[DataFrame], spread: list[str]) -> DataFrame:
+    """Joins resource tables to rows with string columns ``REF, POS, ALT``; all resource columns exist after it."""
+    table = merged_resources(*tables).withColumnsRenamed({"ref": "REF", "pos": "POS", "alt": "ALT"})
     for name, kind in RESOURCES.items():
         if name not in table.columns:
             table = table.withColumn(name, F.lit(None).cast(kind))
-    return lookup_join(rows, table, ["REF", "POS", "ALT"], spread, bound=bound)
+    return lookup_join(rows, table, ["REF", "POS", "ALT"], spread, bound=union_samples(*tables).select(*KEY), computed=True)
 
 
 def _found(name: str, field: str, default) -> Column:
@@ -255,8 +255,9 @@ def haplogroup_status(exact_token: bool = False) -> Column:
             .when(F.coalesce(same, F.lit(False)), "haplo_var_match").otherwise("haplo_var_diff_haplo"))
 
 
-def annotated(rows: DataFrame, resources: DataFrame, spread: list[str], bound: DataFrame | None = None) -> DataFrame:
-    out = look_up(rows, resources, spread, bound).withColumns({**population_columns(), **clinical_columns()})
+def annotated(rows: DataFrame, resources: list[DataFrame], spread: list[str]) -> DataFrame:
+    """Rows with the population and clinical columns of the resource tables, and their haplogroup status if known."""
+    out = look_up(rows, resources, spread).withColumns({**population_columns(), **clinical_columns()})
     if "Haplogroup" in out.columns:
         out = out.withColumn("Haplogroup_Var_Status", haplogroup_status())
     return out.drop(*RESOURCES)
@@ -267,13 +268,15 @@ def annotated(rows: DataFrame, resources: DataFrame, spread: list[str], bound: D
 def cohort_counts(rows: DataFrame, count_all_rows: bool = False) -> DataFrame:
     """Adds ``variant_key``, ``in_cohort_AC`` per variant and ``Freq`` per sample.
 
-    Counts carriers, or every row with ``count_all_rows``. The counts are aggregates joined back as lookups.
+    Counts carriers, or every row with ``count_all_rows``. One aggregation finds both counts, combined on the
+    map side; they are joined back as lookups.
     """
     rows = rows.withColumn("variant_key", variant_key(F.col("POS"), F.col("REF"), F.col("ALT")))
     counted = F.lit(True) if count_all_rows else F.col("Heteroplasmy") > 0
-    n = F.count_if(counted)
-    variants = rows.groupBy("variant_key").agg(n.alias("in_cohort_AC"))
-    samples = rows.groupBy("SampleID").agg(n.alias("Freq"))
+    both = settled(rows.groupingSets([["variant_key"], ["SampleID"]], "variant_key", "SampleID").agg(
+        F.count_if(counted).alias("n"), F.grouping("variant_key").alias("by_sample")))
+    variants = both.filter("by_sample = 0").select("variant_key", F.col("n").alias("in_cohort_AC"))
+    samples = both.filter("by_sample = 1").select("SampleID", F.col("n").alias("Freq"))
     out = lookup_join(rows, variants, ["variant_key"], ["SampleID"])
     return lookup_join(out, samples, ["SampleID"], ["variant_key"])
 

@@ -1,5 +1,7 @@
 """Joins and numbering that stay even when one key holds a large share of the rows."""
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 BROADCAST_ROWS = 200_000
@@ -11,15 +13,37 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` stored once in the checkpoint folder, for an aggregate that is both counted and joined.
+
+    The folder is the session's ``spark.checkpoint.dir``. Only a local session without one gets a folder of its
+    own; on a cluster without one ``df`` is returned as it is and computed again where it is used.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            return df
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint()
+
+
 def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], how: str = "left",
-                bound: DataFrame | None = None, max_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
-    """Join ``left`` with a table that has one row per key.
+                bound: DataFrame | None = None, computed: bool = False, max_rows: int = BROADCAST_ROWS,
+                salts: int = SALTS) -> DataFrame:
+    """Join ``left`` with a lookup table that has few rows per key.
 
     The lookup side is counted first: within ``max_rows`` it is broadcast and ``left`` is not shuffled. Beyond
     that the rows of a hot key are spread over ``salts`` partitions by a hash of the ``spread`` columns, and the
-    lookup side is repeated once per salt. ``bound`` is a cheaper table with at least as many rows to count.
+    lookup side is repeated once per salt. ``bound`` is a cheaper table with at least as many rows to count
+    first; ``computed`` says that the lookup side is costly and is to be settled.
     """
-    if is_small(right if bound is None else bound, max_rows):
+    small = bound is not None and is_small(bound, max_rows)
+    if not small:
+        right = settled(right) if computed else right
+        small = is_small(right, max_rows)
+    if small:
         return left.join(F.broadcast(right), keys, how)
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

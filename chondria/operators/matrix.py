@@ -79,14 +79,17 @@ def resolved(hl: Column, dp: Column, ft: Column, coverage: Column, threshold: in
             if_known(hom_ref, F.array(F.lit("PASS")), ft).alias("FT")]
 
 
-def resolve_hom_refs(calls: DataFrame, coverage: DataFrame, threshold: int = 100) -> DataFrame:
+def resolve_hom_refs(calls: DataFrame, coverage: DataFrame, threshold: int = 100,
+                     sites: DataFrame | None = None) -> DataFrame:
     """Cells of the called sites: called, reference or no call, from calls and coverage ``(s, pos, coverage)``.
 
     Coverage rows are matched with the sites at their position; a site table that is not small is salted by
-    sample. The result holds each cell with a call or a coverage row once.
+    sample. The result holds each cell with a call or a coverage row once. ``sites`` saves finding the sites of
+    the calls when they are stored already.
     """
-    sites = calls.select(*SITE).distinct()
-    covered = lookup_join(coverage.select("s", "pos", "coverage"), sites, ["pos"], ["s"], "inner")
+    found = calls.select(*SITE).distinct() if sites is None else sites.select(*SITE)
+    covered = lookup_join(coverage.select("s", "pos", "coverage"), found, ["pos"], ["s"], "inner",
+                          computed=sites is None)
     cells = calls.join(covered, ["s", *SITE], "full")
     return cells.select("s", *SITE, "MQ", "TLOD",
                         *resolved(F.col("HL"), F.col("DP"), F.col("FT"), F.col("coverage"), threshold))

@@ -58,10 +58,10 @@ def combine_job(spark: SparkSession, calls_path: str, manifest_path: str, covera
         return matrix.unique_cells(entries.withColumn("pos", pos), ["s", *matrix.SITE])
     calls = stage(spark, f"{out}/raw_matrix", raw, overwrite)
     calls = calls.withColumn("FT", matrix.cleaned_filters(F.col("FT")))
-    cells = write_matrix(matrix.resolve_hom_refs(calls, coverage, threshold), f"{out}/matrix", overwrite)
     bed = read_bed(spark, artifact_bed).withColumn("contig", F.lit("MT"))
-    sites = calls.select(F.lit("MT").alias("contig"), *matrix.SITE).distinct()
-    sites = write_stage(matrix.flag_artifacts(sites, bed), f"{out}/sites", overwrite)
+    found = calls.select(F.lit("MT").alias("contig"), *matrix.SITE).distinct()
+    sites = write_stage(matrix.flag_artifacts(found, bed), f"{out}/sites", overwrite)
+    cells = write_matrix(matrix.resolve_hom_refs(calls, coverage, threshold, sites), f"{out}/matrix", overwrite)
     lines = body_lines(cells.withColumn("contig", F.lit("MT")), sites, samples)
     write_vcf(lines, samples, f"{out}/combined_vcf")
     return cells

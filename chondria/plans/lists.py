@@ -21,17 +21,17 @@ RESOURCE_FILES = {
 }
 
 
-def read_resources(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Merged resource table from the files in ``paths``, named as in ``RESOURCE_FILES``."""
+def read_resources(spark: SparkSession, paths: dict[str, str]) -> list[DataFrame]:
+    """Resource tables of the files in ``paths``, named as in ``RESOURCE_FILES``."""
     parts = []
     for name, path in paths.items():
         normalise, columns, commented = RESOURCE_FILES[name]
         read = tables.read_commented if commented else tables.read_strings
         parts.append(normalise(read(spark, path, columns)))
-    return A.merged_resources(*parts)
+    return parts
 
 
-def single_lists(rows: DataFrame, resources: DataFrame, haplogroups: DataFrame, status: DataFrame | None = None,
+def single_lists(rows: DataFrame, resources: list[DataFrame], haplogroups: DataFrame, status: DataFrame | None = None,
                  metadata: DataFrame | None = None, max_freq: int = 100,
                  positional: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(prefilter, final)`` of long records, every sample annotated on its own.
@@ -55,7 +55,7 @@ def single_lists(rows: DataFrame, resources: DataFrame, haplogroups: DataFrame,
     return prefilter, A.keep_candidates(prefilter, max_freq).orderBy(*A.list_order(prefilter, disease_first=False))
 
 
-def cohort_lists(rows: DataFrame, resources: DataFrame, probands: DataFrame | None = None, max_freq: int = 100,
+def cohort_lists(rows: DataFrame, resources: list[DataFrame], probands: DataFrame | None = None, max_freq: int = 100,
                  carriers_only: bool = False, count_all_rows: bool = False,
                  prefix: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(prefilter, final)`` of long cohort records with in-cohort counts; ``probands`` restricts the samples."""

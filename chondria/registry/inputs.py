@@ -39,36 +39,41 @@ select 'S' || cast(s_suppkey as string) as s, s_suppkey as sample_idx,
        case when s_suppkey % 10 = 4 then 'yes' else 'NO' end as contamination
 from supplier"""
 
+# Numbers that determine position and alleles of a line item; grouping is by these, texts are made afterwards.
+_LINE_KEYS = """l_suppkey as supp, cast((l_partkey * 37) % 16569 + 1 as int) as pos, cast(l_partkey % 4 as int) as rb,
+             case when l_partkey % 11 = 0 then 1 else 0 end as rl,
+             cast((l_partkey + 1 + l_linenumber % 3) % 4 as int) as ab, case when l_partkey % 13 = 0 then 1 else 0 end as al"""
+_LINE_VALUES = """cast(floor(l_quantity * 40) as int) as dp, cast(floor(l_quantity) as int) as q, l_quantity as tlod,
+             cast(round(l_discount * 100) as int) as hl, cast(round(l_tax * 500) as int) as mq, l_linenumber as ln,
+             case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end as flag"""
+_ALLELES = """substr('ACGT', rb + 1, 1) || case when rl = 1 then 'TT' else '' end as ref,
+       substr('ACGT', ab + 1, 1) || case when al = 1 then 'G' else '' end as alt"""
+
 # One row per called cell. HL is NULL for some calls, filters are NULL for some.
-_CALL_VALUES = """
-       max(cast(floor(l_quantity * 40) as int)) as DP,
-       case when min(l_linenumber) = 7 then null
-            else cast(max(cast(round(l_discount * 100) as int)) as double) / cast(10 as double) end as HL,
-       max(cast(cast(round(l_tax * 500) as int) as double)) as MQ,
-       max(l_quantity) as TLOD, min(l_returnflag) as flag"""
 SQL["calls"] = f"""
-select s, pos, ref, alt, {_CALL_VALUES}
-from (select 'S' || cast(l_suppkey as string) as s, {_cols(LINE_SITE)}, l_quantity, l_discount, l_tax,
-             l_linenumber, l_returnflag from lineitem) as l
-group by s, pos, ref, alt"""
+select 'S' || cast(supp as string) as s, pos, {_ALLELES}, dp as DP,
+       case when ln = 7 then null else cast(hl as double) / cast(10 as double) end as HL, cast(mq as double) as MQ,
+       tlod as TLOD, substr('ANR', flag + 1, 1) as flag
+from (select supp, pos, rb, rl, ab, al, max(dp) as dp, max(hl) as hl, max(mq) as mq, max(tlod) as tlod, min(ln) as ln,
+             min(flag) as flag
+      from (select {_LINE_KEYS}, {_LINE_VALUES} from lineitem) as l group by supp, pos, rb, rl, ab, al) as g"""
 # The same for 25 families, the samples of the queries whose output has one column or cell per sample.
-SQL["family_calls"] = SQL["calls"].replace("cast(l_suppkey as string)", "cast(l_suppkey % 25 as string)").replace(
-    "'S' ||", "'F' ||")
+SQL["family_calls"] = SQL["calls"].replace("l_suppkey as supp", "l_suppkey % 25 as supp").replace("'S' ||", "'F' ||")
 SQL["families"] = """
 select 'F' || cast(n_nationkey as string) as s, cast(n_nationkey as bigint) as sample_idx from nation"""
 
 # Depth at the site of a line item or at that of the neighbouring part, so that calls and coverage overlap.
 SQL["coverage"] = """
-select s, pos, max(cov) as coverage
-from (select 'S' || cast(l_suppkey as string) as s,
-             cast(((case when l_linenumber % 2 = 0 then l_partkey
-                         else l_partkey + 1 - 2 * (l_partkey % 2) end) * 37) % 16569 + 1 as int) as pos,
-             case when (l_suppkey + l_partkey) % 29 = 0 then null
-                  else cast(floor(l_quantity * 30) as int) end as cov
-      from lineitem) as l
-group by s, pos"""
-SQL["family_coverage"] = SQL["coverage"].replace("cast(l_suppkey as string)", "cast(l_suppkey % 25 as string)").replace(
-    "'S' ||", "'F' ||")
+select 'S' || cast(supp as string) as s, pos, coverage
+from (select supp, pos, max(cov) as coverage
+      from (select l_suppkey as supp,
+                   cast(((case when l_linenumber % 2 = 0 then l_partkey
+                               else l_partkey + 1 - 2 * (l_partkey % 2) end) * 37) % 16569 + 1 as int) as pos,
+                   case when (l_suppkey + l_partkey) % 29 = 0 then null
+                        else cast(floor(l_quantity * 30) as int) end as cov
+            from lineitem) as l
+      group by supp, pos) as g"""
+SQL["family_coverage"] = SQL["coverage"].replace("l_suppkey as supp", "l_suppkey % 25 as supp").replace("'S' ||", "'F' ||")
 
 SQL["bed"] = """
 select 'MT' as contig, cast((p_partkey * 37 + 5) % 16569 as int) as start,
@@ -81,29 +86,25 @@ select 'S' || cast(l_suppkey as string) as s, {LINE_SITE['pos']} as pos, {LINE_S
        l_linenumber, l_partkey, l_orderkey, cast(floor(l_quantity) as int) as q, l_discount as af, l_returnflag as flag
 from lineitem"""
 
-_INFO = ("'AC=' || cast(min(l_linenumber) as string) || ';CSQ=' || alt || '|' || "
-         "(case when min(l_linenumber) % 3 = 0 then 'synonymous_variant' when min(l_linenumber) % 3 = 1 "
-         "then 'missense_variant' else 'stop_gained' end) || '|MODERATE|MT-' || min(l_returnflag) || "
-         "'|ENSG' || cast(min(l_linenumber) as string) || '|Transcript|ENST1|protein_coding|1/1||ENST1:c.' || "
-         "cast(pos as string) || ref || '>' || alt || '|ENSP1:p.X|1|2|3|K/N|aaA/aaC||0|1||SNV'")
+_INFO = ("'AC=' || cast(ln as string) || ';CSQ=' || alt || '|' || "
+         "(case when ln % 3 = 0 then 'synonymous_variant' when ln % 3 = 1 then 'missense_variant' else 'stop_gained' end) || "
+         "'|MODERATE|MT-' || substr('ANR', flag + 1, 1) || '|ENSG' || cast(ln as string) || "
+         "'|Transcript|ENST1|protein_coding|1/1||ENST1:c.' || cast(pos as string) || ref || '>' || alt || "
+         "'|ENSP1:p.X|1|2|3|K/N|aaA/aaC||0|1||SNV'")
 # Annotated records in long form; the cell layout varies and FILTER is missing for some.
 SQL["records"] = f"""
-select s as SampleID, 'chrM' as CHROM, cast(pos as string) as POS, ref as REF, alt as ALT,
-       case when min(l_linenumber) = 6 then null when min(l_returnflag) = 'R' then 'weak_evidence;strand_bias'
-            when min(l_returnflag) = 'A' then 'possible_numt' else 'PASS' end as "FILTER",
+select 'S' || cast(supp as string) as SampleID, 'chrM' as CHROM, cast(pos as string) as POS, ref as REF, alt as ALT,
+       case when ln = 6 then null when flag = 2 then 'weak_evidence;strand_bias' when flag = 0 then 'possible_numt'
+            else 'PASS' end as "FILTER",
        {_INFO} as INFO,
-       case when min(l_linenumber) % 4 = 0 then 'GT:DP:HL' else 'GT:AD:AF:DP' end as FORMAT,
-       case when min(l_linenumber) % 4 = 0
-            then '0/1:' || cast(max(cast(floor(l_quantity * 40) as int)) as string) || ':0.' ||
-                 cast(max(cast(round(l_discount * 100) as int)) as string)
-            else (case when min(l_linenumber) = 5 then '0/0' else '0/1' end) || ':10,' ||
-                 cast(max(cast(floor(l_quantity) as int)) as string) ||
-                 (case when min(l_linenumber) = 7 then ':.:' else ':0.' ||
-                  cast(max(cast(round(l_discount * 100) as int)) as string) || ':' end) ||
-                 cast(max(cast(floor(l_quantity * 40) as int)) as string) end as SAMPLE_DATA
-from (select 'S' || cast(l_suppkey as string) as s, {_cols(LINE_SITE)}, l_quantity, l_discount,
-             l_linenumber, l_returnflag from lineitem) as l
-group by s, pos, ref, alt"""
+       case when ln % 4 = 0 then 'GT:DP:HL' else 'GT:AD:AF:DP' end as FORMAT,
+       case when ln % 4 = 0 then '0/1:' || cast(dp as string) || ':0.' || cast(hl as string)
+            else (case when ln = 5 then '0/0' else '0/1' end) || ':10,' || cast(q as string) ||
+                 (case when ln = 7 then ':.:' else ':0.' || cast(hl as string) || ':' end) || cast(dp as string)
+            end as SAMPLE_DATA
+from (select supp, pos, {_ALLELES}, dp, hl, q, ln, flag
+      from (select supp, pos, rb, rl, ab, al, max(dp) as dp, max(hl) as hl, max(q) as q, min(ln) as ln, min(flag) as flag
+            from (select {_LINE_KEYS}, {_LINE_VALUES} from lineitem) as l group by supp, pos, rb, rl, ab, al) as g) as t"""
 
 _P, _P1, _E = (_cols(s) for s in (PART_SITE, PART_SITE_1, EVENT_SITE))
 SQL["gnomad"] = f"""
@@ -177,25 +178,29 @@ select o_orderkey as row_no,
        case when o_orderstatus = 'F' then null else cast(o_orderkey as string) || '_2' end as file2
 from orders"""
 
-# Transcripts of a variant: all fields follow from the line number, 39 residues and two flags, so a variant has at
-# most a fixed number of distinct ones. ``a`` and ``b`` are ranks of its two consequence terms.
-SQL["transcripts"] = """
-select l_partkey as variant,
-       'T' || cast(l_linenumber as string) || '_' || cast(l_suppkey % 39 as string) || l_returnflag || l_linestatus
-           as transcript_id,
-       'G' || cast(l_linenumber % 3 as string) as gene_id,
-       case when l_returnflag = 'A' then 'HC' when l_returnflag = 'R' then 'LC' else '' end as lof,
-       case when (l_suppkey % 39) % 4 = 0 then 'flag1' else '' end as lof_flags,
-       case when l_linestatus = 'O' then 'protein_coding' else 'lincRNA' end as biotype,
-       cast(l_linenumber % 2 as int) as canonical,
-       cast((l_linenumber * 5 + l_suppkey % 39) % 39 as int) as a, cast((l_suppkey % 39 * 7) % 39 as int) as b,
-       'ENST:c.' || cast(l_linenumber as string) || 'A>G' as hgvsc,
-       case when l_linenumber = 3 then null when l_linenumber = 4 then 'ENSP:p.(Met1%3D)'
-            else 'ENSP:p.Lys' || cast(l_linenumber as string) || 'Asn' end as hgvsp,
-       case when (l_suppkey % 39) % 5 = 0 then 'K/N' else substr('ACDEFGHIKL', cast(l_linenumber as int), 1) end
-           as amino_acids,
-       cast(l_linenumber * 10 as int) as protein_start, l_linestatus as domain
+# Transcripts of a variant. All fields follow from a line number, one of 39 residues, a flag and a status, so a
+# variant has at most a fixed number of distinct ones. ``a`` and ``b`` are ranks of its two consequence terms.
+SQL["transcript_codes"] = """
+select distinct l_partkey as variant, l_linenumber as ln, cast(l_suppkey % 39 as int) as res,
+       case l_returnflag when 'A' then 0 when 'N' then 1 else 2 end as fl, case l_linestatus when 'O' then 0 else 1 end as st
 from lineitem"""
+TRANSCRIPT_FIELDS = {
+    "transcript_id": "'T' || cast(x.ln as string) || '_' || cast(x.res as string) || substr('ANR', x.fl + 1, 1) || "
+                     "substr('OF', x.st + 1, 1)",
+    "gene_id": "'G' || cast(x.ln % 3 as string)",
+    "lof": "case x.fl when 0 then 'HC' when 2 then 'LC' else '' end",
+    "lof_flags": "case when x.res % 4 = 0 then 'flag1' else '' end",
+    "biotype": "case x.st when 0 then 'protein_coding' else 'lincRNA' end",
+    "canonical": "cast(x.ln % 2 as int)",
+    "a": "cast((x.ln * 5 + x.res) % 39 as int)",
+    "b": "cast((x.res * 7) % 39 as int)",
+    "hgvsc": "'ENST:c.' || cast(x.ln as string) || 'A>G'",
+    "hgvsp": "case x.ln when 3 then null when 4 then 'ENSP:p.(Met1%3D)' else 'ENSP:p.Lys' || cast(x.ln as string) || 'Asn' end",
+    "amino_acids": "case when x.res % 5 = 0 then 'K/N' else substr('ACDEFGHIKL', x.ln, 1) end",
+    "protein_start": "cast(x.ln * 10 as int)",
+    "domain": "substr('OF', x.st + 1, 1)",
+}
+SQL["transcripts"] = f"select x.variant, {_cols(TRANSCRIPT_FIELDS)} from ({SQL['transcript_codes']}) as x"
 
 SQL["stored"] = """
 select c_custkey as id, c_name as name, c_acctbal as balance, c_mktsegment as segment from customer"""

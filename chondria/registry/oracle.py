@@ -212,7 +212,7 @@ from (select *, list_filter([term_a, term_b], lambda x: not list_contains({texts
 where len(kept) > 0"""
 
 
-STEPS["tr"] = "select distinct * from transcripts"
+STEPS["tr"] = "select * from transcripts"
 STEPS["named"] = f"select *, ({texts(SEVERITY)})[a + 1] as term_a, ({texts(SEVERITY)})[b + 1] as term_b from tr"
 STEPS["severe"] = f"select variant, ({texts(SEVERITY)})[min(least(a, b)) + 1] as worst from tr group by variant"
 STEPS["ranked"] = _ranked(OMITTED_TERMS)

@@ -12,7 +12,7 @@ from chondria.operators import sheet as S
 from chondria.operators.joins import lookup_join
 from chondria.plans.lists import cohort_lists, single_lists
 from chondria.plans.quality import reported_contamination
-from chondria.registry.inputs import derived, load
+from chondria.registry.inputs import TRANSCRIPT_FIELDS, derived, load
 from chondria.sinks.tables import coverage_lines, pivoted_coverage
 from chondria.sinks.vcf import body_lines, proband_lines
 
@@ -388,7 +388,7 @@ def _resource(spark, sf, name):
 
 
 def _resources(spark, sf):
-    return A.merged_resources(*[_resource(spark, sf, n) for n in A.RESOURCES])
+    return [_resource(spark, sf, n) for n in A.RESOURCES]
 
 
 def _call_keys(spark, sf):
@@ -407,8 +407,7 @@ ANNOTATIONS = {
 
 
 def _annot(name, spark, sf):
-    table = A.merged_resources(_resource(spark, sf, name))
-    return A.annotated(_call_keys(spark, sf), table, ["SampleID"]).select(
+    return A.annotated(_call_keys(spark, sf), [_resource(spark, sf, name)], ["SampleID"]).select(
         "SampleID", "POS", "REF", "ALT", *ANNOTATIONS[name])
 
 
@@ -423,8 +422,7 @@ def _haplogroups(spark, sf):
 @query
 def annot_haplogroup(spark, sf):
     rows = A.with_haplogroup(_call_keys(spark, sf), _haplogroups(spark, sf), "SampleID", ["POS", "REF", "ALT"])
-    table = A.merged_resources(_resource(spark, sf, "haplo"))
-    out = A.look_up(rows, table, ["SampleID"])
+    out = A.look_up(rows, [_resource(spark, sf, "haplo")], ["SampleID"])
     return out.select("SampleID", "POS", "REF", "ALT", "Haplogroup", A.haplogroup_status().alias("status"),
                       A.haplogroup_status(exact_token=True).alias("token_status"))
 
@@ -438,7 +436,7 @@ def annot_category(spark, sf):
 
 @query
 def resources_merged(spark, sf):
-    return _resources(spark, sf).select(
+    return A.merged_resources(*_resources(spark, sf)).select(
         "ref", "pos", "alt", F.col("gnomad.AF_hom").alias("gnomad"), F.col("helix.max_het").alias("helix"),
         F.col("clinvar.label").alias("clinvar"), F.col("mitotip.label").alias("mitotip"),
         F.col("hmtvar.label").alias("hmtvar"), F.col("haplo.groups").alias("groups"))
@@ -582,22 +580,32 @@ def xpos(spark, sf):
 # --- transcripts ------------------------------------------------------------------------------------------------
 
 def _transcripts(spark, sf):
-    """Variants with their distinct transcripts in an array and the most severe term."""
+    """Variants with their distinct transcripts in an array and the most severe term.
+
+    The shuffle carries the four numbers of a transcript; its fields are filled in afterwards.
+    """
     terms = F.array(*[F.lit(t) for t in C.SEVERITY])
     none = F.lit(None).cast("string")
-
-    def term(rank):
-        return F.element_at(terms, F.col(rank) + 1)
-    t = F.struct(
-        "transcript_id", "gene_id", "lof", "lof_flags", "biotype", "canonical", "hgvsc", "hgvsp", "amino_acids",
-        "protein_start", F.array(term("a"), term("b")).alias("consequence_terms"),
-        F.array(F.struct(F.lit("Pfam").alias("db"), F.col("domain").alias("name"))).alias("domains"),
-        F.lit(1).alias("cdna_start"), F.lit(2).alias("cdna_end"), F.lit("aaA/aaC").alias("codons"),
-        F.concat(F.lit("SYM"), "gene_id").alias("gene_symbol"), none.alias("lof_filter"), F.lit("").alias("lof_info"),
-        none.alias("polyphen_prediction"), F.lit("P1").alias("protein_id"), none.alias("sift_prediction"))
-    return derived(spark, sf, "transcripts").groupBy("variant").agg(
-        F.sort_array(F.collect_set(t)).alias("transcripts"), F.min(F.least("a", "b")).alias("_worst")).select(
-        "variant", "transcripts", F.element_at(terms, F.col("_worst") + 1).alias("most_severe"))
+    fields = ", ".join(f"'{name}', {text}" for name, text in TRANSCRIPT_FIELDS.items())
+
+    def full(t):
+        def term(rank):
+            return F.element_at(terms, t[rank] + 1)
+        plain = ["transcript_id", "gene_id", "lof", "lof_flags", "biotype", "canonical", "hgvsc", "hgvsp",
+                 "amino_acids", "protein_start"]
+        return F.struct(
+            *[t[f].alias(f) for f in plain], F.array(term("a"), term("b")).alias("consequence_terms"),
+            F.array(F.struct(F.lit("Pfam").alias("db"), t["domain"].alias("name"))).alias("domains"),
+            F.lit(1).alias("cdna_start"), F.lit(2).alias("cdna_end"), F.lit("aaA/aaC").alias("codons"),
+            F.concat(F.lit("SYM"), t["gene_id"]).alias("gene_symbol"), none.alias("lof_filter"),
+            F.lit("").alias("lof_info"), none.alias("polyphen_prediction"), F.lit("P1").alias("protein_id"),
+            none.alias("sift_prediction"))
+    codes = derived(spark, sf, "transcript_codes").groupBy("variant").agg(
+        F.collect_list(F.struct("ln", "res", "fl", "st")).alias("xs"))
+    rows = codes.select("variant", F.expr(f"sort_array(transform(xs, x -> named_struct({fields})))").alias("xs"))
+    worst = F.array_min(F.transform("xs", lambda t: F.least(t["a"], t["b"])))
+    return rows.select("variant", F.transform("xs", full).alias("transcripts"),
+                       F.element_at(terms, worst + 1).alias("most_severe"))
 
 
 def _ranked(spark, sf, **options):

@@ -105,7 +105,7 @@ def test_list_jobs(spark, write, tmp_path):
     rows = A.long_records(records, samples)
     gnomad = tables.read_commented(spark, write("g.tsv", "ref\tposition\talt\tmax_observed_heteroplasmy\tAF_hom\tAF_het\nA\t10\tG\t0.5\t0.001\t0\n"),
                                    ["ref", "position", "alt", "max_observed_heteroplasmy", "AF_hom", "AF_het"])
-    table = A.merged_resources(A.gnomad(gnomad))
+    table = [A.gnomad(gnomad)]
     pre, final = lists.cohort_lists(rows, table)
     assert pre.columns == schema.COHORT_LIST and pre.count() == 4
     assert [(r["SampleID"], r["POS"], r["in_cohort_AC"], r["Freq"], r["gnomad_af_hom"]) for r in final.collect()] == [("P1", "10", 1, 2, 0.001)]
