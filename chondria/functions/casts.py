@@ -12,8 +12,7 @@ def text_or_null(c: Column) -> Column:
 
 def number(c: Column) -> Column:
     """Double, or NULL when the text is no finite-or-infinite number (``NaN`` counts as missing)."""
-    v = c.try_cast("double")
-    return F.when(F.isnan(v), None).otherwise(v)
+    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
 
 
 def integer(c: Column) -> Column:
@@ -23,3 +22,8 @@ def integer(c: Column) -> Column:
 def if_known(cond: Column, then, otherwise) -> Column:
     """Conditional that is NULL, not ``otherwise``, when the condition is NULL."""
     return F.when(cond, then).when(~cond, otherwise)
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once per row, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

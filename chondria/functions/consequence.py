@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, functions as F
 
+from chondria.functions.casts import bound
+
 # --- fixed values ------------------------------------------------------------------------------
 
 # Consequence terms by severity, worst first; the index is the rank.
@@ -94,14 +96,23 @@ def protein_domains_of_ranked(ranked: Column) -> Column:
     return _text_set(F.flatten(F.transform(known, lambda t: t["domains"])))
 
 
-def _worst(terms: Column) -> Column:
-    """``rank, place, term`` of the worst term; unknown terms come last, equal ranks keep the array order."""
-    return F.array_min(F.transform(terms, lambda t, i: F.struct(
-        F.coalesce(severity_rank(t), F.lit(len(SEVERITY))).alias("rank"), i.alias("place"), t.alias("term"))))
+PLACES = 1 << 20        # more than any array of one variant holds
+
+
+def _by_code(values: Column, code: Column) -> Column:
+    """Item of ``values`` whose place is in a code ``rank * PLACES + place``."""
+    return F.get(values, F.pmod(code, F.lit(PLACES)).cast("int"))
+
+
+def _worst_code(terms: Column) -> Column:
+    """Rank and place of the worst term in one number; unknown terms come last, equal ranks keep the array order."""
+    return F.array_min(F.transform(terms, lambda t, i: F.coalesce(severity_rank(t), F.lit(len(SEVERITY)))
+                                   .cast("long") * F.lit(PLACES) + i))
 
 
 def major_term(terms: Column) -> Column:
-    return _worst(terms)["term"]
+    """Worst term of an array, NULL for an empty one."""
+    return bound(F.struct(terms.alias("t"), _worst_code(terms).alias("w")), lambda v: _by_code(v["t"], v["w"]))
 
 
 def category(rank: Column) -> Column:
@@ -149,11 +160,11 @@ def ranked_transcripts(transcripts: Column, most_severe: Column, coding: bool =
             *[t[f].alias(f) for f in keep],
             F.filter(t["consequence_terms"], lambda x: ~F.array_contains(omitted, x)).alias("consequence_terms"),
             _domain_names(t["domains"]).alias("domains"),
-            _worst(t["consequence_terms"]).alias("_worst"),
+            t["consequence_terms"].alias("_terms"), _worst_code(t["consequence_terms"]).alias("_worst"),
             t["amino_acids"].alias("_aa"), t["protein_start"].alias("_at"))
 
     def described(t):
-        major, rank = t["_worst"]["term"], t["_worst"]["rank"]
+        major, rank = _by_code(t["_terms"], t["_worst"]), F.floor(t["_worst"] / F.lit(PLACES)).cast("int")
         rank = F.when(rank < len(SEVERITY), rank)
         keep = BASE_FIELDS + (CODING_FIELDS + ["domains"] if coding else [])
         hgvs = formatted_hgvs(t["hgvsc"], t["hgvsp"], major, t["_aa"], t["_at"])
@@ -161,15 +172,18 @@ def ranked_transcripts(transcripts: Column, most_severe: Column, coding: bool =
                 t["consequence_terms"].alias("consequence_terms"), major.alias("major_consequence"),
                 category(rank).alias("category"), hgvs.alias("hgvs"), rank.alias("major_consequence_rank")]
 
-    def order(t):
+    def order(t, most_severe):
         steps = [(F.coalesce(t["biotype"], F.lit("")) == "protein_coding", 4),
                  (F.coalesce(F.array_contains(t["consequence_terms"], most_severe), F.lit(False)), 2),
                  (F.coalesce(t["canonical"], F.lit(0)) == 1, 1)]
         return sum((F.when(flag, 0).otherwise(weight) for flag, weight in steps), F.lit(1))
 
+    def ranked(v):
+        codes = F.sort_array(F.transform(v["t"], lambda t, i: order(t, v["worst"]).cast("long") * F.lit(PLACES) + i))
+        return F.transform(codes, lambda c, i: bound(
+            _by_code(v["t"], c), lambda t: F.struct(*described(t), i.alias("transcript_rank"))))
     kept = F.filter(F.transform(transcripts, reduced), lambda t: F.size(t["consequence_terms"]) > 0)
-    keyed = F.transform(kept, lambda t, i: F.struct(order(t).alias("key"), i.alias("place"), t.alias("t")))
-    return F.transform(F.sort_array(keyed), lambda e, i: F.struct(*described(e["t"]), i.alias("transcript_rank")))
+    return bound(F.struct(kept.alias("t"), most_severe.alias("worst")), ranked)
 
 
 def _json_object(pairs: Column) -> Column:
@@ -178,10 +192,12 @@ def _json_object(pairs: Column) -> Column:
 
 def gene_consequence_json(ranked: Column, genes: Column) -> Column:
     """``{"gene":"worst term",...}`` with the first ranked transcript of each gene."""
-    def pair(g):
-        first = F.get(F.filter(ranked, lambda t: t["gene_id"] == g), F.lit(0))
-        return F.concat(F.lit('"'), g, F.lit('":"'), first["major_consequence"], F.lit('"'))
-    return _json_object(F.transform(genes, pair))
+    def pairs(v):
+        def pair(g):
+            first = F.get(F.filter(v["r"], lambda t: t["gene_id"] == g), F.lit(0))
+            return F.concat(F.lit('"'), g, F.lit('":"'), first["major_consequence"], F.lit('"'))
+        return _json_object(F.transform(v["g"], pair))
+    return bound(F.struct(ranked.alias("r"), genes.alias("g")), pairs)
 
 
 def transcript_consequence_json(ranked: Column) -> Column:
@@ -193,9 +209,10 @@ def transcript_consequence_json(ranked: Column) -> Column:
 def worst_transcript(ranked: Column, coding: bool = True) -> Column:
     """First ranked transcript as a struct of fixed fields; an empty array gives a struct of NULLs."""
     fields = {**WORST_FIELDS, **(WORST_CODING_FIELDS if coding else {})}
-    first = F.get(ranked, F.lit(0))
 
-    def value(name, kind):
-        v = F.array_join(_text_set(first["domains"]), ",") if name == "domains" else first[name]
-        return v.cast(kind).alias(name)
-    return F.when(ranked.isNotNull(), F.struct(*[value(n, k) for n, k in fields.items()]))
+    def reduced(first):
+        def value(name, kind):
+            v = F.array_join(_text_set(first["domains"]), ",") if name == "domains" else first[name]
+            return v.cast(kind).alias(name)
+        return F.struct(*[value(n, k) for n, k in fields.items()])
+    return F.when(ranked.isNotNull(), bound(F.get(ranked, F.lit(0)), reduced))

@@ -5,22 +5,24 @@ An annotated transcript has a non-empty ``lof``; ``HC`` means high confidence.
 
 from pyspark.sql import Column, functions as F
 
+from chondria.functions.casts import bound
+
 
 def _annotated(transcripts: Column) -> Column:
     return F.filter(transcripts, lambda t: t["lof"] != "")
 
 
 def _every(transcripts: Column, weak) -> Column:
-    hits = _annotated(transcripts)
-    return (F.size(hits) > 0) & F.forall(hits, weak)
+    return bound(_annotated(transcripts), lambda hits: (F.size(hits) > 0) & F.forall(hits, weak))
 
 
 def _genes_where_every(transcripts: Column, weak) -> Column:
     """Genes of annotated transcripts, less those with an annotated transcript that is not weak."""
-    hits = _annotated(transcripts)
-    genes = F.filter(F.transform(hits, lambda t: t["gene_id"]), lambda g: g.isNotNull())
-    sound = F.transform(F.filter(hits, lambda t: ~F.coalesce(weak(t), F.lit(False))), lambda t: t["gene_id"])
-    return F.sort_array(F.array_except(genes, sound))
+    def genes(hits):
+        named = F.filter(F.transform(hits, lambda t: t["gene_id"]), lambda g: g.isNotNull())
+        sound = F.transform(F.filter(hits, lambda t: ~F.coalesce(weak(t), F.lit(False))), lambda t: t["gene_id"])
+        return F.sort_array(F.array_except(named, sound))
+    return bound(_annotated(transcripts), genes)
 
 
 def _low_confidence(t: Column) -> Column:

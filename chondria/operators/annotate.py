@@ -4,13 +4,14 @@ Resource tables are normalised to string keys ``ref, pos, alt`` and one struct c
 single table with one row per variant, so that annotating costs one join however many resources there are.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chondria import schema
 from chondria.functions.casts import number
 from chondria.functions.variant import variant_key
 from chondria.operators.joins import keep_listed, lookup_join, prefixes, settled
-from chondria.operators.matrix import union_samples
 from chondria.sources.calls import info_value, tag_value
 
 KEY = ["ref", "pos", "alt"]
@@ -26,17 +27,21 @@ def without_hard_filters(records: DataFrame) -> DataFrame:
 def consequence_fields(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Named sub-fields of the first consequence in ``CSQ=``; short or absent ones are NULL."""
     first = F.get(F.split(info_value(F.col("INFO"), "CSQ"), ","), F.lit(0))
-    pieces = F.split(first, r"\|")
     names = schema.CSQ_FIELDS if keep is None else keep
-    return records.withColumns({n: F.get(pieces, F.lit(schema.CSQ_FIELDS.index(n))) for n in names})
+    split = records.withColumn("_csq", F.split(first, r"\|"))
+    return split.withColumns({n: F.get("_csq", F.lit(schema.CSQ_FIELDS.index(n))) for n in names}).drop("_csq")
 
 
 def format_by_tag(rows: DataFrame) -> DataFrame:
     """``GT, AD, DP`` and ``Heteroplasmy`` (AF, else HL) of each sample cell, by the record's own layout."""
+    split = rows.withColumns({"_layout": F.split("FORMAT", ":"), "_cells": F.split("SAMPLE_DATA", ":")})
+
     def tag(name):
-        return tag_value(F.col("FORMAT"), F.col("SAMPLE_DATA"), name)
-    return rows.withColumns({"GT": tag("GT"), "AD": tag("AD"), "DP": tag("DP"),
-                             "Heteroplasmy": F.coalesce(number(tag("AF")), number(tag("HL")))})
+        return tag_value(F.col("_layout"), F.col("_cells"), name)
+    picked = split.withColumns({"_gt": tag("GT"), "_ad": tag("AD"), "_dp": tag("DP"),
+                                "Heteroplasmy": F.coalesce(number(tag("AF")), number(tag("HL")))})
+    known = {n: F.when(F.col(c) != ".", F.col(c)) for n, c in (("GT", "_gt"), ("AD", "_ad"), ("DP", "_dp"))}
+    return picked.withColumns(known).drop("_layout", "_cells", "_gt", "_ad", "_dp")
 
 
 def format_by_position(rows: DataFrame) -> DataFrame:
@@ -113,10 +118,21 @@ def with_category(rows: DataFrame, metadata: DataFrame, key: str, spread: list[s
 
 # --- resource tables: ref, pos, alt, one struct, and ``ord`` as the order of rows -------------------------
 
+RESOURCES = {
+    "gnomad": "struct<max_observed_heteroplasmy:string,AF_hom:string,AF_het:string>",
+    "mitomap_poly": "struct<gbcnt:string>",
+    "mitomap_dis": "struct<status:string,homoplasmy:string,heteroplasmy:string,disease:string>",
+    "apogee": "struct<APOGEE1:string,APOGEE2:string>", "hmtvar": "struct<label:string>",
+    "mitotip": "struct<label:string>", "helix": "struct<max_het:double,AF_hom:double,AF_het:double>",
+    "clinvar": "struct<label:string>", "haplo": "struct<groups:string>",
+}
+
+
 def _resource(rows: DataFrame, name: str, key: list, values: dict) -> DataFrame:
     cols = [F.col(k) if isinstance(k, str) else k for k in key]
-    return rows.select(*[c.cast("string").alias(k) for c, k in zip(cols, KEY)],
-                       F.struct(*[v.alias(n) for n, v in values.items()]).alias(name), "ord")
+    struct = F.struct(*[v.alias(n) for n, v in values.items()])
+    return rows.select(*[c.cast("string").alias(k) for c, k in zip(cols, KEY)], "ord",
+                       *[(struct if n == name else F.lit(None).cast(kind)).alias(n) for n, kind in RESOURCES.items()])
 
 
 def gnomad(rows: DataFrame) -> DataFrame:
@@ -177,34 +193,19 @@ def haplogroup_variants(rows: DataFrame) -> DataFrame:
                      {"groups": F.lower("Assoc_haplogroups")})
 
 
-RESOURCES = {
-    "gnomad": "struct<max_observed_heteroplasmy:string,AF_hom:string,AF_het:string>",
-    "mitomap_poly": "struct<gbcnt:string>",
-    "mitomap_dis": "struct<status:string,homoplasmy:string,heteroplasmy:string,disease:string>",
-    "apogee": "struct<APOGEE1:string,APOGEE2:string>", "hmtvar": "struct<label:string>",
-    "mitotip": "struct<label:string>", "helix": "struct<max_het:double,AF_hom:double,AF_het:double>",
-    "clinvar": "struct<label:string>", "haplo": "struct<groups:string>",
-}
-
-
 def merged_resources(*tables: DataFrame) -> DataFrame:
     """One row per variant with a struct per resource, NULL where the resource lacks the variant.
 
     Within a resource the last row of a variant wins. One aggregation serves all resources.
     """
-    rows = union_samples(*tables)
-    present_names = [n for n in RESOURCES if n in rows.columns]
-    last = [F.max_by(n, F.when(F.col(n).isNotNull(), F.col("ord"))).alias(n) for n in present_names]
-    return rows.groupBy(*KEY).agg(*last)
+    last = [F.max_by(n, F.when(F.col(n).isNotNull(), F.col("ord"))).alias(n) for n in RESOURCES]
+    return reduce(DataFrame.union, tables).groupBy(*KEY).agg(*last)
 
 
 def look_up(rows: DataFrame, tables: list[DataFrame], spread: list[str]) -> DataFrame:
-    """Joins resource tables to rows with string columns ``REF, POS, ALT``; all resource columns exist after it."""
+    """Joins resource tables to rows with string columns ``REF, POS, ALT``."""
     table = merged_resources(*tables).withColumnsRenamed({"ref": "REF", "pos": "POS", "alt": "ALT"})
-    for name, kind in RESOURCES.items():
-        if name not in table.columns:
-            table = table.withColumn(name, F.lit(None).cast(kind))
-    return lookup_join(rows, table, ["REF", "POS", "ALT"], spread, bound=union_samples(*tables).select(*KEY), computed=True)
+    return lookup_join(rows, table, ["REF", "POS", "ALT"], spread, computed=True)
 
 
 def _found(name: str, field: str, default) -> Column:

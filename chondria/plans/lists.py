@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chondria import schema
 from chondria.operators import annotate as A
+from chondria.operators.joins import settled
 from chondria.sinks.tables import write_lists
 from chondria.sources import tables
 
@@ -31,6 +32,11 @@ def read_resources(spark: SparkSession, paths: dict[str, str]) -> list[DataFrame
     return parts
 
 
+def ordered_candidates(prefilter: DataFrame, max_freq: int, disease_first: bool) -> DataFrame:
+    """Final list. The candidates are stored before sorting, as sorting reads its input twice."""
+    return settled(A.keep_candidates(prefilter, max_freq)).orderBy(*A.list_order(prefilter, disease_first))
+
+
 def single_lists(rows: DataFrame, resources: list[DataFrame], haplogroups: DataFrame, status: DataFrame | None = None,
                  metadata: DataFrame | None = None, max_freq: int = 100,
                  positional: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -52,7 +58,7 @@ def single_lists(rows: DataFrame, resources: list[DataFrame], haplogroups: DataF
         parsed = parsed.withColumn("Freq", F.lit(0))
     full = A.annotated(parsed, resources, ["SampleID"]).withColumnRenamed("SampleID", "SAMPLE_ID")
     prefilter = A.completed(full, schema.SINGLE_LIST)
-    return prefilter, A.keep_candidates(prefilter, max_freq).orderBy(*A.list_order(prefilter, disease_first=False))
+    return prefilter, ordered_candidates(prefilter, max_freq, disease_first=False)
 
 
 def cohort_lists(rows: DataFrame, resources: list[DataFrame], probands: DataFrame | None = None, max_freq: int = 100,
@@ -66,7 +72,7 @@ def cohort_lists(rows: DataFrame, resources: list[DataFrame], probands: DataFram
         parsed = A.carriers(parsed)
     parsed = A.consequence_fields(A.cohort_counts(parsed, count_all_rows), schema.CONSEQUENCE_COLUMNS)
     prefilter = A.completed(A.annotated(parsed, resources, ["SampleID"]), schema.COHORT_LIST)
-    return prefilter, A.keep_candidates(prefilter, max_freq).orderBy(*A.list_order(prefilter, disease_first=True))
+    return prefilter, ordered_candidates(prefilter, max_freq, disease_first=True)
 
 
 def lists_job(lists: tuple[DataFrame, DataFrame], out: str, proband_mode: bool = False) -> None:
