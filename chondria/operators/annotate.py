@@ -87,7 +87,7 @@ def of_probands(rows: DataFrame, ids: DataFrame, key: str, spread: list[str], pr
         return keep_listed(rows, ids.select(F.col("s").alias(key)), key, spread)
     names = rows.select(key).distinct()
     pieces = names.select(key, F.explode(prefixes(F.substring_index(key, ":", 1))).alias("s"))
-    return keep_listed(rows, pieces.join(ids, "s", "left_semi").select(key), key, spread)
+    return keep_listed(rows, pieces.join(ids, "s", "left_semi").select(key), key, spread, computed=True)
 
 
 def variants_with(rows: DataFrame, is_call: Column, site: list[str]) -> DataFrame:
@@ -106,14 +106,14 @@ def uncontaminated(rows: DataFrame, status: DataFrame, key: str, spread: list[st
 def with_haplogroup(rows: DataFrame, haplogroups: DataFrame, key: str, spread: list[str]) -> DataFrame:
     """Adds ``Haplogroup`` from ``(s, haplogroup)``."""
     table = haplogroups.groupBy(F.col("s").alias(key)).agg(F.max("haplogroup").alias("Haplogroup"))
-    return lookup_join(rows, table, [key], spread)
+    return lookup_join(rows, table, [key], spread, bound=haplogroups)
 
 
 def with_category(rows: DataFrame, metadata: DataFrame, key: str, spread: list[str]) -> DataFrame:
     """Adds ``Sample_Category``: the metadata id equals the sample id up to its first ``-``, in any case."""
     table = metadata.groupBy(F.lower("s").alias("_id")).agg(F.max("category").alias("Sample_Category"))
     named = rows.withColumn("_id", F.lower(F.substring_index(key, "-", 1)))
-    return lookup_join(named, table, ["_id"], [*spread, key]).drop("_id")
+    return lookup_join(named, table, ["_id"], [*spread, key], bound=metadata).drop("_id")
 
 
 # --- resource tables: ref, pos, alt, one struct, and ``ord`` as the order of rows -------------------------

@@ -50,10 +50,11 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def keep_listed(left: DataFrame, ids: DataFrame, key: str, spread: list[str], listed: bool = True) -> DataFrame:
+def keep_listed(left: DataFrame, ids: DataFrame, key: str, spread: list[str], listed: bool = True,
+                computed: bool = False) -> DataFrame:
     """Rows of ``left`` whose key is (or is not) in ``ids``; a large key list is salted like a lookup."""
     return lookup_join(left, ids.select(key).distinct(), [key], spread, "left_semi" if listed else "left_anti",
-                       bound=ids)
+                       bound=None if computed else ids, computed=computed)
 
 
 def number_within(df: DataFrame, keys: list[str], order: str, name: str, width: int = 65536) -> DataFrame:

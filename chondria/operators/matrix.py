@@ -147,5 +147,5 @@ def densify(entries: DataFrame, sites: DataFrame, samples: DataFrame, site: list
     part = F.pmod(F.xxhash64("s"), F.greatest(n_blocks, F.lit(1))).cast("int")
     grid = sites.select(*site).distinct().withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0)))))
-    cells = grid.join(names.withColumn("_block", part), "_block").drop("_block")
+    cells = lookup_join(grid, names.withColumn("_block", part), ["_block"], site, "inner", bound=samples).drop("_block")
     return cells.join(entries, [*site, "s"], "left")

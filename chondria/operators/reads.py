@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from chondria.operators.joins import positions, tiles
+from chondria.operators.joins import lookup_join, positions, tiles
 
 TILE = 4096
 ALIGNMENT_COLUMNS = ["contig", "pos", "mapq", "cigar", "mate_contig", "mate_pos", "tlen"]
@@ -67,7 +67,7 @@ def per_base_depth(reads: DataFrame, targets: DataFrame, cap: int | None = None,
              .groupBy("s", "contig", "pos").agg(F.sum("step").alias("step")))
     groups = (reads if samples is None else samples).select("s", "contig").distinct()
     cut = targets.select("contig", "start", "end", F.explode(tiles(F.col("start"), F.col("end"), width)).alias("t"))
-    pieces = groups.join(cut, "contig").select(
+    pieces = lookup_join(groups, cut, ["contig"], ["s"], "inner").select(
         "s", "contig", F.greatest(F.col("start").cast("long"), F.col("t") * width).alias("a"),
         F.least(F.col("end").cast("long"), F.col("t") * width + (width - 1)).alias("b"))
     wanted = positions(pieces, "a", "b", ["s", "contig"], width)

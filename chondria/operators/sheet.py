@@ -45,7 +45,7 @@ def sample_groups(typed: DataFrame) -> DataFrame:
 def usable_rows(typed: DataFrame) -> DataFrame:
     """Rows of the samples without a problem."""
     good = sample_groups(typed).filter(F.col("problem").isNull())
-    return keep_listed(typed, good, "id", ["file1"])
+    return keep_listed(typed, good, "id", ["file1"], computed=True)
 
 
 def split_by_type(typed: DataFrame) -> dict[str, DataFrame]:
@@ -97,7 +97,7 @@ def gate(rows: DataFrame, qc: DataFrame, spread: list[str], key: str = "s") -> t
     """Rows of passing samples, and the QC rows of failing ones."""
     name = pass_column(qc.columns)
     ok = passed(F.col(f"`{name}`")) if name else F.lit(False)
-    return keep_listed(rows, qc.filter(ok).select(key), key, spread), qc.filter(~ok)
+    return keep_listed(rows, qc.filter(ok).select(key), key, spread, computed=True), qc.filter(~ok)
 
 
 def sample_ids(sheet: DataFrame) -> DataFrame:
@@ -118,8 +118,7 @@ def manifest_subset(participants: DataFrame, wanted: DataFrame, path_column: str
     ``participants`` has ``participant, s, <path_column>, <order>``; ``existing`` lists ``path_key``.
     """
     rows = participants.filter(F.col(path_column) != "").withColumnRenamed(path_column, "path")
-    rows = rows.join(wanted.select("participant").distinct(), "participant", "left_semi")
+    rows = keep_listed(rows, wanted, "participant", [order])
     if existing is not None:
-        rows = (rows.withColumn("path_key", path_key(F.col("path")))
-                .join(existing.select("path_key").distinct(), "path_key", "left_semi"))
+        rows = keep_listed(rows.withColumn("path_key", path_key(F.col("path"))), existing, "path_key", [order])
     return rows.groupBy("s").agg(F.max_by("path", order).alias("path"))
