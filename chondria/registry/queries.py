@@ -9,6 +9,7 @@ from chondria import schema
 from chondria.functions import consequence as C, lof, names, variant as V
 from chondria.operators import annotate as A, calls as L, copynumber as N, documents as D, matrix as M, reads as R
 from chondria.operators import sheet as S
+from chondria.operators.joins import settled
 from chondria.operators.joins import lookup_join
 from chondria.plans.lists import cohort_lists, single_lists
 from chondria.plans.quality import reported_contamination
@@ -86,8 +87,8 @@ def ft_clean(spark, sf):
     return _clean(_entries(spark, sf)).select("s", "pos", "ref", "alt", _names("FT").alias("FT"))
 
 
-def _resolved(spark, sf):
-    return M.resolve_hom_refs(_clean(_entries(spark, sf)), derived(spark, sf, "coverage"))
+def _resolved(spark, sf, sites=None):
+    return M.resolve_hom_refs(_clean(_entries(spark, sf)), derived(spark, sf, "coverage"), sites=sites)
 
 
 @query
@@ -100,14 +101,13 @@ def homref_state_counts(spark, sf):
     return M.state_counts(_resolved(spark, sf), _n_samples(spark, sf))
 
 
-def _flagged_sites(spark, sf):
-    sites = derived(spark, sf, "calls").select(F.lit("MT").alias("contig"), "pos", "ref", "alt").distinct()
-    return M.flag_artifacts(sites, derived(spark, sf, "bed"))
+def _sites(spark, sf):
+    return settled(derived(spark, sf, "calls").select("pos", "ref", "alt").distinct()).withColumn("contig", F.lit("MT"))
 
 
 @query
 def artifact_flag(spark, sf):
-    return _flagged_sites(spark, sf).withColumn("filters", _names("filters"))
+    return M.flag_artifacts(_sites(spark, sf), derived(spark, sf, "bed")).withColumn("filters", _names("filters"))
 
 
 @query
@@ -141,7 +141,7 @@ def matrix_densify(spark, sf):
 
 def _family_lines(spark, sf):
     cells = _clean(_entries(spark, sf, "family_calls")).withColumn("contig", F.lit("MT"))
-    sites = cells.select("contig", "pos", "ref", "alt").distinct()
+    sites = settled(cells.select("contig", "pos", "ref", "alt").distinct())
     sites = M.flag_artifacts(sites, derived(spark, sf, "bed"))
     return body_lines(cells, sites, derived(spark, sf, "families"))
 
@@ -535,8 +535,9 @@ def final_disease(spark, sf):
 @query
 def cohort_site_report(spark, sf):
     """Sites of the cohort matrix with cell counts, artifact flag and resource values, rarest first."""
-    counts = M.state_counts(_resolved(spark, sf), _n_samples(spark, sf))
-    sites = counts.join(_flagged_sites(spark, sf).drop("contig"), M.SITE)
+    found = _sites(spark, sf)
+    counts = M.state_counts(_resolved(spark, sf, found), _n_samples(spark, sf))
+    sites = counts.join(M.flag_artifacts(found, derived(spark, sf, "bed")).drop("contig"), M.SITE)
     keyed = sites.select(F.col("pos").cast("string").alias("POS"), F.col("ref").alias("REF"), F.col("alt").alias("ALT"),
                          "n_called", "n_hom_ref", "n_no_call", _names("filters").alias("filters"))
     out = A.annotated(keyed, _resources(spark, sf), ["POS", "REF", "ALT"]).select(

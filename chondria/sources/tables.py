@@ -37,7 +37,7 @@ def read_commented(spark: SparkSession, path: str, needed: list[str], sep: str =
     names = [n.strip('"') for n in header["value"].split(sep)]
     ddl = ", ".join(f"`{n}` string" for n in names)
     parsed = (lines.filter(F.col("value") != header["value"])
-              .select("ord", F.from_csv("value", ddl, {"sep": sep}).alias("r"))
+              .select("ord", F.from_csv("value", ddl, {"sep": sep, "quote": '"', "escape": '"'}).alias("r"))
               .select("ord", "r.*"))
     require_columns(parsed, needed, path)
     return parsed.select(*[text_or_null(F.col(f"`{n}`")).alias(n) for n in needed], "ord")

@@ -134,7 +134,8 @@ def test_resource_files(spark, write):
         "gnomad": write("g.tsv", "ref\tposition\talt\tmax_observed_heteroplasmy\tAF_hom\tAF_het\nA\t10\tG\t0.5\t0.1\tNA\n"),
         "mitomap_dis": write("d.tsv", "ref\tpos\talt\tstatus\thomoplasmy\theteroplasmy\tdisease\nA\t10\tG\tCfrm\t+\t\tLHON\n"),
         "apogee": write("ap.tsv", "Ref\tStart\tAlt\tAPOGEE1\tAPOGEE2\nA\t10\tG\tN\tNA\n"),
-        "hmtvar": write("h.tsv", 'REF\tPOS\tALT\tHmtVar\nA\t10\tG\t{"pathogenicity": "likely"}\nC\t11\tT\t{bad\n'),
+        "hmtvar": write("h.tsv", 'REF\tPOS\tALT\tHmtVar\nA\t10\tG\t{"pathogenicity": "likely"}\nC\t11\tT\t{bad\n'
+                                  'T\t9\tC\t"{""pathogenicity"": ""quoted""}"\n'),
         "mitotip": write("t.tsv", "rCRS\tPosition\tAlt\tQuartile\nA\t10\tG\tQ1\nC\t11\tT\tQ9\n"),
         "helix": write("x.tsv", 'locus\talleles\tAF_hom\tAF_het\tmax_ARF\nchrM:10\t["A","G"]\t\t0.2\t0.7\n'
                                 'chrM:11\t["C","T","A"]\t0.1\t0.2\t0.7\n'),
@@ -152,5 +153,15 @@ def test_resource_files(spark, write):
     assert (hit["hmtvar_class"], hit["mitotip_class"], hit["clinvar_interp"]) == ("likely", "likely pathogenic", None)
     assert (hit["helix_max_hl"], hit["helix_af_hom"], hit["Haplogroup_Var_Status"]) == (0.7, 0.0, "haplo_var_match")
     assert (partly["hmtvar_class"], partly["mitotip_class"], partly["clinvar_interp"]) == ("", "", "")
+    assert miss["hmtvar_class"] == "quoted"
     assert (miss["gnomad_max_hl"], miss["helix_max_hl"], miss["mitomap_af"]) == ("0", 0.0, 0.0)
     assert (miss["apogee_class"], miss["mitomap_plasmy"], miss["Haplogroup_Var_Status"]) == ("", "", "not_haplo_var")
+
+
+def test_many_single_sample_files(spark, write, tmp_path):
+    write("many/a_vep.vcf", VCF)
+    write("many/b_vep.vcf", VCF.replace("FORMAT\tX", "FORMAT\tY").replace("0.25", "0.75"))
+    records, samples = calls.read_annotated(spark, str(tmp_path / "many"))
+    long = A.format_by_tag(A.long_records(records, samples, per_file=True))
+    got = {(r["SampleID"], r["POS"]): r["Heteroplasmy"] for r in long.collect()}
+    assert len(got) == 6 and (got[("X", "10")], got[("Y", "10")]) == (0.25, 0.75)
