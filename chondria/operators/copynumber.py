@@ -3,12 +3,13 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chondria.functions.casts import number
+from chondria.operators.summary import mean, median, value_counts
 
 
 def mt_coverage(coverage: DataFrame) -> DataFrame:
     """``(s, mt_mean, mt_median)``; text that is no number is ignored."""
-    v = number(F.col("coverage"))
-    return coverage.groupBy("s").agg(F.avg(v).alias("mt_mean"), F.median(v).alias("mt_median"))
+    return value_counts(coverage, ["s"], number(F.col("coverage"))).groupBy("s").agg(
+        mean().alias("mt_mean"), median().alias("mt_median"))
 
 
 def _ratio(mt: Column, nuclear: Column) -> Column:

@@ -10,6 +10,7 @@ from chondria import schema
 from chondria.functions.casts import if_known
 from chondria.operators.calls import spans_listed
 from chondria.operators.joins import lookup_join
+from chondria.operators.summary import mean, median, rows_over, value_counts
 
 SITE = ["pos", "ref", "alt"]
 
@@ -44,10 +45,9 @@ def site_coverage(coverage: DataFrame, n_samples: Column, exact: bool = False, k
     ``n_samples`` counts all samples of the manifest, so a missing cell is not over a threshold. The median of
     whole numbers is a whole number unless ``exact``.
     """
-    cov, median = F.col("coverage"), F.median("coverage")
-    over = [(F.count_if(cov > t).cast("double") / n_samples).alias(f"over_{t}") for t in (100, 1000)]
-    return coverage.groupBy(key).agg(F.avg(cov).alias("mean"),
-                                     (median if exact else F.floor(median).cast("int")).alias("median"), *over)
+    over = [(rows_over(t).cast("double") / n_samples).alias(f"over_{t}") for t in (100, 1000)]
+    return value_counts(coverage, [key], F.col("coverage")).groupBy(key).agg(
+        mean().alias("mean"), (median() if exact else F.floor(median()).cast("int")).alias("median"), *over)
 
 
 def entry_columns(calls: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from chondria.operators.joins import lookup_join, positions, tiles
+from chondria.operators.summary import mean, median, value_counts
 
 TILE = 4096
 ALIGNMENT_COLUMNS = ["contig", "pos", "mapq", "cigar", "mate_contig", "mate_pos", "tlen"]
@@ -63,8 +64,7 @@ def per_base_depth(reads: DataFrame, targets: DataFrame, cap: int | None = None,
     """
     ends = F.array(F.struct(F.col("start").cast("long").alias("pos"), F.lit(1).alias("step")),
                    F.struct((F.col("end") + 1).cast("long").alias("pos"), F.lit(-1).alias("step")))
-    steps = (reads.filter(F.col("end") >= F.col("start")).select("s", "contig", F.inline(ends))
-             .groupBy("s", "contig", "pos").agg(F.sum("step").alias("step")))
+    steps = reads.filter(F.col("end") >= F.col("start")).select("s", "contig", F.inline(ends))
     groups = (reads if samples is None else samples).select("s", "contig").distinct()
     cut = targets.select("contig", "start", "end", F.explode(tiles(F.col("start"), F.col("end"), width)).alias("t"))
     pieces = lookup_join(groups, cut, ["contig"], ["s"], "inner").select(
@@ -72,14 +72,15 @@ def per_base_depth(reads: DataFrame, targets: DataFrame, cap: int | None = None,
         F.least(F.col("end").cast("long"), F.col("t") * width + (width - 1)).alias("b"))
     wanted = positions(pieces, "a", "b", ["s", "contig"], width)
     both = (steps.withColumn("hit", F.lit(False))
-            .unionByName(wanted.select("s", "contig", "pos", F.lit(0).cast("long").alias("step"),
+            .unionByName(wanted.select("s", "contig", "pos", F.lit(0).alias("step"),
                                        F.lit(True).alias("hit")))
             .withColumn("t", F.floor(F.col("pos") / width)))
     at = ["s", "contig", "t"]
-    net = both.groupBy(*at).agg(F.sum("step").alias("net"))
-    earlier = Window.partitionBy("s", "contig").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    base = net.select(*at, F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("base"))
     by_pos = both.groupBy(*at, "pos").agg(F.sum("step").alias("step"), F.max("hit").alias("hit"))
+    net = by_pos.groupBy(*at).agg(F.sum("step").alias("net"), F.max("hit").alias("any"))
+    earlier = Window.partitionBy("s", "contig").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    base = (net.select(*at, "any", F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("base"))
+            .filter("any").drop("any"))
     inside = Window.partitionBy(*at).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     depth = F.sum("step").over(inside) + F.col("base")
     out = by_pos.join(base, at).select("s", "contig", "pos", "hit", depth.alias("depth")).filter("hit").drop("hit")
@@ -88,6 +89,5 @@ def per_base_depth(reads: DataFrame, targets: DataFrame, cap: int | None = None,
 
 def coverage_summary(depth: DataFrame) -> DataFrame:
     """Mean, its floor, and median depth per sample."""
-    mean = F.avg("depth")
-    return depth.groupBy("s").agg(mean.alias("mean_coverage"), F.median("depth").alias("median_coverage"),
-                                  F.floor(mean).alias("mean_coverage_floor"))
+    return value_counts(depth, ["s"], F.col("depth")).groupBy("s").agg(
+        mean().alias("mean_coverage"), median().alias("median_coverage"), F.floor(mean()).alias("mean_coverage_floor"))
