@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chondria.llm import bpe, exact, mixing, rules, simhash
+from chondria.llm import bpe, exact, mixing, pii, pitman, rules, simhash, suffix, toxicity, warc
 from chondria.llm.common import importable
 
 
+#: Whoever runs this on real data takes a key of their own from a secret store.
+PII_KEY = "public example key"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,6 +22,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix.without_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -31,18 +40,42 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman.scored(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_bpe, op4_exact_dedup, op5_quality, op8_mixing)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return rows.select("doc_id", "n_entities", "text", F.sha2("text", 256).alias("text_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_suffix_dedup, op3_bpe, op4_exact_dedup, op5_quality, op6_warc, op7_pitman_yor,
+                                 op8_mixing, op9_toxicity, op10_pii)}
 
 ORACLE = {
     "op4_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
         g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t JOIN g USING (text_sha256)""",
+    "op6_warc": r"""
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+        g AS (SELECT d, n, max(page_id) AS answer FROM p WHERE n >= 1000 GROUP BY d, n)
+        SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+               CASE WHEN page_id <> answer THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> answer THEN answer END AS refers_to FROM p LEFT JOIN g USING (d, n)""",
     "op8_mixing": r"""
         WITH t AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
                           md5('mix:' || doc_id) AS k FROM documents),
