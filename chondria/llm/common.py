@@ -57,3 +57,15 @@ def word_count(text: Column) -> Column:
     """Number of words ``[^\\x20\\x09-\\x0D]+``; 0 for NULL."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS))
     return F.when(F.length(trimmed) == 0, F.lit(0)).otherwise(F.size(F.split(trimmed, SPACE))).cast("long")
+
+
+ROW = "row"
+
+
+def row_of(df: DataFrame, columns: list[str]) -> Column:
+    """The given columns of ``df`` as one, ``row``, so that no name of theirs can meet one of an operator's own."""
+    return F.struct(*[df[c].alias(c) for c in columns]).alias(ROW)
+
+
+def unpacked(columns: list[str]) -> list[Column]:
+    return [F.col(ROW).getField(c).alias(c) for c in columns]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from chondria.llm import bits
-from chondria.llm.common import SPACE, text_of
+from chondria.llm.common import SPACE, row_of, text_of, unpacked
 
 
 def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -22,17 +22,15 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     new = ["text_sha256", "keep_id", "group_size", "kept"]
     own = [c for c in df.columns if c not in new]
-    key, ids, sizes = "_exact_key", "_exact_id", "_exact_size"
-    digest = F.sha2(F.regexp_replace(text_of(df, text_col), SPACE, " "), 256)
-    rows = df.select(*[df[c] for c in own], digest.alias("text_sha256"))
-    hashed = F.xxhash64("text_sha256")
-    built = bits.build(rows.select(hashed.alias(key)), df.count(), twice=True)
-    marked = rows.withColumn(key, bits.passes(hashed, built))
-    alone = marked.where(~F.col(key)).select(
-        *own, "text_sha256", F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
-    maybe = marked.where(F.col(key)).drop(key)
-    groups = maybe.groupBy(F.col("text_sha256").alias(key)).agg(F.min(id_col).alias(ids), F.count(F.lit(1)).alias(sizes))
-    met = maybe.join(groups, F.col("text_sha256") == F.col(key)).select(
-        *own, "text_sha256", F.col(ids).alias("keep_id"), F.col(sizes).alias("group_size"),
-        F.col(id_col).eqNullSafe(F.col(ids)).alias("kept"))
+    rows = df.select(row_of(df, own), F.sha2(F.regexp_replace(text_of(df, text_col), SPACE, " "), 256).alias("digest"), df[id_col].alias("id"))
+    hashed = F.xxhash64("digest")
+    built = bits.build(rows.select(hashed.alias("hash")), df.count(), twice=True)
+    marked = rows.withColumn("maybe", bits.passes(hashed, built))
+    alone = marked.where("not maybe").select(*unpacked(own), F.col("digest").alias("text_sha256"), F.col("id").alias("keep_id"),
+                                             F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
+    maybe = marked.where("maybe")
+    groups = maybe.groupBy(F.col("digest").alias("of")).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size"))
+    met = maybe.join(groups, F.col("digest") == F.col("of")).select(
+        *unpacked(own), F.col("digest").alias("text_sha256"), F.col("first").alias("keep_id"), F.col("size").alias("group_size"),
+        F.col("id").eqNullSafe(F.col("first")).alias("kept"))
     return alone.unionByName(met)

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from chondria.llm.common import stored, word_count
+from chondria.llm.common import row_of, stored, unpacked, word_count
 
 WEIGHTS = (5, 2, 1)
 MOST = 3                # times its size that a source may give
@@ -53,12 +53,12 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     new = ["size", "source_size", "target", "copies"]
     own = [c for c in df.columns if c not in new]
-    source = F.col(source_col)
-    sized = df.select(*[df[c] for c in own], word_count(df[text_col]).alias("size"), key_of(df[id_col], seed).alias("_mix_key"))
-    facts = stored(sized.select(source.alias("source"), "size", "_mix_key"), "sizes")
+    sized = df.select(row_of(df, own), df[source_col].alias("source"), df[id_col].alias("id"), word_count(df[text_col]).alias("size"),
+                      key_of(df[id_col], seed).alias("key"))
+    facts = stored(sized.select("source", "size", "key"), "sizes")
     n = facts.count()
     digits = max(1, math.ceil(math.log(max(2, n / BUCKET_ROWS), 16)))
-    ranges = stored(facts.groupBy("source", F.substring("_mix_key", 1, digits).alias("range")).agg(F.sum("size").alias("words")), "ranges")
+    ranges = stored(facts.groupBy("source", F.substring("key", 1, digits).alias("range")).agg(F.sum("size").alias("words")), "ranges")
     plan = targets(ranges.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most).select(
         "*", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("epochs"))
     plan = plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
@@ -68,17 +68,14 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # of each source, the first range that ends beyond the rest of the budget; none when the rest is the whole source
     cut = (p.join(ends, p.of.eqNullSafe(F.col("source")), "left").groupBy("of", "source_size", "target", "epochs", "rest")
            .agg(F.min(F.when(F.col("end") > F.col("rest"), F.struct("range", (F.col("end") - F.col("words")).alias("start")))).alias("cut")))
-    cut = stored(cut.select(F.col("of").alias("_mix_of"), F.col("source_size").alias("_mix_size"), F.col("target").alias("_mix_target"),
-                            F.col("epochs").alias("_mix_epochs"), F.col("rest").alias("_mix_rest"),
-                            F.col("cut.range").alias("_mix_cut"), F.col("cut.start").alias("_mix_start")), "cuts")
-    met = sized.withColumn("_mix_range", F.substring("_mix_key", 1, digits)).join(cut, source.eqNullSafe(F.col("_mix_of")))
-    at_cut = F.coalesce(F.col("_mix_range") == F.col("_mix_cut"), F.lit(False))
-    ahead = F.coalesce(F.col("_mix_range") < F.col("_mix_cut"), F.lit(True))
-    sorted_ = Window.partitionBy("_mix_of").orderBy("_mix_key", id_col, "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    until = F.col("_mix_start") + F.sum("size").over(sorted_) - F.col("size") / 2
+    cut = stored(cut.select(F.col("of"), F.col("source_size"), "target", "epochs", "rest", F.col("cut.range").alias("cut"), F.col("cut.start").alias("start")), "cuts")
+    met = sized.withColumn("range", F.substring("key", 1, digits)).join(cut, F.col("source").eqNullSafe(F.col("of")))
+    at_cut = F.coalesce(F.col("range") == F.col("cut"), F.lit(False))
+    ahead = F.coalesce(F.col("range") < F.col("cut"), F.lit(True))
+    sorted_ = Window.partitionBy("of").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.col("start") + F.sum("size").over(sorted_) - F.col("size") / 2
 
     def out(rows: DataFrame, taken: Column) -> DataFrame:
-        return rows.select(*own, "size", F.col("_mix_size").alias("source_size"), F.col("_mix_target").alias("target"),
-                           (F.col("_mix_epochs") + taken.cast("long")).alias("copies"))
+        return rows.select(*unpacked(own), "size", "source_size", "target", (F.col("epochs") + taken.cast("long")).alias("copies"))
 
-    return out(met.where(~at_cut), ahead).unionByName(out(met.where(at_cut), until <= F.col("_mix_rest")))
+    return out(met.where(~at_cut), ahead).unionByName(out(met.where(at_cut), until <= F.col("rest")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chondria.functions.casts import bound
-from chondria.llm.common import stored, text_of
+from chondria.llm.common import row_of, stored, unpacked
 
 ATTEMPTS = 16           # ways to make a surrogate, until it is distinct
 
@@ -199,12 +199,17 @@ def replaced(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "t
     """
     own = [c for c in df.columns if c != "n_entities"]
     text = df[text_col].cast("string")
-    rows = df.select(*[df[c] for c in own], F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>")).alias("_pii_found"))
-    some = F.size("_pii_found") > 0
-    free = rows.where(~F.coalesce(some, F.lit(False))).select(*own, F.lit(0).cast("long").alias("n_entities"))
-    digest = F.sha2(F.col(text_col).cast("string"), 256)
-    held = rows.where(some).select(*own, digest.alias("_pii_key"), "_pii_found")
-    texts = held.select(F.col("_pii_key").alias("key"), F.col(text_col).cast("string").alias("text"), F.col("_pii_found").alias("found")).groupBy("key").agg(F.min("text").alias("text"), F.min("found").alias("found"))
+    rest = [c for c in own if c != text_col]
+    rows = df.select(row_of(df, rest) if rest else F.struct().alias("row"), text.alias("text"), F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(
+        F.array().cast("array<string>")).alias("found"))
+    some = F.coalesce(F.size("found") > 0, F.lit(False))
+
+    def out(cleaned: DataFrame, clean: Column, n: Column) -> DataFrame:
+        return cleaned.select(*[clean.alias(c) if c == text_col else unpacked([c])[0] for c in own], n.cast("long").alias("n_entities"))
+
+    free = out(rows.where(~some), F.col("text"), F.lit(0))
+    held = rows.where(some).withColumn("digest", F.sha2("text", 256))
+    texts = held.groupBy(F.col("digest").alias("key")).agg(F.min("text").alias("text"), F.min("found").alias("found"))
     parts = F.split("text", ANY, -1)
     mentions = texts.select("key", F.posexplode(F.arrays_zip(parts.alias("part"), F.col("found").alias("value"))).alias("at", "x")).select("key", "at", "x.part", "x.value")
     # what stands before a mention may reach back over the last one only as far as its own part
@@ -216,5 +221,5 @@ def replaced(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "t
         "key", "at", "part", F.when(F.col("value").isNotNull(), rendered(F.col("kind"), F.col("value"), F.col("fresh"))).alias("value"))
     whole = joined.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "part", "value"))).alias("parts"), F.count("value").alias("n"))
     whole = whole.select("key", "n", F.array_join(F.transform("parts", lambda p: F.concat(F.coalesce(p["part"], F.lit("")), F.coalesce(p["value"], F.lit("")))), "").alias("clean"))
-    met = held.drop(text_col, "_pii_found").join(whole, F.col("_pii_key") == F.col("key"))
-    return free.unionByName(met.select(*[F.col("clean").alias(c) if c == text_col else F.col(c) for c in own], F.col("n").alias("n_entities")))
+    met = held.select("row", "digest").join(whole, F.col("digest") == F.col("key"))
+    return free.unionByName(out(met, F.col("clean"), F.col("n")))

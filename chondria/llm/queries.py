@@ -81,12 +81,12 @@ ORACLE = {
                           md5('mix:' || doc_id) AS k FROM documents),
         s AS (SELECT source, sum(size)::BIGINT AS source_size,
                      [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w FROM t GROUP BY source),
-        r AS (SELECT *, row_number() OVER o AS at,
+        r AS (SELECT *, row_number() OVER o AS place,
                      (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
                      / (sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS per_w
               FROM s WINDOW o AS (ORDER BY 3 * source_size / w, source NULLS LAST)),
         g AS (SELECT source, source_size, coalesce(least((3 * source_size)::DOUBLE,
-                     (SELECT arg_min(per_w, at) FROM r WHERE 3 * source_size > per_w * w) * w), (3 * source_size)::DOUBLE) AS target FROM r),
+                     (SELECT arg_min(per_w, place) FROM r WHERE 3 * source_size > per_w * w) * w), (3 * source_size)::DOUBLE) AS target FROM r),
         e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM g),
         p AS (SELECT t.doc_id, t.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
                      sum(t.size) OVER (PARTITION BY t.source ORDER BY t.k, t.doc_id, t.size ROWS UNBOUNDED PRECEDING) AS until
