@@ -171,7 +171,8 @@ def spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
 
     row_key = F.xxhash64("id", "tkey")
     found = stored(texts.where(F.octet_length("text") >= length).mapInArrow(packed, "id long, tkey long, first int, final int, at int, bucket long"), "anchors")
-    shared = found.groupBy(F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # stored, so that both sides of the join are shuffled for it, and a hot bucket can be split
+    shared = stored(found.groupBy(F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("b"), "shared")
     active = found.join(shared, F.col("bucket") == F.col("b")).groupBy("id", "tkey").agg(
         F.array_distinct(F.collect_list(F.struct("first", "final", "at", "bucket"))).alias("runs"))
     active = stored(active, "active")
