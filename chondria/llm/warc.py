@@ -98,6 +98,7 @@ def write_archives(pages: DataFrame, folder: str, page_col: str = "page_id", url
                         F.sha1(html).alias("digest"), F.octet_length(html).alias("n"))
     first = rows.where(F.col("n") >= least).groupBy(F.col("digest").alias("d"), F.col("n").alias("m")).agg(
         F.max("page").alias("answer"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
+    first = stored(first, "responses")      # so that both sides of the join are shuffled for it, and a hot payload can be split
     met = rows.join(first, (F.col("digest") == F.col("d")) & (F.col("n") == F.col("m")), "left")
     met = met.select("page", "url", "payload", "digest", F.when(F.col("page") != F.col("answer"), F.col("answer")).alias("refers_to"))
 
