@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from chondria.llm import bits
-from chondria.llm.common import SPACE, row_of, text_of, unpacked
+from chondria.llm.common import SPACE, row_of, stored, text_of, unpacked
 
 
 def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -29,7 +29,8 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     alone = marked.where("not maybe").select(*unpacked(own), F.col("digest").alias("text_sha256"), F.col("id").alias("keep_id"),
                                              F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     maybe = marked.where("maybe")
-    groups = maybe.groupBy(F.col("digest").alias("of")).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size"))
+    # stored, so that both sides of the join are shuffled for it, and a hot group can be split
+    groups = stored(maybe.groupBy(F.col("digest").alias("of")).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size")), "groups")
     met = maybe.join(groups, F.col("digest") == F.col("of")).select(
         *unpacked(own), F.col("digest").alias("text_sha256"), F.col("first").alias("keep_id"), F.col("size").alias("group_size"),
         F.col("id").eqNullSafe(F.col("first")).alias("kept"))
