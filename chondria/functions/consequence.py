@@ -96,7 +96,7 @@ def protein_domains_of_ranked(ranked: Column) -> Column:
     return _text_set(F.flatten(F.transform(known, lambda t: t["domains"])))
 
 
-PLACES = 1 << 20        # more than any array of one variant holds
+PLACES = 1 << 31        # more than any array can hold
 
 
 def _by_code(values: Column, code: Column) -> Column:

@@ -29,6 +29,8 @@ def decode_name(name: str) -> str:
 def encode_columns(df: DataFrame, dot: str | None = "_") -> DataFrame:
     """Rename the top-level columns; ``dot`` replaces full stops for good, ``None`` keeps them reversible."""
     plain = {c: c if dot is None else c.replace(".", dot) for c in df.columns}
+    if len(set(plain.values())) < len(plain):
+        raise ValueError(f"names that differ only in full stops: {sorted(df.columns)}")
     return df.withColumnsRenamed({c: encode_name(p) for c, p in plain.items() if encode_name(p) != c})
 
 

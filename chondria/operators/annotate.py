@@ -78,6 +78,8 @@ def present(cell: Column) -> Column:
 def probands(metadata: DataFrame) -> DataFrame:
     """Distinct non-empty sample ids of the category proband."""
     rows = metadata.filter((F.lower("category") == "proband") & (F.trim("s") != ""))
+    if rows.isEmpty():
+        raise ValueError("the metadata name no proband")
     return rows.select(F.trim("s").alias("s")).distinct()
 
 
@@ -103,15 +105,21 @@ def uncontaminated(rows: DataFrame, status: DataFrame, key: str, spread: list[st
     return keep_listed(rows, bad, key, spread, listed=False)
 
 
+def last_rows(table: DataFrame, key: Column, value: Column, name: str) -> DataFrame:
+    """One row a key, with the value of its last row in the table's order."""
+    placed = table.select(key, value.alias(name), F.monotonically_increasing_id().alias("_place"))
+    return placed.groupBy(placed.columns[0]).agg(F.max_by(name, "_place").alias(name))
+
+
 def with_haplogroup(rows: DataFrame, haplogroups: DataFrame, key: str, spread: list[str]) -> DataFrame:
-    """Adds ``Haplogroup`` from ``(s, haplogroup)``."""
-    table = haplogroups.groupBy(F.col("s").alias(key)).agg(F.max("haplogroup").alias("Haplogroup"))
+    """Adds ``Haplogroup`` from ``(s, haplogroup)``; of a repeated sample the last row counts."""
+    table = last_rows(haplogroups, F.col("s").alias(key), F.col("haplogroup"), "Haplogroup")
     return lookup_join(rows, table, [key], spread, bound=haplogroups)
 
 
 def with_category(rows: DataFrame, metadata: DataFrame, key: str, spread: list[str]) -> DataFrame:
-    """Adds ``Sample_Category``: the metadata id equals the sample id up to its first ``-``, in any case."""
-    table = metadata.groupBy(F.lower("s").alias("_id")).agg(F.max("category").alias("Sample_Category"))
+    """Adds ``Sample_Category``: the metadata id equals the sample id up to its first ``-``, in any case; the last row counts."""
+    table = last_rows(metadata, F.lower("s").alias("_id"), F.col("category"), "Sample_Category")
     named = rows.withColumn("_id", F.lower(F.substring_index(key, "-", 1)))
     return lookup_join(named, table, ["_id"], [*spread, key], bound=metadata).drop("_id")
 

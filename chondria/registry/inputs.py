@@ -94,7 +94,7 @@ SQL["family_coverage"] = SQL["coverage"].replace("l_suppkey as supp", "l_suppkey
 SQL["bed"] = """
 select 'MT' as contig, cast((p_partkey * 37 + 5) % 16569 as int) as start,
        cast((p_partkey * 37 + 5) % 16569 + 1 + p_size % 3 as int) as "end"
-from part where p_type = 'PROMO'"""
+from part"""
 
 # Multi-allelic calls with per-alternate and per-allele arrays, before splitting.
 SQL["multi"] = f"""

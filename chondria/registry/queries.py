@@ -156,7 +156,7 @@ def _vcf_records(spark, sf):
     cells = F.split("line", "\t")
     fixed = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"]
     return _family_lines(spark, sf).select(*[F.get(cells, F.lit(i)).alias(n) for i, n in enumerate(fixed)],
-                                           F.slice(cells, 10, 100000).alias("cells"))
+                                           F.slice(cells, F.lit(10), F.greatest(F.size(cells) - 9, F.lit(0))).alias("cells"))
 
 
 def _vcf_samples(spark, sf):
@@ -178,7 +178,7 @@ def variant_long_carriers(spark, sf):
 
 def _family_probands(spark, sf):
     meta = derived(spark, sf, "samples").select(F.col("family").alias("s"), "category")
-    return A.probands(meta.filter(F.col("family") != "F1"))
+    return A.probands(meta)
 
 
 @query

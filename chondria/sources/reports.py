@@ -24,13 +24,15 @@ def read_contamination(spark: SparkSession, path) -> DataFrame:
     ``s, contamination, major_haplogroup, minor_haplogroup, major_level, minor_level``
     """
     cells = F.transform(F.split("value", "\t"), lambda c: F.replace(c, F.lit('"'), F.lit("")))
-    rows = spark.read.text(path).filter(F.trim("value") != "").select(cells.alias("c"))
+    rows = spark.read.text(path).filter(F.trim("value") != "").select(cells.alias("c"), F.input_file_name().alias("file"))
     header = F.array_contains("c", "SampleID")
     wrong = [~F.get(F.col("c"), F.lit(i - 1)).eqNullSafe(F.lit(name)) for i, name in HAPLO_LAYOUT.items()]
     bad = wrong[0]
     for w in wrong[1:]:
         bad = bad | w
     require_none(rows.filter(header & bad), "Bad contamination file format")
+    heads = rows.groupBy("file").agg(F.count_if(header).alias("headers"))
+    require_none(heads.filter("headers <> 1"), "Contamination file without one header row")
     at = {name: F.get(F.col("c"), F.lit(i - 1)) for i, name in HAPLO_LAYOUT.items()}
     return rows.filter(~header).select(
         F.get(F.col("c"), F.lit(0)).alias("s"), at["Contamination"].alias("contamination"),

@@ -225,6 +225,14 @@ def test_duplicates(spark):
     assert rows(R.duplicate_metrics(marked)) == [("l", 4, 2, 0.5)]
 
 
+def test_duplicates_of_pairs(spark):
+    schema = "qname string, library string, contig string, five_prime int, strand int, mate_five_prime int, mate_strand int, sum_qual int"
+    pairs = [(name, "l", "m", a, s, b, 1 - s, q) for name, q in (("r1", 5), ("r2", 9)) for a, s, b in ((1, 0, 80), (80, 1, 1))]
+    unmapped = [(f"u{i}", "l", None, None, None, None, None, i) for i in range(3)]
+    marked = R.mark_duplicates(spark.createDataFrame(pairs + unmapped, schema)).collect()
+    assert sorted((r["qname"], r["is_duplicate"]) for r in marked) == [("r1", True)] * 2 + [("r2", False)] * 2 + [(f"u{i}", False) for i in range(3)]
+
+
 # --- lists ---------------------------------------------------------------------------------------------------------------
 
 def test_present(spark):
