@@ -73,10 +73,10 @@ select 'S' || cast(supp as string) as s, pos, {_ALLELES}, dp as DP,
 from (select supp, pos, rb, rl, ab, al, max(dp) as dp, max(hl) as hl, max(mq) as mq, max(tlod) as tlod, min(ln) as ln,
              min(flag) as flag
       from (select {_LINE_KEYS}, {_LINE_VALUES} from lineitem) as l group by supp, pos, rb, rl, ab, al) as g"""
-# The same for 25 families, the samples of the queries whose output has one column or cell per sample.
-SQL["family_calls"] = SQL["calls"].replace("l_suppkey as supp", "l_suppkey % 25 as supp").replace("'S' ||", "'F' ||")
+# The same under other sample names, for the queries whose output has one column or cell per sample.
+SQL["family_calls"] = SQL["calls"].replace("'S' ||", "'F' ||")
 SQL["families"] = """
-select 'F' || cast(n_nationkey as string) as s, cast(n_nationkey as bigint) as sample_idx from nation"""
+select 'F' || cast(s_suppkey as string) as s, cast(s_suppkey as bigint) as sample_idx from supplier"""
 
 # Depth at the site of a line item or at that of the neighbouring part, so that calls and coverage overlap.
 SQL["coverage"] = """
@@ -89,7 +89,7 @@ from (select supp, pos, max(cov) as coverage
                         else cast(floor(l_quantity * 30) as int) end as cov
             from lineitem) as l
       group by supp, pos) as g"""
-SQL["family_coverage"] = SQL["coverage"].replace("l_suppkey as supp", "l_suppkey % 25 as supp").replace("'S' ||", "'F' ||")
+SQL["family_coverage"] = SQL["coverage"].replace("'S' ||", "'F' ||")
 
 SQL["bed"] = """
 select 'MT' as contig, cast((p_partkey * 37 + 5) % 16569 as int) as start,

@@ -294,7 +294,7 @@ ORACLE["proband_vcf"] = sql(_FAMILY + " samples", """
 select pos, ref, alt, concat_ws(chr(9), 'MT', pos::varchar, '.', ref, alt, '.', filters, '.',
        'DP:HL:MQ:TLOD:FT', string_agg(cell, chr(9) order by sample_idx)) as line
 from fam_grid where s in (select family from samples where lower(category) = 'proband')
-group by pos, ref, alt, filters""")
+group by pos, ref, alt, filters having max(HL) > 0""")
 
 ORACLE["sample_qc_mtcn"] = sql("coverage nuclear contam mtcn", "select * from mtcn")
 ORACLE["contamination_estimate"] = sql("contam", """

@@ -17,7 +17,7 @@ from chondria.registry.inputs import TRANSCRIPT_FIELDS, derived, load
 from chondria.sinks.tables import coverage_lines, pivoted_coverage
 from chondria.sinks.vcf import body_lines, proband_lines
 
-FAMILIES = [f"F{i}" for i in range(25)]
+FAMILIES = [f"F{i}" for i in range(25)]       # the columns of the pivot, whose feature is a given list
 MAX_FREQ = 600
 TARGETS = [("chrM", 576, 16024), ("chr1", 1, 2000)]
 

@@ -76,7 +76,11 @@ def test_coverage_and_combine_jobs(spark, cohort_files):
     write_vcf(lines, kept, f"{root}/probands", call_files.read_meta(spark, f"{root}/vcf/combined_vcf"), compression=None)
     out = text_of(f"{root}/probands")
     assert out[0] == schema.VCF_META[0] and out[len(schema.VCF_META)].endswith("FORMAT\tC")
-    assert [x.split("\t")[1] for x in out[len(schema.VCF_META) + 1:]] == ["10", "20", "300"]
+    assert [x.split("\t")[1] for x in out[len(schema.VCF_META) + 1:]] == ["20"]       # where the level is above 0
+    by_text, _ = proband_lines(records, samples, ids, by_level=False)
+    assert sorted(r["pos"] for r in by_text.collect()) == [10, 20, 300]
+    with pytest.raises(ValueError, match="no proband"):
+        proband_lines(records, samples, ids.filter("s = 'none'"))
 
 
 def test_quality_job(spark, write, tmp_path):

@@ -329,3 +329,14 @@ def test_bulk_lines(docs):
     assert rows(D.bulk_lines(old, "v", "id"), "value")[0] == ('{"index":{"_index":"v","_id":"1"}}\n{"id":1,"name":"a","$_t_g":"x"}',)
     assert rows(D.bulk_lines(docs[1], "v", "id", "update"), "value")[0][0].endswith('{"doc":{"id":2,"name":null,"n":5}}')
     assert rows(D.bulk_lines(docs[1], "v"), "value")[0][0].startswith('{"index":{"_index":"v"}}\n')
+
+
+def test_last_row_of_a_repeated_sample(spark):
+    calls = spark.createDataFrame([("S1", 1), ("S2", 1)], "SampleID string, POS int")
+    groups = spark.createDataFrame([("S1", "H9"), ("S2", "K"), ("S1", "A1")], "s string, haplogroup string").coalesce(1)
+    assert {r["SampleID"]: r["Haplogroup"] for r in A.with_haplogroup(calls, groups, "SampleID", ["POS"]).collect()} == {"S1": "A1", "S2": "K"}
+
+
+def test_no_proband_is_an_error(spark):
+    with pytest.raises(ValueError, match="no proband"):
+        A.probands(spark.createDataFrame([("S1", "control")], "s string, category string"))

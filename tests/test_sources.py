@@ -111,6 +111,8 @@ def test_contamination_report(spark, write, tmp_path):
     assert rows(reports.read_contamination(spark, write("r/one.txt", report()))) == [("S1", "YES", "H1", "L2", 0.9, 0.1)]
     with pytest.raises(ValueError, match="Bad contamination"):
         reports.read_contamination(spark, write("bad.txt", report("Other")))
+    with pytest.raises(ValueError, match="one header"):
+        reports.read_contamination(spark, write("bare.txt", report().split("\n")[1] + "\n"))
     both = reports.read_report_columns(spark, str(tmp_path / "r/*.txt"), {"SampleID": "Sample_ID", "HgMajor": "Full_Haplogroup"})
     assert rows(both) == [("S1", "H1")]
     none = reports.read_report_columns(spark, str(tmp_path / "none/*.txt"), {"SampleID": "Sample_ID"})
