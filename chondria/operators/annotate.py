@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chondria import schema
 from chondria.functions.casts import number
 from chondria.functions.variant import variant_key
-from chondria.operators.joins import keep_listed, lookup_join, prefixes, settled
+from chondria.operators.joins import keep_listed, lookup_join, prefixes
 from chondria.sources.calls import info_value, tag_value
 
 KEY = ["ref", "pos", "alt"]
@@ -57,7 +57,7 @@ def long_records(records: DataFrame, samples: DataFrame, per_file: bool = False)
     keys = ["file", "idx"] if per_file else ["idx"]
     kept = [c for c in records.columns if c != "cells"]
     rows = records.select(*kept, F.posexplode("cells").alias("idx", "SAMPLE_DATA"))
-    return lookup_join(rows, samples.select(*keys, "SampleID"), keys, ["POS", "REF", "ALT"], "inner").drop("idx")
+    return lookup_join(rows, samples.select(*keys, "SampleID"), keys, "inner").drop("idx")
 
 
 def carriers(rows: DataFrame) -> DataFrame:
@@ -83,26 +83,25 @@ def probands(metadata: DataFrame) -> DataFrame:
     return rows.select(F.trim("s").alias("s")).distinct()
 
 
-def of_probands(rows: DataFrame, ids: DataFrame, key: str, spread: list[str], prefix: bool = False) -> DataFrame:
+def of_probands(rows: DataFrame, ids: DataFrame, key: str, prefix: bool = False) -> DataFrame:
     """Rows of proband samples. With ``prefix`` a sample whose name, up to ``:``, starts with a proband id counts."""
     if not prefix:
-        return keep_listed(rows, ids.select(F.col("s").alias(key)), key, spread)
+        return keep_listed(rows, ids.select(F.col("s").alias(key)), key)
     names = rows.select(key).distinct()
     pieces = names.select(key, F.explode(prefixes(F.substring_index(key, ":", 1))).alias("s"))
-    return keep_listed(rows, pieces.join(ids, "s", "left_semi").select(key), key, spread, computed=True)
+    return keep_listed(rows, pieces.join(ids, "s", "left_semi").select(key), key)
 
 
 def variants_with(rows: DataFrame, is_call: Column, site: list[str]) -> DataFrame:
     """Rows of the sites where some row is a call."""
     hit = rows.groupBy(*site).agg(F.max(is_call).alias("_any")).filter("_any").select(*site)
-    others = [c for c in ("SampleID", "s") if c in rows.columns] or site
-    return lookup_join(rows, hit, site, others, "left_semi", computed=True)
+    return lookup_join(rows, hit, site, "left_semi")
 
 
-def uncontaminated(rows: DataFrame, status: DataFrame, key: str, spread: list[str]) -> DataFrame:
+def uncontaminated(rows: DataFrame, status: DataFrame, key: str) -> DataFrame:
     """Rows of samples whose ``contamination`` is not YES."""
     bad = status.filter(F.upper("contamination") == "YES").select(F.col("s").alias(key))
-    return keep_listed(rows, bad, key, spread, listed=False)
+    return keep_listed(rows, bad, key, listed=False)
 
 
 def last_rows(table: DataFrame, key: Column, value: Column, name: str) -> DataFrame:
@@ -111,17 +110,17 @@ def last_rows(table: DataFrame, key: Column, value: Column, name: str) -> DataFr
     return placed.groupBy(placed.columns[0]).agg(F.max_by(name, "_place").alias(name))
 
 
-def with_haplogroup(rows: DataFrame, haplogroups: DataFrame, key: str, spread: list[str]) -> DataFrame:
+def with_haplogroup(rows: DataFrame, haplogroups: DataFrame, key: str) -> DataFrame:
     """Adds ``Haplogroup`` from ``(s, haplogroup)``; of a repeated sample the last row counts."""
     table = last_rows(haplogroups, F.col("s").alias(key), F.col("haplogroup"), "Haplogroup")
-    return lookup_join(rows, table, [key], spread, bound=haplogroups)
+    return lookup_join(rows, table, [key])
 
 
-def with_category(rows: DataFrame, metadata: DataFrame, key: str, spread: list[str]) -> DataFrame:
+def with_category(rows: DataFrame, metadata: DataFrame, key: str) -> DataFrame:
     """Adds ``Sample_Category``: the metadata id equals the sample id up to its first ``-``, in any case; the last row counts."""
     table = last_rows(metadata, F.lower("s").alias("_id"), F.col("category"), "Sample_Category")
     named = rows.withColumn("_id", F.lower(F.substring_index(key, "-", 1)))
-    return lookup_join(named, table, ["_id"], [*spread, key], bound=metadata).drop("_id")
+    return lookup_join(named, table, ["_id"]).drop("_id")
 
 
 # --- resource tables: ref, pos, alt, one struct, and ``ord`` as the order of rows -------------------------
@@ -210,10 +209,11 @@ def merged_resources(*tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, tables).groupBy(*KEY).agg(*last)
 
 
-def look_up(rows: DataFrame, tables: list[DataFrame], spread: list[str]) -> DataFrame:
-    """Joins resource tables to rows with string columns ``REF, POS, ALT``."""
-    table = merged_resources(*tables).withColumnsRenamed({"ref": "REF", "pos": "POS", "alt": "ALT"})
-    return lookup_join(rows, table, ["REF", "POS", "ALT"], spread, computed=True)
+def look_up(rows: DataFrame, tables: list[DataFrame] | DataFrame) -> DataFrame:
+    """Joins resource tables, or their stored :func:`merged_resources`, to rows with string columns ``REF, POS, ALT``."""
+    table = tables if isinstance(tables, DataFrame) else merged_resources(*tables)
+    table = table.withColumnsRenamed({"ref": "REF", "pos": "POS", "alt": "ALT"})
+    return lookup_join(rows, table, ["REF", "POS", "ALT"])
 
 
 def _found(name: str, field: str, default) -> Column:
@@ -264,9 +264,9 @@ def haplogroup_status(exact_token: bool = False) -> Column:
             .when(F.coalesce(same, F.lit(False)), "haplo_var_match").otherwise("haplo_var_diff_haplo"))
 
 
-def annotated(rows: DataFrame, resources: list[DataFrame], spread: list[str]) -> DataFrame:
+def annotated(rows: DataFrame, resources: list[DataFrame] | DataFrame) -> DataFrame:
     """Rows with the population and clinical columns of the resource tables, and their haplogroup status if known."""
-    out = look_up(rows, resources, spread).withColumns({**population_columns(), **clinical_columns()})
+    out = look_up(rows, resources).withColumns({**population_columns(), **clinical_columns()})
     if "Haplogroup" in out.columns:
         out = out.withColumn("Haplogroup_Var_Status", haplogroup_status())
     return out.drop(*RESOURCES)
@@ -277,17 +277,14 @@ def annotated(rows: DataFrame, resources: list[DataFrame], spread: list[str]) ->
 def cohort_counts(rows: DataFrame, count_all_rows: bool = False) -> DataFrame:
     """Adds ``variant_key``, ``in_cohort_AC`` per variant and ``Freq`` per sample.
 
-    Counts carriers, or every row with ``count_all_rows``. One aggregation finds both counts, combined on the
-    map side; they are joined back as lookups.
+    Counts carriers, or every row with ``count_all_rows``. The counts combine on the map side and are joined back as lookups.
     """
     rows = rows.withColumn("variant_key", variant_key(F.col("POS"), F.col("REF"), F.col("ALT")))
     counted = F.lit(True) if count_all_rows else F.col("Heteroplasmy") > 0
-    both = settled(rows.groupingSets([["variant_key"], ["SampleID"]], "variant_key", "SampleID").agg(
-        F.count_if(counted).alias("n"), F.grouping("variant_key").alias("by_sample")))
-    variants = both.filter("by_sample = 0").select("variant_key", F.col("n").alias("in_cohort_AC"))
-    samples = both.filter("by_sample = 1").select("SampleID", F.col("n").alias("Freq"))
-    out = lookup_join(rows, variants, ["variant_key"], ["SampleID"])
-    return lookup_join(out, samples, ["SampleID"], ["variant_key"])
+    variants = rows.groupBy("variant_key").agg(F.count_if(counted).alias("in_cohort_AC"))
+    samples = rows.groupBy("SampleID").agg(F.count_if(counted).alias("Freq"))
+    out = lookup_join(rows, variants, ["variant_key"])
+    return lookup_join(out, samples, ["SampleID"])
 
 
 def completed(rows: DataFrame, columns: list[str]) -> DataFrame:

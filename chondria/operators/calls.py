@@ -84,12 +84,11 @@ def spans_listed(records: DataFrame, intervals: DataFrame, name: str) -> DataFra
              .dropna().distinct().withColumn("_to", F.col("_at") + F.col("_len") - 1))
     bases = positions(spans, "_at", "_to", ["contig", "_at", "_len"])
     listed = positions(intervals.withColumn("_first", F.col("start") + 1), "_first", "end", ["contig"]).distinct()
-    hits = lookup_join(bases, listed, ["contig", "pos"], ["_at", "_len"], "left_semi", computed=True)
+    hits = lookup_join(bases, listed, ["contig", "pos"], "left_semi")
     hit = hits.select("contig", "_at", "_len").distinct().withColumn(name, F.lit(True))
     marked = (records.withColumn("_at", F.col("pos").cast("long"))
               .withColumn("_len", F.length("ref").cast("long")))
-    spread = [c for c in ("s", "alt") if c in records.columns] or ["ref"]
-    return (lookup_join(marked, hit, ["contig", "_at", "_len"], spread, computed=True)
+    return (lookup_join(marked, hit, ["contig", "_at", "_len"])
             .withColumn(name, F.coalesce(name, F.lit(False))).drop("_at", "_len"))
 
 

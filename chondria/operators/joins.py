@@ -1,60 +1,25 @@
 """Joins and numbering that stay even when one key holds a large share of the rows."""
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-BROADCAST_ROWS = 200_000
-SALTS = 32
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, by a count that tasks add up where the rows are."""
-    return df.count() <= max_rows
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` stored once in the checkpoint folder, for an aggregate that is both counted and joined.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session without one gets a folder of its
-    own; on a cluster without one ``df`` is returned as it is and computed again where it is used.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            return df
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
-
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], how: str = "left",
-                bound: DataFrame | None = None, computed: bool = False, max_rows: int = BROADCAST_ROWS,
-                salts: int = SALTS) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join ``left`` with a lookup table that has few rows per key.
 
-    The lookup side is counted first: within ``max_rows`` it is broadcast and ``left`` is not shuffled. Beyond
-    that the rows of a hot key are spread over ``salts`` partitions by a hash of the ``spread`` columns, and the
-    lookup side is repeated once per salt. ``bound`` is a cheaper table with at least as many rows to count
-    first; ``computed`` says that the lookup side is costly and is to be settled.
+    Nothing is counted or stored while the plan is made. Spark broadcasts the lookup side by its bytes: by the size of
+    its files where it is stored, by the size of its shuffled rows where it is computed
+    (``spark.sql.autoBroadcastJoinThreshold``). Beyond that the join shuffles both sides once, and adaptive execution
+    splits the partition of a hot key among several tasks, each with the few lookup rows of that partition. It does so
+    only where both sides come straight from a shuffle; a lookup grouped by the same keys would not. The hash beside
+    the keys asks for a shuffle of its own in that case too.
     """
-    small = bound is not None and is_small(bound, max_rows)
-    if not small:
-        right = settled(right) if computed else right
-        small = is_small(right, max_rows)
-    if small:
-        return left.join(F.broadcast(right), keys, how)
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    both = [side.withColumn("_hash", F.xxhash64(*keys)) for side in (left, right)]
+    return both[0].join(both[1], [*keys, "_hash"], how).drop("_hash")
 
 
-def keep_listed(left: DataFrame, ids: DataFrame, key: str, spread: list[str], listed: bool = True,
-                computed: bool = False) -> DataFrame:
-    """Rows of ``left`` whose key is (or is not) in ``ids``; a large key list is salted like a lookup."""
-    return lookup_join(left, ids.select(key).distinct(), [key], spread, "left_semi" if listed else "left_anti",
-                       bound=None if computed else ids, computed=computed)
+def keep_listed(left: DataFrame, ids: DataFrame, key: str, listed: bool = True) -> DataFrame:
+    """Rows of ``left`` whose key is (or is not) in ``ids``."""
+    return lookup_join(left, ids.select(key), [key], "left_semi" if listed else "left_anti")
 
 
 def number_within(df: DataFrame, keys: list[str], order: str, name: str, width: int = 65536) -> DataFrame:

@@ -83,13 +83,11 @@ def resolve_hom_refs(calls: DataFrame, coverage: DataFrame, threshold: int = 100
                      sites: DataFrame | None = None) -> DataFrame:
     """Cells of the called sites: called, reference or no call, from calls and coverage ``(s, pos, coverage)``.
 
-    Coverage rows are matched with the sites at their position; a site table that is not small is salted by
-    sample. The result holds each cell with a call or a coverage row once. ``sites`` saves finding the sites of
-    the calls when they are stored already.
+    Coverage rows are matched with the sites at their position. The result holds each cell with a call or a coverage
+    row once. ``sites``, a stored table, saves finding the sites of the calls and moving the coverage to them.
     """
     found = calls.select(*SITE).distinct() if sites is None else sites.select(*SITE)
-    covered = lookup_join(coverage.select("s", "pos", "coverage"), found, ["pos"], ["s"], "inner",
-                          computed=sites is None)
+    covered = lookup_join(coverage.select("s", "pos", "coverage"), found, ["pos"], "inner")
     cells = calls.join(covered, ["s", *SITE], "full")
     return cells.select("s", *SITE, "MQ", "TLOD",
                         *resolved(F.col("HL"), F.col("DP"), F.col("FT"), F.col("coverage"), threshold))
@@ -107,6 +105,23 @@ def state_counts(cells: DataFrame, n_samples: Column) -> DataFrame:
                                     (n_samples - called - ref).alias("n_no_call"))
 
 
+def site_states(calls: DataFrame, coverage: DataFrame, n_samples: Column, threshold: int = 100) -> DataFrame:
+    """The counts of :func:`state_counts` over the resolved matrix, without building its cells.
+
+    The samples over the threshold are counted per position; at a site those of them with a level of their own are taken
+    off again, as they are in the state that the level says. Calls and coverage hold a cell once.
+    """
+    deep = F.col("coverage") > threshold
+    over = coverage.groupBy("pos").agg(F.count_if(deep).alias("_over"))
+    known = F.col("HL").isNotNull()
+    own = calls.select("s", *SITE, "HL").join(coverage.select("s", "pos", "coverage"), ["s", "pos"], "left").groupBy(*SITE).agg(
+        F.count_if(F.col("HL") > 0).alias("n_called"), F.count_if(known & ~(F.col("HL") > 0)).alias("_zero"),
+        F.count_if(known & deep).alias("_deep"))
+    ref = F.coalesce(F.col("_over"), F.lit(0)) - F.col("_deep") + F.col("_zero")
+    return lookup_join(own, over, ["pos"]).select(*SITE, "n_called", ref.alias("n_hom_ref"),
+                                                  (n_samples - F.col("n_called") - ref).alias("n_no_call"))
+
+
 def flag_artifacts(sites: DataFrame, artifact_sites: DataFrame) -> DataFrame:
     """``filters`` of each site: ``artifact_prone_site`` when its reference allele covers a listed base, else PASS.
 
@@ -147,5 +162,5 @@ def densify(entries: DataFrame, sites: DataFrame, samples: DataFrame, site: list
     part = F.pmod(F.xxhash64("s"), F.greatest(n_blocks, F.lit(1))).cast("int")
     grid = sites.select(*site).distinct().withColumn(
         "_block", F.explode(F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0)))))
-    cells = lookup_join(grid, names.withColumn("_block", part), ["_block"], site, "inner", bound=samples).drop("_block")
+    cells = lookup_join(grid, names.withColumn("_block", part), ["_block"], "inner").drop("_block")
     return cells.join(entries, [*site, "s"], "left")

@@ -56,6 +56,22 @@ def good_quality(reads: DataFrame, mapq: int = 20, baseq: int = 20) -> DataFrame
     return reads.filter((F.col("mapq") >= mapq) & (F.col("baseq") >= baseq))
 
 
+def good_bases(reads: DataFrame, mapq: int = 20, baseq: int = 20) -> DataFrame:
+    """The runs of good bases of well placed reads, as blocks ``s, contig, start, end`` for :func:`per_base_depth`.
+
+    ``reads`` has ``quals``, one quality per base from ``start`` on; a missing quality is none, and a read without one has no block.
+    """
+    good = F.transform("quals", lambda q: F.coalesce(q >= baseq, F.lit(False)))
+
+    def edges(step: int) -> Column:
+        """Places of good bases whose neighbour is not good."""
+        places = F.sequence(F.lit(0), F.size("_good") - 1)
+        return F.filter(places, lambda i: F.get("_good", i) & ~F.coalesce(F.get("_good", i + step), F.lit(False)))
+    runs = (reads.filter((F.col("mapq") >= mapq) & (F.size("quals") > 0)).withColumn("_good", good)
+            .select("s", "contig", F.col("start").alias("_at"), F.inline(F.arrays_zip(edges(-1).alias("a"), edges(1).alias("b")))))
+    return runs.select("s", "contig", (F.col("_at") + F.col("a")).alias("start"), (F.col("_at") + F.col("b")).alias("end"))
+
+
 def per_base_depth(reads: DataFrame, targets: DataFrame, cap: int | None = None, samples: DataFrame | None = None,
                    width: int = TILE) -> DataFrame:
     """``(s, contig, pos, depth)`` of every target position of every sample, zero depth included.
@@ -70,7 +86,7 @@ def per_base_depth(reads: DataFrame, targets: DataFrame, cap: int | None = None,
     steps = reads.filter(F.col("end") >= F.col("start")).select("s", "contig", F.inline(ends))
     groups = (reads if samples is None else samples).select("s", "contig").distinct()
     cut = targets.select("contig", "start", "end", F.explode(tiles(F.col("start"), F.col("end"), width)).alias("t"))
-    pieces = lookup_join(groups, cut, ["contig"], ["s"], "inner").select(
+    pieces = lookup_join(groups, cut, ["contig"], "inner").select(
         "s", "contig", F.greatest(F.col("start").cast("long"), F.col("t") * width).alias("a"),
         F.least(F.col("end").cast("long"), F.col("t") * width + (width - 1)).alias("b"))
     wanted = positions(pieces, "a", "b", ["s", "contig"], width)

@@ -45,7 +45,7 @@ def sample_groups(typed: DataFrame) -> DataFrame:
 def usable_rows(typed: DataFrame) -> DataFrame:
     """Rows of the samples without a problem."""
     good = sample_groups(typed).filter(F.col("problem").isNull())
-    return keep_listed(typed, good, "id", ["file1"], computed=True)
+    return keep_listed(typed, good, "id")
 
 
 def split_by_type(typed: DataFrame) -> dict[str, DataFrame]:
@@ -93,11 +93,12 @@ def passed(value: Column) -> Column:
     return F.coalesce(F.lower(F.trim(value.cast("string"))).isin(schema.PASS_WORDS), F.lit(False))
 
 
-def gate(rows: DataFrame, qc: DataFrame, spread: list[str], key: str = "s") -> tuple[DataFrame, DataFrame]:
-    """Rows of passing samples, and the QC rows of failing ones."""
-    name = pass_column(qc.columns)
+def gate(rows: DataFrame, qc: DataFrame, key: str = "s") -> tuple[DataFrame, DataFrame]:
+    """Rows of passing samples, and the QC rows of failing ones. A single column beside the key is the verdict, whatever its name."""
+    others = [c for c in qc.columns if c != key]
+    name = pass_column(qc.columns) or (others[0] if len(others) == 1 else None)
     ok = passed(F.col(f"`{name}`")) if name else F.lit(False)
-    return keep_listed(rows, qc.filter(ok).select(key), key, spread, computed=True), qc.filter(~ok)
+    return keep_listed(rows, qc.filter(ok).select(key), key), qc.filter(~ok)
 
 
 def sample_ids(sheet: DataFrame) -> DataFrame:
@@ -118,7 +119,7 @@ def manifest_subset(participants: DataFrame, wanted: DataFrame, path_column: str
     ``participants`` has ``participant, s, <path_column>, <order>``; ``existing`` lists ``path_key``.
     """
     rows = participants.filter(F.col(path_column) != "").withColumnRenamed(path_column, "path")
-    rows = keep_listed(rows, wanted, "participant", [order])
+    rows = keep_listed(rows, wanted, "participant")
     if existing is not None:
-        rows = keep_listed(rows.withColumn("path_key", path_key(F.col("path"))), existing, "path_key", [order])
+        rows = keep_listed(rows.withColumn("path_key", path_key(F.col("path"))), existing, "path_key")
     return rows.groupBy("s").agg(F.max_by("path", order).alias("path"))

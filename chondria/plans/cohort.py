@@ -1,12 +1,10 @@
 """Coverage and combine jobs over all samples of a manifest."""
 
-from collections.abc import Callable
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chondria.operators import matrix
-from chondria.sinks.tables import write_matrix, write_stage, write_tsv, write_wide_coverage
+from chondria.plans.stages import fingerprint, output, stage
+from chondria.sinks.tables import read_matrix, write_matrix, write_tsv, write_wide_coverage
 from chondria.sinks.vcf import body_lines, write_vcf
 from chondria.sources.calls import read_calls
 from chondria.sources.coverage import read_coverage
@@ -14,16 +12,6 @@ from chondria.sources.reports import read_bed
 from chondria.sources.tables import read_manifest
 
 
-def stage(spark: SparkSession, path: str, build: Callable[[], DataFrame], overwrite: bool = False) -> DataFrame:
-    """The stored table at ``path``; built and stored first when absent or when ``overwrite``."""
-    if not overwrite:
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException:
-            pass
-    return write_stage(build(), path, overwrite)
-
-
 def indexed_samples(manifest: DataFrame) -> DataFrame:
     """``(s, sample_idx)`` in manifest order."""
     return manifest.select("s", F.col("row_no").alias("sample_idx"))
@@ -31,15 +19,21 @@ def indexed_samples(manifest: DataFrame) -> DataFrame:
 
 def coverage_job(spark: SparkSession, coverage_path: str, manifest_path: str, out: str, overwrite: bool = False,
                  exact_median: bool = False) -> DataFrame:
-    """Writes the coverage matrix, the per-site table (stored and as text) and the sample-level text table."""
+    """Writes the coverage matrix, the per-site table (stored and as text) and the sample-level text table.
+
+    Outputs that are whole and of the same input files are kept; ``overwrite`` writes all of them anew.
+    """
+    key = fingerprint(spark, [coverage_path, manifest_path], exact_median)
     manifest = read_manifest(spark, manifest_path)
-    samples = stage(spark, f"{out}/samples", lambda: indexed_samples(manifest), overwrite)
+    samples = stage(spark, f"{out}/samples", lambda: indexed_samples(manifest), key, overwrite)
     raw = read_coverage(spark, coverage_path, manifest)
-    entries = write_matrix(matrix.unique_cells(raw, ["chrom", "pos", "s"]), f"{out}/coverage_matrix", overwrite)
+    output(spark, f"{out}/coverage_matrix",
+           lambda path: write_matrix(matrix.unique_cells(raw, ["chrom", "pos", "s"]), path, overwrite=True), key, overwrite)
+    entries = read_matrix(spark, f"{out}/coverage_matrix")
     n = samples.agg(F.count(F.lit(1))).scalar()
-    sites = write_stage(matrix.site_coverage(entries, n, exact_median), f"{out}/coverage_sites", overwrite)
-    write_tsv(sites.orderBy("pos"), f"{out}/coverage_sites_tsv")
-    write_wide_coverage(entries, samples, f"{out}/coverage_sample_level")
+    sites = stage(spark, f"{out}/coverage_sites", lambda: matrix.site_coverage(entries, n, exact_median), key, overwrite)
+    output(spark, f"{out}/coverage_sites_tsv", lambda path: write_tsv(sites.orderBy("pos"), path), key, overwrite)
+    output(spark, f"{out}/coverage_sample_level", lambda path: write_wide_coverage(entries, samples, path), key, overwrite)
     return sites
 
 
@@ -47,21 +41,25 @@ def combine_job(spark: SparkSession, calls_path: str, manifest_path: str, covera
                 out: str, threshold: int = 100, overwrite: bool = False) -> DataFrame:
     """Writes the raw and the resolved matrix, the site table and the cohort VCF; returns the resolved matrix.
 
-    ``coverage`` has ``pos, s, coverage``. The artifact sites lie on the one contig of the calls.
+    ``coverage`` is a stored table with ``pos, s, coverage``. The artifact sites lie on the one contig of the calls.
+    Outputs are kept or written anew as in :func:`coverage_job`.
     """
+    key = fingerprint(spark, [calls_path, manifest_path, artifact_bed], sorted(coverage.inputFiles()), threshold)
     manifest = read_manifest(spark, manifest_path)
-    samples = stage(spark, f"{out}/samples", lambda: indexed_samples(manifest), overwrite)
+    samples = stage(spark, f"{out}/samples", lambda: indexed_samples(manifest), key, overwrite)
 
     def raw() -> DataFrame:
         entries = matrix.entry_columns(read_calls(spark, calls_path, manifest))
         _, pos = matrix.as_mt(F.col("pos"))
         return matrix.unique_cells(entries.withColumn("pos", pos), ["s", *matrix.SITE])
-    calls = stage(spark, f"{out}/raw_matrix", raw, overwrite)
+    calls = stage(spark, f"{out}/raw_matrix", raw, key, overwrite)
     calls = calls.withColumn("FT", matrix.cleaned_filters(F.col("FT")))
     bed = read_bed(spark, artifact_bed).withColumn("contig", F.lit("MT"))
     found = calls.select(F.lit("MT").alias("contig"), *matrix.SITE).distinct()
-    sites = write_stage(matrix.flag_artifacts(found, bed), f"{out}/sites", overwrite)
-    cells = write_matrix(matrix.resolve_hom_refs(calls, coverage, threshold, sites), f"{out}/matrix", overwrite)
+    sites = stage(spark, f"{out}/sites", lambda: matrix.flag_artifacts(found, bed), key, overwrite)
+    output(spark, f"{out}/matrix",
+           lambda path: write_matrix(matrix.resolve_hom_refs(calls, coverage, threshold, sites), path, overwrite=True), key, overwrite)
+    cells = read_matrix(spark, f"{out}/matrix")
     lines = body_lines(cells.withColumn("contig", F.lit("MT")), sites, samples)
-    write_vcf(lines, samples, f"{out}/combined_vcf")
+    output(spark, f"{out}/combined_vcf", lambda path: write_vcf(lines, samples, path), key, overwrite)
     return cells

@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chondria import schema
 from chondria.operators import annotate as A
-from chondria.operators.joins import settled
-from chondria.sinks.tables import write_lists
+from chondria.plans.stages import fingerprint, output, stage
+from chondria.sinks.tables import write_tsv
 from chondria.sources import tables
 
 # Source columns each resource reader needs, and whether ``#`` starts a comment in its file.
@@ -32,49 +32,52 @@ def read_resources(spark: SparkSession, paths: dict[str, str]) -> list[DataFrame
     return parts
 
 
-def ordered_candidates(prefilter: DataFrame, max_freq: int, disease_first: bool) -> DataFrame:
-    """Final list. The candidates are stored before sorting, as sorting reads its input twice."""
-    return settled(A.keep_candidates(prefilter, max_freq)).orderBy(*A.list_order(prefilter, disease_first))
-
-
-def single_lists(rows: DataFrame, resources: list[DataFrame], haplogroups: DataFrame, status: DataFrame | None = None,
-                 metadata: DataFrame | None = None, max_freq: int = 100,
-                 positional: bool = False) -> tuple[DataFrame, DataFrame]:
-    """``(prefilter, final)`` of long records, every sample annotated on its own.
+def single_prefilter(rows: DataFrame, resources: list[DataFrame] | DataFrame, haplogroups: DataFrame,
+                     status: DataFrame | None = None, metadata: DataFrame | None = None, positional: bool = False) -> DataFrame:
+    """Long records, every sample annotated on its own.
 
     ``rows`` has the fixed columns, ``SampleID`` and ``SAMPLE_DATA``; ``haplogroups`` is ``(s, haplogroup)`` and
     ``status`` ``(s, contamination)``. Contaminated samples give no rows.
     """
-    site = ["POS", "REF", "ALT"]
     kept = A.without_hard_filters(rows)
     if status is not None:
-        kept = A.uncontaminated(kept, status, "SampleID", site)
+        kept = A.uncontaminated(kept, status, "SampleID")
     parsed = (A.format_by_position if positional else A.format_by_tag)(kept)
     parsed = A.consequence_fields(parsed, schema.CONSEQUENCE_COLUMNS)
-    parsed = A.with_haplogroup(parsed, haplogroups, "SampleID", site)
+    parsed = A.with_haplogroup(parsed, haplogroups, "SampleID")
     if metadata is not None:
-        parsed = A.with_category(parsed, metadata, "SampleID", site)
+        parsed = A.with_category(parsed, metadata, "SampleID")
     if "Freq" not in parsed.columns:
         parsed = parsed.withColumn("Freq", F.lit(0))
-    full = A.annotated(parsed, resources, ["SampleID"]).withColumnRenamed("SampleID", "SAMPLE_ID")
-    prefilter = A.completed(full, schema.SINGLE_LIST)
-    return prefilter, ordered_candidates(prefilter, max_freq, disease_first=False)
+    return A.completed(A.annotated(parsed, resources).withColumnRenamed("SampleID", "SAMPLE_ID"), schema.SINGLE_LIST)
 
 
-def cohort_lists(rows: DataFrame, resources: list[DataFrame], probands: DataFrame | None = None, max_freq: int = 100,
-                 carriers_only: bool = False, count_all_rows: bool = False,
-                 prefix: bool = False) -> tuple[DataFrame, DataFrame]:
-    """``(prefilter, final)`` of long cohort records with in-cohort counts; ``probands`` restricts the samples."""
+def cohort_prefilter(rows: DataFrame, resources: list[DataFrame] | DataFrame, probands: DataFrame | None = None,
+                     carriers_only: bool = False, count_all_rows: bool = False, prefix: bool = False) -> DataFrame:
+    """Long cohort records with in-cohort counts, annotated; ``probands`` restricts the samples."""
     if probands is not None:
-        rows = A.of_probands(rows, probands, "SampleID", ["POS", "REF", "ALT"], prefix)
+        rows = A.of_probands(rows, probands, "SampleID", prefix)
     parsed = A.format_by_tag(A.without_hard_filters(rows))
     if carriers_only:
         parsed = A.carriers(parsed)
     parsed = A.consequence_fields(A.cohort_counts(parsed, count_all_rows), schema.CONSEQUENCE_COLUMNS)
-    prefilter = A.completed(A.annotated(parsed, resources, ["SampleID"]), schema.COHORT_LIST)
-    return prefilter, ordered_candidates(prefilter, max_freq, disease_first=True)
+    return A.completed(A.annotated(parsed, resources), schema.COHORT_LIST)
+
+
+def final_list(prefilter: DataFrame, max_freq: int = 100, disease_first: bool = False) -> DataFrame:
+    """The candidates of a prefilter list in order. Sorting reads its input twice, so a job gives it the written prefilter."""
+    return A.keep_candidates(prefilter, max_freq).orderBy(*A.list_order(prefilter, disease_first))
 
 
-def lists_job(lists: tuple[DataFrame, DataFrame], out: str, proband_mode: bool = False) -> None:
-    prefilter, final = lists
-    write_lists(prefilter, final, out, proband_mode)
+def lists_job(prefilter: DataFrame, out: str, proband_mode: bool = False, max_freq: int = 100, disease_first: bool = False,
+              overwrite: bool = False, inputs: list[str] | None = None) -> DataFrame:
+    """Writes the list pair and returns the final one. The prefilter list is stored first: both texts come from the stored
+    rows, so that the annotation runs once. ``inputs`` are the paths whose change makes stored results stale."""
+    spark = prefilter.sparkSession
+    key = fingerprint(spark, inputs or prefilter.inputFiles(), proband_mode, max_freq, disease_first)
+    lead = "Proband_" if proband_mode else ""
+    stored = stage(spark, f"{out}/{lead}prefilter", lambda: prefilter, key, overwrite)
+    final = final_list(stored, max_freq, disease_first)
+    output(spark, f"{out}/{lead}variant_list_prefiltering", lambda path: write_tsv(stored, path), key, overwrite)
+    output(spark, f"{out}/{lead}variant_list", lambda path: write_tsv(final, path), key, overwrite)
+    return final

@@ -9,9 +9,7 @@ from chondria import schema
 from chondria.functions import consequence as C, lof, names, variant as V
 from chondria.operators import annotate as A, calls as L, copynumber as N, documents as D, matrix as M, reads as R
 from chondria.operators import sheet as S
-from chondria.operators.joins import settled
-from chondria.operators.joins import lookup_join
-from chondria.plans.lists import cohort_lists, single_lists
+from chondria.plans.lists import cohort_prefilter, final_list, single_prefilter
 from chondria.plans.quality import reported_contamination
 from chondria.registry.inputs import TRANSCRIPT_FIELDS, derived, load
 from chondria.sinks.tables import coverage_lines, pivoted_coverage
@@ -87,8 +85,8 @@ def ft_clean(spark, sf):
     return _clean(_entries(spark, sf)).select("s", "pos", "ref", "alt", _names("FT").alias("FT"))
 
 
-def _resolved(spark, sf, sites=None):
-    return M.resolve_hom_refs(_clean(_entries(spark, sf)), derived(spark, sf, "coverage"), sites=sites)
+def _resolved(spark, sf):
+    return M.resolve_hom_refs(_clean(_entries(spark, sf)), derived(spark, sf, "coverage"))
 
 
 @query
@@ -102,7 +100,7 @@ def homref_state_counts(spark, sf):
 
 
 def _sites(spark, sf):
-    return settled(derived(spark, sf, "calls").select("pos", "ref", "alt").distinct()).withColumn("contig", F.lit("MT"))
+    return derived(spark, sf, "calls").select("pos", "ref", "alt").distinct().withColumn("contig", F.lit("MT"))
 
 
 @query
@@ -141,7 +139,7 @@ def matrix_densify(spark, sf):
 
 def _family_lines(spark, sf):
     cells = _clean(_entries(spark, sf, "family_calls")).withColumn("contig", F.lit("MT"))
-    sites = settled(cells.select("contig", "pos", "ref", "alt").distinct())
+    sites = cells.select("contig", "pos", "ref", "alt").distinct()
     sites = M.flag_artifacts(sites, derived(spark, sf, "bed"))
     return body_lines(cells, sites, derived(spark, sf, "families"))
 
@@ -227,14 +225,14 @@ def contamination_estimate(spark, sf):
 @query
 def qc_gate(spark, sf):
     qc = _mtcn(spark, sf).select(F.col("Sample_ID").alias("s"), F.col("Pass_Filter").cast("string").alias("pass filter"))
-    kept, _ = S.gate(derived(spark, sf, "calls"), qc, ["pos", "ref", "alt"])
+    kept, _ = S.gate(derived(spark, sf, "calls"), qc)
     return kept.select("s", "pos", "ref", "alt", "DP")
 
 
 @query
 def qc_failed(spark, sf):
     qc = _mtcn(spark, sf).select(F.col("Sample_ID").alias("s"), "mtCN_final", "Pass_Filter")
-    return S.gate(derived(spark, sf, "calls"), qc, ["pos"])[1]
+    return S.gate(derived(spark, sf, "calls"), qc)[1]
 
 
 # --- sample sheet -----------------------------------------------------------------------------------------
@@ -407,7 +405,7 @@ ANNOTATIONS = {
 
 
 def _annot(name, spark, sf):
-    return A.annotated(_call_keys(spark, sf), [_resource(spark, sf, name)], ["SampleID"]).select(
+    return A.annotated(_call_keys(spark, sf), [_resource(spark, sf, name)]).select(
         "SampleID", "POS", "REF", "ALT", *ANNOTATIONS[name])
 
 
@@ -421,8 +419,8 @@ def _haplogroups(spark, sf):
 
 @query
 def annot_haplogroup(spark, sf):
-    rows = A.with_haplogroup(_call_keys(spark, sf), _haplogroups(spark, sf), "SampleID", ["POS", "REF", "ALT"])
-    out = A.look_up(rows, [_resource(spark, sf, "haplo")], ["SampleID"])
+    rows = A.with_haplogroup(_call_keys(spark, sf), _haplogroups(spark, sf), "SampleID")
+    out = A.look_up(rows, [_resource(spark, sf, "haplo")])
     return out.select("SampleID", "POS", "REF", "ALT", "Haplogroup", A.haplogroup_status().alias("status"),
                       A.haplogroup_status(exact_token=True).alias("token_status"))
 
@@ -431,7 +429,7 @@ def annot_haplogroup(spark, sf):
 def annot_category(spark, sf):
     meta = derived(spark, sf, "samples").select("s", "category")
     rows = _call_keys(spark, sf).withColumn("SampleID", F.concat(F.lower("SampleID"), F.lit("-run1")))
-    return A.with_category(rows, meta, "SampleID", ["POS", "REF", "ALT"])
+    return A.with_category(rows, meta, "SampleID")
 
 
 @query
@@ -472,7 +470,7 @@ def cohort_counts(spark, sf):
 @query
 def contaminated_out(spark, sf):
     status = derived(spark, sf, "samples").select("s", "contamination")
-    return A.uncontaminated(_call_keys(spark, sf), status, "SampleID", ["POS", "REF", "ALT"])
+    return A.uncontaminated(_call_keys(spark, sf), status, "SampleID")
 
 
 def _probands(spark, sf):
@@ -486,61 +484,65 @@ def proband_set(spark, sf):
 
 @query
 def proband_filter(spark, sf):
-    return A.of_probands(_call_keys(spark, sf), _probands(spark, sf), "SampleID", ["POS", "REF", "ALT"])
+    return A.of_probands(_call_keys(spark, sf), _probands(spark, sf), "SampleID")
 
 
 @query
 def proband_prefix(spark, sf):
-    return A.of_probands(_call_keys(spark, sf), _probands(spark, sf), "SampleID", ["POS", "REF", "ALT"], prefix=True)
+    return A.of_probands(_call_keys(spark, sf), _probands(spark, sf), "SampleID", prefix=True)
 
 
 @query
 def proband_present(spark, sf):
-    rows = A.of_probands(_records(spark, sf), _probands(spark, sf), "SampleID", ["POS", "REF", "ALT"])
+    rows = A.of_probands(_records(spark, sf), _probands(spark, sf), "SampleID")
     return A.variants_with(rows, A.present(F.col("SAMPLE_DATA")), ["POS", "REF", "ALT"]).select(
         "SampleID", "POS", "REF", "ALT", "SAMPLE_DATA")
 
 
 def _single(spark, sf):
     samples = derived(spark, sf, "samples")
-    return single_lists(_records(spark, sf), _resources(spark, sf), samples.select("s", "haplogroup"),
-                        samples.select("s", "contamination"))
+    return single_prefilter(_records(spark, sf), _resources(spark, sf), samples.select("s", "haplogroup"),
+                            samples.select("s", "contamination"))
 
 
 @query
 def prefilter_single(spark, sf):
-    return _single(spark, sf)[0]
+    return _single(spark, sf)
 
 
 @query
 def final_single(spark, sf):
-    return _single(spark, sf)[1]
+    return final_list(_single(spark, sf))
+
+
+def _cohort(spark, sf, probands=None):
+    return cohort_prefilter(_records(spark, sf), _resources(spark, sf), probands)
 
 
 @query
 def prefilter_cohort(spark, sf):
-    return cohort_lists(_records(spark, sf), _resources(spark, sf), max_freq=MAX_FREQ)[0]
+    return _cohort(spark, sf)
 
 
 @query
 def final_cohort(spark, sf):
-    return cohort_lists(_records(spark, sf), _resources(spark, sf), max_freq=MAX_FREQ)[1]
+    return final_list(_cohort(spark, sf), MAX_FREQ, disease_first=True)
 
 
 @query
 def final_disease(spark, sf):
-    return cohort_lists(_records(spark, sf), _resources(spark, sf), _probands(spark, sf), max_freq=MAX_FREQ)[1]
+    return final_list(_cohort(spark, sf, _probands(spark, sf)), MAX_FREQ, disease_first=True)
 
 
 @query
 def cohort_site_report(spark, sf):
     """Sites of the cohort matrix with cell counts, artifact flag and resource values, rarest first."""
     found = _sites(spark, sf)
-    counts = M.state_counts(_resolved(spark, sf, found), _n_samples(spark, sf))
+    counts = M.site_states(_clean(_entries(spark, sf)), derived(spark, sf, "coverage"), _n_samples(spark, sf))
     sites = counts.join(M.flag_artifacts(found, derived(spark, sf, "bed")).drop("contig"), M.SITE)
     keyed = sites.select(F.col("pos").cast("string").alias("POS"), F.col("ref").alias("REF"), F.col("alt").alias("ALT"),
                          "n_called", "n_hom_ref", "n_no_call", _names("filters").alias("filters"))
-    out = A.annotated(keyed, _resources(spark, sf), ["POS", "REF", "ALT"]).select(
+    out = A.annotated(keyed, _resources(spark, sf)).select(
         *keyed.columns, "gnomad_af_hom", "helix_af_hom", "mitomap_af", "mitomap_disease", "clinvar_interp")
     return out.orderBy(F.asc_nulls_last("gnomad_af_hom"), "POS", "REF", "ALT")
 

@@ -6,12 +6,6 @@ from chondria.sinks.wide import header_cells, wide_rows
 from chondria.sources.files import require_none
 
 
-def write_stage(df: DataFrame, path: str, overwrite: bool = False) -> DataFrame:
-    """Stores a table and returns it read back, so that later jobs start from the stored rows."""
-    df.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def write_matrix(entries: DataFrame, path: str, overwrite: bool = False, buckets: int = 64) -> DataFrame:
     """Stores long entries in directories by sample bucket, each file sorted by position.
 
@@ -53,13 +47,6 @@ def write_wide_coverage(coverage: DataFrame, samples: DataFrame, path: str, key:
     (head.unionByName(rows).orderBy(F.asc_nulls_first(key)).select("line").write.mode("overwrite").text(path))
 
 
-def write_lists(prefilter: DataFrame, final: DataFrame, directory: str, proband_mode: bool = False) -> None:
-    """The list pair; ``final`` is written in its own order."""
-    lead = "Proband_" if proband_mode else ""
-    write_tsv(prefilter, f"{directory}/{lead}variant_list_prefiltering")
-    write_tsv(final, f"{directory}/{lead}variant_list")
-
-
 def write_report_metadata(reports: DataFrame, directory: str) -> None:
     """Haplogroup and contamination tables from contamination reports."""
     write_tsv(reports.select(F.col("s").alias("Sample_ID"), F.col("major_haplogroup").alias("Full_Haplogroup")),

@@ -30,7 +30,7 @@ def numbered_lines(spark: SparkSession, path) -> DataFrame:
     splits = rows.groupBy("_file", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     bases = splits.select("_file", "_start", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
-    return (lookup_join(rows, bases, ["_file", "_start"], ["_id"], "inner", bound=splits)
+    return (lookup_join(rows, bases, ["_file", "_start"], "inner")
             .select((F.col("_base") + F.col("_id") - F.col("_first")).alias("row_no"), "value"))
 
 

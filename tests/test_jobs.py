@@ -1,5 +1,6 @@
 import glob
 import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,8 +69,7 @@ def test_coverage_and_combine_jobs(spark, cohort_files):
         "MT\t20\t.\tC\tT\t.\tPASS\t.\tDP:HL:MQ:TLOD:FT\t150:0.0:.:.:PASS\t.:.:.:.:.\t800:0.9:50.0:9.5:PASS",
         "MT\t300\t.\tAC\tA\t.\tartifact_prone_site\t.\tDP:HL:MQ:TLOD:FT\t90:0.2:50.0:9.5:PASS\t101:0.0:.:.:PASS\t.:.:.:.:."]
 
-    # A finished stage is reused, and the cohort VCF can be read back and cut down to probands.
-    assert cohort.stage(spark, f"{root}/vcf/sites", lambda: 1 / 0).count() == 3
+    # The cohort VCF can be read back and cut down to probands.
     records, samples = call_files.read_annotated(spark, f"{root}/vcf/combined_vcf")
     ids = spark.createDataFrame([("C",), ("none",)], "s string")
     lines, kept = proband_lines(records, samples, ids)
@@ -83,6 +83,49 @@ def test_coverage_and_combine_jobs(spark, cohort_files):
         proband_lines(records, samples, ids.filter("s = 'none'"))
 
 
+def changed(root):
+    """Times of the data files below ``root``."""
+    return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{root}/**/part-*", recursive=True)}
+
+
+def test_reruns(spark, cohort_files):
+    root = cohort_files
+
+    def coverage(**options):
+        return cohort.coverage_job(spark, f"{root}/cov", f"{root}/cov.list", f"{root}/out", **options)
+
+    def combine():
+        stored = sinks.read_matrix(spark, f"{root}/out/coverage_matrix")
+        return cohort.combine_job(spark, f"{root}/calls", f"{root}/calls.list", stored, f"{root}/sites.bed", f"{root}/vcf")
+    want = coverage().collect()
+    assert combine().count() == 8
+    before = changed(f"{root}/out") | changed(f"{root}/vcf")
+    assert coverage().collect() == want and combine().count() == 8
+    assert changed(f"{root}/out") | changed(f"{root}/vcf") == before                  # whole and unchanged: all kept
+
+    # Cut off between stages and inside one: the marker of the end is missing.
+    for name in ("vcf/matrix", "out/coverage_sites"):
+        os.rename(f"{root}/{name}.done", f"{root}/{name.replace('/', '_')}.lost")
+    assert coverage().collect() == want and combine().count() == 8
+    again = changed(f"{root}/out") | changed(f"{root}/vcf")
+    anew = {p.rsplit("/part-", 1)[0].split(f"{root}/")[1].split("/bucket")[0] for p in set(again) - set(before)}
+    assert {p for p in anew if not p.endswith((".started", ".done"))} == {"vcf/matrix", "out/coverage_sites"}
+
+    # A longer manifest makes every result of it stale.
+    with open(f"{root}/cov.list", "a") as f:
+        f.write(f"D\t{root}/cov/D.per_base_coverage.tsv\n")
+    with open(f"{root}/cov/D.per_base_coverage.tsv", "w") as f:
+        f.write("chrom\tpos\ttarget\tcoverage\nchrM\t10\tt\t1700\n")
+    assert coverage().filter("pos = 10").first()["over_1000"] == 0.2
+    assert text_of(f"{root}/out/coverage_sample_level")[0] == "pos\tA\tB\tC\tgone\tD"
+    assert coverage(overwrite=True).count() == 3
+
+    # A folder that is none of the job's own is not replaced.
+    spark.range(1).write.parquet(f"{root}/other/samples")
+    with pytest.raises(FileExistsError):
+        cohort.coverage_job(spark, f"{root}/cov", f"{root}/cov.list", f"{root}/other")
+
+
 def test_quality_job(spark, write, tmp_path):
     from test_sources import METRICS, report
     write("m/S1.wgs.txt", METRICS.replace("30.5", "4").replace("\t31\n", "\t5\n"))
@@ -110,25 +153,30 @@ def test_list_jobs(spark, write, tmp_path):
     gnomad = tables.read_commented(spark, write("g.tsv", "ref\tposition\talt\tmax_observed_heteroplasmy\tAF_hom\tAF_het\nA\t10\tG\t0.5\t0.001\t0\n"),
                                    ["ref", "position", "alt", "max_observed_heteroplasmy", "AF_hom", "AF_het"])
     table = [A.gnomad(gnomad)]
-    pre, final = lists.cohort_lists(rows, table)
+    pre = lists.cohort_prefilter(rows, table)
+    final = lists.final_list(pre, disease_first=True)
     assert pre.columns == schema.COHORT_LIST and pre.count() == 4
     assert [(r["SampleID"], r["POS"], r["in_cohort_AC"], r["Freq"], r["gnomad_af_hom"]) for r in final.collect()] == [("P1", "10", 1, 2, 0.001)]
-    lists.lists_job((pre, final), str(tmp_path / "out"), proband_mode=True)
+    written = lists.lists_job(pre, str(tmp_path / "out"), proband_mode=True, disease_first=True)
+    assert written.collect() == final.collect()
+    assert all("/Proband_prefilter/" in f for f in written.inputFiles())              # annotated once: the final plan reads the written rows
+    assert lists.cohort_prefilter(rows, A.merged_resources(*table)).collect() == pre.collect()
     assert text_of(tmp_path / "out/Proband_variant_list")[0].split("\t") == schema.COHORT_LIST
     assert len(text_of(tmp_path / "out/Proband_variant_list_prefiltering")) >= 5
     ids = spark.createDataFrame([("P1",)], "s string")
-    assert {r[0] for r in lists.cohort_lists(rows, table, ids)[0].select("SampleID").collect()} == {"P1"}
-    assert lists.cohort_lists(rows, table, ids, prefix=True)[0].count() == 4
-    assert lists.cohort_lists(rows, table, carriers_only=True)[0].count() == 3
+    assert {r[0] for r in lists.cohort_prefilter(rows, table, ids).select("SampleID").collect()} == {"P1"}
+    assert lists.cohort_prefilter(rows, table, ids, prefix=True).count() == 4
+    assert lists.cohort_prefilter(rows, table, carriers_only=True).count() == 3
 
     groups = spark.createDataFrame([("P1", "H1"), ("P10", "L2")], "s string, haplogroup string")
     status = spark.createDataFrame([("P10", "yes")], "s string, contamination string")
     meta = spark.createDataFrame([("p1", "proband")], "s string, category string")
-    pre, final = lists.single_lists(rows, table, groups, status, meta)
+    pre = lists.single_prefilter(rows, table, groups, status, meta)
+    final = lists.final_list(pre)
     assert pre.columns == schema.SINGLE_LIST
     assert {(r["SAMPLE_ID"], r["POS"], r["Haplogroup"], r["Freq"]) for r in pre.collect()} == {("P1", "10", "H1", 0), ("P1", "11", "H1", 0)}
     assert [r["POS"] for r in final.collect()] == ["10"]
-    by_position = lists.single_lists(rows, table, groups, positional=True)[0]
+    by_position = lists.single_prefilter(rows, table, groups, positional=True)
     assert by_position.filter("POS = '10' and SAMPLE_ID = 'P1'").first()["Heteroplasmy"] == 0.3
 
 

@@ -3,11 +3,10 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
-from chondria.registry import oracle, queries as registry
+from chondria.registry import ORACLE, QUERIES
 from oracle_check import connect, differences
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = registry.QUERIES, oracle.ORACLE
 
 
 @pytest.fixture(scope="module")

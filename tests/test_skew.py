@@ -8,14 +8,26 @@ from chondria.operators import annotate as A, joins, matrix as M, reads as R, sh
 from oracle_check import connect, differences
 
 SF = "/root/testdata/sf0.001"
-SALTED = ["homref_resolve", "artifact_flag", "mask_overlap", "vcf_lines", "variant_long", "qc_gate", "sheet_usable",
+SHUFFLED = ["homref_resolve", "artifact_flag", "mask_overlap", "vcf_lines", "variant_long", "qc_gate", "sheet_usable",
           "annot_gnomad", "annot_haplogroup", "cohort_counts", "contaminated_out", "proband_filter", "proband_prefix",
           "proband_present", "final_single", "final_disease", "coverage_wide_lines"]
 
 
-@pytest.mark.parametrize("name", SALTED)
-def test_large_lookups(spark, monkeypatch, name):
-    monkeypatch.setattr(joins, "is_small", lambda df, max_rows=0: False)
+@pytest.fixture
+def shuffled(spark):
+    """No lookup is small, and any partition above the others is a skewed one."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("name", SHUFFLED)
+def test_large_lookups(spark, shuffled, name):
     assert differences(entry.queries()[name](spark, SF), connect(SF), entry.oracle_sql()[name]) == []
 
 
@@ -30,24 +42,23 @@ def hot(spark):
 
 
 def largest_partition(df):
-    """Rows in the largest partition; ``n`` is read so that the join is not optimised away."""
-    per = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"))
+    """Rows in the largest partition; columns of both sides are read so that neither is optimised away."""
+    per = df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"), F.max("text").alias("text"))
     return max(r["rows"] for r in per.collect())
 
 
-def test_hot_key_is_spread(spark, monkeypatch, hot):
-    monkeypatch.setattr(joins, "is_small", lambda df, max_rows=0: False)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_hot_key_is_spread(spark, shuffled, hot):
+    hot = hot.withColumn("text", F.sha2(F.col("row_no").cast("string"), 256)).repartition(16, "row_no")
+    facts = hot.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    even = joins.lookup_join(hot, facts, ["s"])
+    split = sorted(map(tuple, even.select("row_no", "n").collect()))
+    after = largest_partition(even)
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
     try:
-        facts = hot.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
-        plain = hot.join(facts, "s", "left")
-        even = joins.lookup_join(hot, facts, ["s"], ["row_no"])
-        assert largest_partition(even) < largest_partition(plain) / 1.5
-        assert sorted(map(tuple, even.select("row_no", "n").collect())) == sorted(map(tuple, plain.select("row_no", "n").collect()))
+        assert after < largest_partition(even.select("*")) / 1.5
+        assert split == sorted(map(tuple, hot.join(facts, "s", "left").select("row_no", "n").collect()))
     finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
 
 
 def test_hot_sample_in_a_sheet(spark, hot):

@@ -148,7 +148,7 @@ def test_resource_files(spark, write):
     table = read_resources(spark, paths)
     keys = spark.createDataFrame([("A", "10", "G", "l2"), ("C", "11", "T", "L2"), ("T", "9", "C", None)],
                                  "REF string, POS string, ALT string, Haplogroup string")
-    out = {r["POS"]: r for r in A.annotated(keys, table, ["POS"]).collect()}
+    out = {r["POS"]: r for r in A.annotated(keys, table).collect()}
     hit, partly, miss = out["10"], out["11"], out["9"]
     assert (hit["gnomad_max_hl"], hit["gnomad_af_hom"], hit["gnomad_af_het"]) == ("0.5", 0.1, None)
     assert (hit["mitomap_plasmy"], hit["mitomap_disease"], hit["apogee_class"]) == ("+/", "LHON", "N/")
