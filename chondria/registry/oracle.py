@@ -1,8 +1,7 @@
 """Check SQL, one statement per registered query, over the same derived inputs."""
 
-from chondria import schema
-from chondria.functions.consequence import AMINO_ACIDS, OMITTED_TERMS, SEVERITY, SPLICE_TERMS
-from chondria.functions.names import SPECIAL
+from chondria.registry import expected
+from chondria.registry.expected import AMINO_ACIDS, OMITTED_TERMS, SEVERITY, SPECIAL, SPLICE_TERMS
 from chondria.registry.inputs import SQL
 from chondria.registry.queries import FAMILIES, MAX_FREQ, TARGETS
 
@@ -123,7 +122,7 @@ from helix where len(alleles) - len(replace(alleles, ',', '')) = 1 group by all"
 select split_part(spdi, ':', 3) as ref, location as pos, split_part(spdi, ':', 4) as alt,
        arg_max(struct_pack(l := label), ord) as v
 from clinvar where len(split_part(spdi, ':', 3)) = 1 and len(split_part(spdi, ':', 4)) = 1
-  and split_part(spdi, ':', 3) <> split_part(spdi, ':', 4) and label is distinct from '{schema.CONFLICTING}'
+  and split_part(spdi, ':', 3) <> split_part(spdi, ':', 4) and label is distinct from '{expected.CONFLICTING}'
 group by all""",
     "hap": "select Variant as word, arg_max(lower(Assoc_haplogroups), ord) as groups from haplo group by all",
     "tags": """
@@ -137,10 +136,10 @@ select SampleID, CHROM, POS, REF, ALT, "FILTER", INFO, SAMPLE_DATA,
        string_split(regexp_extract(INFO, 'CSQ=([^;]*)', 1), '|') as c
 from tags""",
     "good": f"""
-select * from parsed where "FILTER" is null or not regexp_matches("FILTER", '{schema.HARD_FILTERS}')""",
+select * from parsed where "FILTER" is null or not regexp_matches("FILTER", '{expected.HARD_FILTERS}')""",
     "probands": "select s from samples where lower(category) = 'proband'",
 }
-_FIELD = {n: f"c[{i + 1}] as {n}" for i, n in enumerate(schema.CSQ_FIELDS)}
+_FIELD = {n: f"c[{i + 1}] as {n}" for i, n in enumerate(expected.CSQ_FIELDS)}
 _POPULATION = {
     "gnomad_max_hl": "case when g.v is null then '0' else g.v.m end",
     "gnomad_af_hom": "try_cast(case when g.v is null then '0' else g.v.h end as double)",
@@ -170,8 +169,8 @@ def _join(names) -> str:
 STATUS = """case when coalesce(hap.groups, '') = '' then 'not_haplo_var'
                   when contains(hap.groups, lower(sm.haplogroup)) then 'haplo_var_match'
                   else 'haplo_var_diff_haplo' end"""
-_CONSEQUENCES = ", ".join(_FIELD[n] for n in schema.CONSEQUENCE_COLUMNS)
-_RESOURCES = ", ".join(f"{_POPULATION[n]} as {n}" for n in schema.RESOURCE_COLUMNS)
+_CONSEQUENCES = ", ".join(_FIELD[n] for n in expected.CONSEQUENCE_COLUMNS)
+_RESOURCES = ", ".join(f"{_POPULATION[n]} as {n}" for n in expected.RESOURCE_COLUMNS)
 STEPS["single"] = f"""
 select k.SampleID as SAMPLE_ID, CHROM, k.POS, k.REF, k.ALT, "FILTER", GT, AD, Heteroplasmy, DP, {_CONSEQUENCES},
        sm.haplogroup as Haplogroup, {STATUS} as Haplogroup_Var_Status, {_RESOURCES}, 0 as Freq
@@ -272,7 +271,7 @@ ORACLE["homref_state_counts"] = sql(_MATRIX + " n", _COUNTS)
 ORACLE["artifact_flag"] = sql("calls bed artifact flagged", "select * from flagged")
 ORACLE["locus_mt"] = sql("coverage", "select s, 'MT' as contig, pos, coverage from coverage")
 ORACLE["matrix_blocks"] = sql("calls", f"""
-select pos, ref, alt, substr(s, 2)::bigint // {schema.BLOCK} as block,
+select pos, ref, alt, substr(s, 2)::bigint // {256} as block,
        string_agg(substr(s, 2) || ':' || DP, ',' order by substr(s, 2)::bigint) as cells
 from calls group by all""")
 ORACLE["matrix_localize_roundtrip"] = sql("calls", """
@@ -377,7 +376,7 @@ left join g using (ref, pos, alt) left join hel using (ref, pos, alt) left join
 left join tip using (ref, pos, alt) left join hmt using (ref, pos, alt)
 left join hap on hap.word = u.ref || u.pos || u.alt""")
 ORACLE["consequence_parse"] = sql("records tags parsed", "select SampleID, POS, REF, ALT, " + ", ".join(
-    (f"c[{i + 1}] as \"{n}\"") for i, n in enumerate(schema.CSQ_FIELDS)) + " from parsed")
+    (f"c[{i + 1}] as \"{n}\"") for i, n in enumerate(expected.CSQ_FIELDS)) + " from parsed")
 ORACLE["format_tags"] = sql("records tags parsed good", """
 select SampleID, POS, REF, ALT, "FILTER", GT, AD, DP, Heteroplasmy from good""")
 ORACLE["format_positional"] = sql("records tags", """
