@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import math
 import pickle
 import random
 import re
@@ -301,6 +302,18 @@ def test_scores(docs, odd):
     assert all(r.train_tokens == 0 and r.n_known == 0 and np.isfinite(r.score) for r in alone)
 
 
+def test_the_word_before_counts(docs):
+    rng = random.Random(15)
+    rows = [(i, " ".join(rng.choice(["red fox", "old boat", "far hill"]) for _ in range(20))) for i in range(300)]
+    held = [i for i in range(1000, 1100) if plain.zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    found = {r.doc_id: r for r in pitman.scored(docs([*rows, (held[0], "red fox old boat far hill"), (held[1], "fox red boat old hill far")]), block_rows=64).collect()}
+    usual, turned = (found[i] for i in held)
+    assert usual.held_out and turned.held_out and usual.base_score == pytest.approx(turned.base_score)
+    assert usual.score > turned.score + 5
+    # after "red" always comes "fox", so only every other word is uncertain
+    assert -usual.score < 4 * math.log10(3) + 2
+
+
 def test_seating_is_the_restaurant_process():
     c, opening, discount, trials = 30, 2.0, 0.4, 4000
     seeds = np.arange(trials, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
