@@ -46,8 +46,10 @@ KINDS = {
     "name": rf"(?<=\x20)(?=\p{{Lu}})(?<={TITLE}){WORD}(?:\x20{WORD})?",
 }
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
-#: A text without any of these has no entity; one cheap look, which goes on at few letters only, spares most texts the search.
-HINT = r"[@0-9]|[" + "".join(sorted({w[0] for t in TITLES.values() for w in t})) + r"](?:" + "|".join(sorted({w[1:] for t in TITLES.values() for w in t})) + r")\.?\x20\p{Lu}"
+#: Whatever a pattern finds has one of these: a digit, an at sign, a label or a key's first letters, or a title before a capital. One cheap look, which goes on
+#: at few letters only, spares most texts the search.
+HINT = (r"[@0-9]|[aps](?:assword|asswd|wd|ecret|pi_key|pikey|ccess_key)\x20{0,2}[=:]|token\x20{0,2}[=:]|A[KS]IA[A-Z]|["
+        + "".join(sorted({w[0] for t in TITLES.values() for w in t})) + r"](?:" + "|".join(sorted({w[1:] for t in TITLES.values() for w in t})) + r")\.?\x20\p{Lu}")
 
 
 def kind_of(value: Column, before: Column) -> Column:
