@@ -26,7 +26,8 @@ GIVEN = {
 SYLLABLES = {"latin": ["bar", "cor", "dan", "fel", "gar", "hol", "ker", "lin", "mar", "nor", "pel", "ros", "sal", "tor", "ven", "wil"],
              "cyrillic": ["бар", "вол", "гор", "дон", "кар", "лен", "мар", "нов", "пет", "рож", "сол", "тар"]}
 
-LABEL = r"(?:password|passwd|pwd|secret|token|api_key|apikey|access_key)\x20{0,2}[=:]\x20{0,2}[\"']{0,1}"
+LABELS = r"(?i:password|passwd|pwd|secret|token|api[_-]{0,1}key|access[_-]{0,1}key)[\"']{0,1}\x20{0,2}[=:]"
+LABEL = LABELS + r"\x20{0,2}[\"']{0,1}"
 WORD = r"\p{Lu}[\p{L}'’-]+"
 TITLES = {"male_latin": MALE, "female_latin": FEMALE, "neutral_latin": NEUTRAL, "male_cyrillic": MALE_CYRILLIC, "female_cyrillic": FEMALE_CYRILLIC}
 TITLE = r"(?<![\p{L}\p{N}])(?:" + "|".join(w for t in TITLES.values() for w in sorted(t, key=len, reverse=True)) + r")\.?\x20"
@@ -42,31 +43,38 @@ KINDS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![\d.])(?:\d[\x20-]?){12,18}\d(?![\d.]?\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
-    "phone": r"(?<![\d\w+])(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)[\x20.-]?)?\d{2,4}[\x20.-]\d{3,4}(?:[\x20.-]\d{2,4})?(?!\d)",
+    "phone": r"(?<![\d\w+])(?:(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)[\x20.-]?)?\d{2,4}[\x20.-]\d{3,4}(?:[\x20.-]\d{2,4})?|0\d(?:[\x20.-]\d{2}){4}|\+\d(?:[\x20.()-]{0,2}\d){7,14})(?!\d)",
     "name": rf"(?<=\x20)(?=\p{{Lu}})(?<={TITLE}){WORD}(?:\x20{WORD})?",
 }
+FAMILY = "family"
+NAMES = [*TITLES, FAMILY]       # kinds of a name's words: given names by the title's gender, and family names
+POSSESSIVE = r"['’][sS]?$"
+#: Words that may follow a name with a capital, and are none when they stand alone.
+COMMON = ["He", "She", "It", "They", "We", "You", "The", "This", "That", "These", "Those", "And", "But", "Or", "If", "In", "On", "At", "As", "Of", "For", "From", "With", "To", "By", "His", "Her", "Their",
+          "My", "Our", "Your", "Who", "When", "Where", "What", "Why", "How", "Is", "Was", "Are", "Has", "Had", "Will", "Not", "No", "So", "Then", "There", "Said"]
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 #: Whatever a pattern finds has one of these: a digit, an at sign, a label or a key's first letters, or a title before a capital. One cheap look, which goes on
 #: at few letters only, spares most texts the search.
-HINT = (r"[@0-9]|[aps](?:assword|asswd|wd|ecret|pi_key|pikey|ccess_key)\x20{0,2}[=:]|token\x20{0,2}[=:]|A[KS]IA[A-Z]|["
+HINT = (r"[@0-9]|(?=[apstAPST])" + LABELS + r"|A[KS]IA[A-Z]|["
         + "".join(sorted({w[0] for t in TITLES.values() for w in t})) + r"](?:" + "|".join(sorted({w[1:] for t in TITLES.values() for w in t})) + r")\.?\x20\p{Lu}")
 
 
 def kind_of(value: Column, before: Column) -> Column:
-    """The first kind whose whole pattern the entity has; ``before`` is the text up to it, which tells secrets and names."""
-    told = F.when(before.rlike(LABEL + "$"), F.lit("secret"))
+    """The first kind whose whole pattern the entity has, so that a label or title doesn't change it; else ``before``, the text up to it, tells secrets and names."""
+    told = F
     for kind, pattern in KINDS.items():
         if kind not in ("secret", "name"):
             told = told.when(value.rlike(f"^(?:{pattern})$"), F.lit(kind))
+    told = told.when(before.rlike(LABEL + "$"), F.lit("secret"))
     for gender, titles in TITLES.items():
         told = told.when(before.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(titles)})\.?\x20$"), F.lit(gender))
     return told.otherwise("secret")
 
 
 def canonical(kind: Column, value: Column) -> Column:
-    """What makes two mentions the same entity: digits of numbers, small letters of addresses and hashes, else the text as it is."""
+    """What makes two mentions the same entity: digits of numbers, small letters of addresses and hashes, words of names in one case and without 's, else the text as it is."""
     return (F.when(kind.isin("card", "ssn", "phone"), F.regexp_replace(value, r"[^0-9+]", "")).when(kind.isin("email", "hex"), F.lower(value))
-            .when(kind == "iban", F.regexp_replace(value, " ", "")).otherwise(value))
+            .when(kind == "iban", F.regexp_replace(value, " ", "")).when(kind.isin(*NAMES), F.initcap(F.lower(F.regexp_replace(value, POSSESSIVE, "")))).otherwise(value))
 
 
 def stream(key: str, kind: Column, canon: Column, attempt: Column, length: Column) -> Column:
@@ -130,27 +138,30 @@ def octets(canon: Column, numbers: Column) -> Column:
         F.length(o) == 2, F.get(numbers, i) % 90 + 10).otherwise(F.get(numbers, i) % 156 + 100).cast("string")), ".")
 
 
-def person(kind: Column, canon: Column, numbers: Column) -> Column:
-    """A name of the same gender, script, number of words and case."""
+def person(kind: Column, canon: Column, numbers: Column, attempt: Column) -> Column:
+    """A word of a name, of the same gender and script; given names are few, so later attempts put two together, or a given name and syllables."""
     def pick(values: list[str], at: Column) -> Column:
         return F.element_at(F.array(*map(F.lit, values)), (at % len(values) + 1).cast("int"))
 
+    def given(at: int) -> Column:
+        out = pick(GIVEN["neutral_latin"], F.get(numbers, F.lit(at)))
+        for name, values in GIVEN.items():
+            out = F.when(kind == name, pick(values, F.get(numbers, F.lit(at)))).otherwise(out)
+        return out
+
     cyrillic = kind.endswith("cyrillic") | canon.rlike(r"\p{IsCyrillic}")
-    family = F.initcap(F.concat(*[F.when(cyrillic, pick(SYLLABLES["cyrillic"], F.get(numbers, F.lit(k)))).otherwise(pick(SYLLABLES["latin"], F.get(numbers, F.lit(k)))) for k in range(4)]))
-    given = pick(GIVEN["neutral_latin"], F.get(numbers, F.lit(5)))
-    for name, values in GIVEN.items():
-        given = F.when(kind == name, pick(values, F.get(numbers, F.lit(5)))).otherwise(given)
-    whole = F.when(canon.contains(" "), F.concat_ws(" ", given, family)).otherwise(family)
-    return F.when(F.upper(canon) == canon, F.upper(whole)).otherwise(whole)
+    syllables = [F.when(cyrillic, pick(SYLLABLES["cyrillic"], F.get(numbers, F.lit(k)))).otherwise(pick(SYLLABLES["latin"], F.get(numbers, F.lit(k)))) for k in (0, 1, 2, 3, 7, 8)]
+    family = F.initcap(F.when(attempt < 4, F.concat(*syllables[:4])).otherwise(F.concat(*syllables)))
+    return F.when(kind == FAMILY, family).when(attempt == 0, given(5)).when(attempt < 3, F.concat_ws("-", given(5), given(6))).otherwise(F.concat_ws("-", given(5), family))
 
 
 def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     """The canonical form of an entity's replacement."""
-    names = kind.isin(*TITLES)
+    names = kind.isin(*NAMES)
     return bound(stream(key, kind, canon, attempt, F.length(canon)), lambda n: (
         F.when(kind.isin("card", "ssn", "phone"), renumbered(kind, canon, n)).when(kind == "ip", octets(canon, n)).when(kind == "email", address(canon, n))
         .when((kind == "hex") | ((kind == "secret") & canon.rlike("^[0-9a-f]+$")), in_format(canon, n, "ABCDEF", "abcdef"))
-        .when(kind == "key", in_format(canon, n, keep=4)).when(kind == "iban", in_format(canon, n, keep=2)).when(names, person(kind, canon, n)).otherwise(in_format(canon, n))))
+        .when(kind == "key", in_format(canon, n, keep=4)).when(kind == "iban", in_format(canon, n, keep=2)).when(names, person(kind, canon, n, attempt)).otherwise(in_format(canon, n))))
 
 
 def rendered(kind: Column, value: Column, fresh: Column) -> Column:
@@ -158,6 +169,7 @@ def rendered(kind: Column, value: Column, fresh: Column) -> Column:
     return (F.when(kind.isin("card", "ssn", "phone"), digits_in_format(value, fresh))
             .when(kind == "iban", bound(characters(value), lambda cs: F.array_join(F.transform(cs, lambda c, i: F.when(c == " ", c).otherwise(
                 F.substring(fresh, F.size(F.filter(F.slice(cs, 1, i + 1), lambda x: x != " ")), F.lit(1)))), "")))
+            .when(kind.isin(*NAMES), F.concat(F.when((F.length(value) > 1) & (F.upper(value) == value), F.upper(fresh)).otherwise(fresh), F.regexp_extract(value, POSSESSIVE, 0)))
             .when(kind.isin("email", "hex") & (F.upper(value) == value) & (F.lower(value) != value), F.upper(fresh)).otherwise(fresh))
 
 
@@ -184,11 +196,51 @@ def assigned(entities: DataFrame, key: str) -> DataFrame:
     return now.select("kind", "canon", "fresh")
 
 
+def linked(mentions: DataFrame) -> DataFrame:
+    """(key, at, part, value, kind, canon, first) of ``mentions(key, at, part, value, kind)``: names as their words, with the bare ones found, too.
+
+    A text's own names are the words found after titles. Where one stands without a title anywhere in the text, alone or in a run of them, it is a
+    mention. A word is a given name if a text's titled names have it only before another, else a family name; both are what they are without
+    regard to the title, but for the gender of a given name, that of most of its titles in all texts (those that tell none count last).
+    ``at`` orders the pieces of a text; ``first`` tells the first word of a mention.
+    """
+    titled = mentions.where(F.col("kind").isin(*TITLES)).select("key", "kind", F.split("value", " ").alias("w"))
+    bare = F.regexp_replace("x", POSSESSIVE, "")
+    words = titled.select("key", "kind", (F.size("w") > 1).alias("two"), F.posexplode("w").alias("i", "x")).select("key", "kind", bare.alias("x"), (F.col("two") & (F.col("i") == 0)).alias("given"), (F.col("i") > 0).alias("last"))
+    canon = canonical(F.lit(FAMILY), F.col("x"))
+    own = words.groupBy(F.col("key").alias("of"), canon.alias("name")).agg((F.bool_or("given") & ~F.bool_or("last")).alias("given"))
+    own = own.groupBy("of").agg(F.collect_list(F.when(F.col("given"), F.col("name"))).alias("givens"), F.sort_array(F.collect_list(F.when(
+        (F.length("name") > 2) & ~F.col("name").isin(COMMON), F.col("name"))), asc=False).alias("names"))
+    # in any case from a capital on; a longer name before one that it begins with
+    one = F.concat(F.lit(r"(?=\p{Lu})(?iu:"), F.array_join("names", "|"), F.lit(")"))
+    own = own.select("of", "givens", F.when(F.size("names") > 0, F.concat(F.lit(r"(?<![\p{L}\p{N}])"), one, F.lit(r"(?:\x20"), one, F.lit(r")*(?![\p{L}\p{N}])"))).alias("pattern"))
+    met = mentions.join(stored(own, "names"), F.col("key") == F.col("of"), "left").drop("of")
+    part = F.coalesce(F.col("part"), F.lit(""))
+    some = F.col("pattern").isNotNull() & F.rlike(part, F.col("pattern"))
+    last = F.struct(F.col("value").alias("value"), F.col("kind").alias("kind"))
+    found = F.transform(F.regexp_extract_all(part, F.col("pattern"), F.lit(0)), lambda v: F.struct(v.alias("value"), F.lit(FAMILY).alias("kind")))
+    pieces = F.when(some, F.arrays_zip(F.split(part, F.col("pattern"), -1).alias("part"), F.concat(found, F.array(last)).alias("m"))).otherwise(F.array(F.struct(part.alias("part"), last.alias("m"))))
+    met = met.select("key", "at", "givens", F.posexplode(pieces).alias("j", "p")).select("key", "at", "j", "givens", "p.part", "p.m.value", "p.m.kind")
+    name = F.coalesce(F.col("kind").isin(*NAMES), F.lit(False))
+    met = met.select("key", "at", "j", "givens", "part", "kind", F.posexplode(F.when(name, F.split("value", " ")).otherwise(F.array("value"))).alias("k", "value"))
+    # words of a mention after its first are parted by a space
+    met = met.select("key", F.struct("at", "j", "k").alias("at"), F.when(F.col("k") == 0, F.col("part")).otherwise(" ").alias("part"), "value", "kind",
+                     F.when(name, canonical(F.lit(FAMILY), F.col("value"))).alias("canon"), (F.col("k") == 0).alias("first"), "givens")
+    given = F.coalesce(name & F.array_contains("givens", F.col("canon")), F.lit(False))
+    met = stored(met.select(*[c for c in met.columns if c != "givens"], given.alias("given")), "linked")
+    told = met.where(F.col("given") & F.col("kind").isin(*TITLES)).groupBy(F.col("canon").alias("name"), F.col("kind").alias("gender")).agg(F.count(F.lit(1)).alias("n"))
+    told = told.groupBy("name").agg(F.max(F.struct(~F.col("gender").startswith("neutral"), "n", "gender")).alias("most")).select("name", F.col("most.gender").alias("gender"))
+    met = met.join(told, F.col("given") & (F.col("canon") == F.col("name")), "left")
+    kind = F.when(F.col("given"), F.coalesce("gender", F.lit("neutral_latin"))).when(name, F.lit(FAMILY)).otherwise(F.col("kind"))
+    met = met.select("key", "at", "part", "value", kind.alias("kind"), "canon", "first")
+    return met.withColumn("canon", F.when(F.col("value").isNotNull(), F.coalesce("canon", canonical(F.col("kind"), F.col("value")))))
+
+
 def replaced(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``df`` with ``text_col`` cleaned and ``n_entities``, the number of mentions replaced.
 
     Mail and network addresses, card, account, social-security and phone numbers, keys, hashes, secrets after their labels and names after their titles are found by
-    pattern. An entity's replacement depends on ``key``, kind and canonical form: mentions of one entity stay mentions of one entity in all documents,
+    pattern, and a text's own names where they stand without a title. An entity's replacement depends on ``key``, kind and canonical form: mentions of one entity stay mentions of one entity in all documents,
     whatever their format; different entities stay different. Type, length, case, separators, script, gender and checksum are kept.
 
     Texts without an entity pass straight through. Of the others, each different text is taken apart once: its mentions meet the
@@ -214,12 +266,12 @@ def replaced(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "t
     mentions = texts.select("key", F.posexplode(F.arrays_zip(parts.alias("part"), F.col("found").alias("value"))).alias("at", "x")).select("key", "at", "x.part", "x.value")
     # what stands before a mention may reach back over the last one only as far as its own part
     kind = kind_of(F.col("value"), F.coalesce(F.col("part"), F.lit("")))
-    mentions = mentions.withColumn("kind", F.when(F.col("value").isNotNull(), kind)).withColumn("canon", F.when(F.col("value").isNotNull(), canonical(F.col("kind"), F.col("value"))))
-    mentions = stored(mentions, "mentions")
+    mentions = stored(mentions.withColumn("kind", F.when(F.col("value").isNotNull(), kind)), "mentions")
+    mentions = stored(linked(mentions), "mentions")
     fresh = assigned(mentions.where("value is not null").select("kind", "canon").distinct(), key).select(F.col("kind").alias("k"), F.col("canon").alias("c"), "fresh")
     joined = mentions.join(fresh, (F.col("kind") == F.col("k")) & (F.col("canon") == F.col("c")), "left").select(
-        "key", "at", "part", F.when(F.col("value").isNotNull(), rendered(F.col("kind"), F.col("value"), F.col("fresh"))).alias("value"))
-    whole = joined.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "part", "value"))).alias("parts"), F.count("value").alias("n"))
+        "key", "at", "part", "first", F.when(F.col("value").isNotNull(), rendered(F.col("kind"), F.col("value"), F.col("fresh"))).alias("value"))
+    whole = joined.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "part", "value"))).alias("parts"), F.count_if(F.col("value").isNotNull() & F.col("first")).alias("n"))
     whole = whole.select("key", "n", F.array_join(F.transform("parts", lambda p: F.concat(F.coalesce(p["part"], F.lit("")), F.coalesce(p["value"], F.lit("")))), "").alias("clean"))
     met = held.select("row", "digest").join(whole, F.col("digest") == F.col("key"))
     return free.unionByName(out(met, F.col("clean"), F.col("n")))
