@@ -17,8 +17,9 @@ GRID = 64               # features are whole numbers of 1/GRID, so that sums are
 HALF = 0.75             # share of a group's rows that an estimate rests on
 STEPS = 3               # concentration steps
 MIN_ROWS = 200          # smaller groups of language and source are estimated together, by language, then all
-LEAST_ROWS = 30         # no verdict by distance in a pool of fewer rows
-CUT = 33.0              # squared distance from which a row is rejected: about the 1 - 1e-5 quantile of chi-square with 6 degrees
+LEAST_ROWS = 30         # fewer rows than this that are left over are judged by the estimate over all rows; if those are fewer, too, there is no verdict by distance
+LEFT = "all"            # pool of what is left over
+CUT = 33.0              # squared distance from which a row is rejected: about the 1 - 1e-5 quantile of chi-square with 6 degrees, if no floor were added
 MEDIAN = 5.348          # median of chi-square with 6 degrees
 BINS = 16               # distance bins per doubling
 #: Feature, and the least standard deviation that an estimate may give it.
@@ -142,9 +143,10 @@ def judged(df: DataFrame, carry: list[str] | None = None, text_col: str = "text"
     Base rules: fewer than 10 words, or over 20 % of the words in repeated 5-word windows. The method's verdict: in each pool, a
     minimum-covariance-determinant estimate of the transformed statistics' centre and covariance, made from the rows that pass the base rules.
     It starts at medians and quartile ranges; each concentration step keeps the 75 % of rows nearest to the last estimate and makes the
-    next one from them. Distances are put to scale by their median. A row farther than ``CUT`` is rejected.
-    A pool is a language and source; those with fewer than ``MIN_ROWS`` rows are pooled by language, then altogether; a pool that still has fewer than
-    ``LEAST_ROWS`` gives no verdict by distance. Each step is one partial aggregate over all rows into distance bins, so a pool may hold any share
+    next one from them. The floors of ``FEATURES`` are added to the variances, and distances whose median is above ``MEDIAN`` are put to scale by it, never
+    those below: so the cut is looser than a quantile. A row farther than ``CUT`` is rejected.
+    A pool is a language and source; those with fewer than ``MIN_ROWS`` rows are pooled by language, then altogether; where that still makes fewer than
+    ``LEAST_ROWS``, they are judged by the estimate over all rows, if there are as many of those. Each step is one partial aggregate over all rows into distance bins, so a pool may hold any share
     of the rows, and its result doesn't depend on how they are dealt out. Estimates are one row a pool.
 
     NULL text counts as empty and fails the base rules. NULL language or source is a value of its own. Repeated rows count as often as
@@ -159,9 +161,13 @@ def judged(df: DataFrame, carry: list[str] | None = None, text_col: str = "text"
     small = rows.where("not base_failed").groupBy("_q_lang", "_q_source").agg(F.count(F.lit(1)).alias("n"))
     lang_n = F.sum(F.when(F.col("n") < MIN_ROWS, F.col("n")).otherwise(0)).over(Window.partitionBy("_q_lang"))
     pools = stored(small.select(F.col("_q_lang").alias("_lang"), F.col("_q_source").alias("_source"), F.when(F.col("n") >= MIN_ROWS, F.to_json(F.struct("_q_lang", "_q_source")))
-                                .when(lang_n >= MIN_ROWS, F.to_json(F.struct("_q_lang"))).otherwise("all").alias("pool")), "pools")
+                                .when(lang_n >= MIN_ROWS, F.to_json(F.struct("_q_lang"))).otherwise(LEFT).alias("pool"), "n"), "pools")
+    left = pools.where(F.col("pool") == LEFT).agg(F.sum("n")).first()[0]
+    pools = pools.drop("n")
     facts = rows.where("not base_failed").join(pools, F.col("_q_lang").eqNullSafe(F.col("_lang")) & F.col("_q_source").eqNullSafe(F.col("_source")))
     facts = stored(facts.select("pool", *[x.alias(n) for n, x in features().items()]), "features")
+    if left and left < LEAST_ROWS:
+        facts = facts.withColumn("pool", F.explode(F.array_distinct(F.array("pool", F.lit(LEFT)))))
     estimate = stored(starting_point(facts), "estimate")
     for _ in range(STEPS):
         near = below(bin_sums(with_distance(facts, estimate)), HALF).groupBy("pool").agg(

@@ -230,6 +230,17 @@ def test_outliers_go_and_clean_ones_stay(docs):
     assert again == got
 
 
+def test_left_over_rows_are_judged_by_all(docs):
+    rng = random.Random(16)
+    rows = [(i, prose(rng, int(rng.lognormvariate(5, 0.6)) + 10).capitalize(), "en", "a") for i in range(400)]
+    few = [(1000 + i, prose(rng, 100), "xx", f"s{i}") for i in range(5)]
+    bad = [(2000, " | ".join(w + "###" for w in prose(rng, 100).split()), "xx", "s9")]
+    got = {r.doc_id: r for r in rules.judged(docs(rows + few + bad)).collect()}
+    assert all(got[r[0]].distance is not None for r in few + bad) and all(got[r[0]].kept for r in rows + few) and not got[2000].kept
+    alone = {r.doc_id: r for r in rules.judged(docs(few + bad)).collect()}
+    assert all(r.kept and r.distance is None for r in alone.values())
+
+
 def test_distance_is_mahalanobis(spark):
     rng = np.random.default_rng(2)
     x = (rng.multivariate_normal(np.zeros(6), np.eye(6) + 0.5, 400) * 64 + 500).round().astype(int)
