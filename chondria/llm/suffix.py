@@ -174,7 +174,7 @@ def spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
     # stored, so that both sides of the join are shuffled for it, and a hot bucket can be split
     shared = stored(found.groupBy(F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("b"), "shared")
     active = found.join(shared, F.col("bucket") == F.col("b")).groupBy("id", "tkey").agg(
-        F.array_distinct(F.collect_list(F.struct("first", "final", "at", "bucket"))).alias("runs"))
+        F.collect_set(F.struct("first", "final", "at", "bucket")).alias("runs"))      # copies of a row add nothing
     active = stored(active, "active")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

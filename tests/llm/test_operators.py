@@ -140,6 +140,21 @@ def test_refinement_keeps_what_is_repeated():
     assert [g.tolist() for g in got] == [[i for i in range(len(p) - 399) if seen[p[i:i + 400]] > 1] for p in pieces]
 
 
+def test_copies_of_a_row_fill_no_list(docs, monkeypatch):
+    kept, plans = suffix.stored, []
+
+    def stored(df, name, **more):
+        if name == "active":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df, name, **more)
+
+    monkeypatch.setattr(suffix, "stored", stored)
+    text = prose(random.Random(17), 200)
+    got = suffix.without_repeats(docs([(1, text)] * 50 + [(None, text)] * 50)).collect()
+    assert len(got) == 100 and all(r.n_removed == r.n_bytes for r in got)
+    assert plans and all("collect_set" in p and "collect_list" not in p for p in plans)
+
+
 # 3
 
 @pytest.fixture(scope="module")
