@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chondria.llm import bpe, exact, mixing, pii, pitman, rules, simhash, suffix, toxicity, warc
-from chondria.llm.common import importable
+from chondria.llm import bpe, exact, mixing, pii, pitman, rules, runs, simhash, suffix, toxicity, warc
+from chondria.llm.common import SPACE, SPACE_CHARS, importable
 
 
 #: Whoever runs this on real data takes a key of their own from a secret store.
@@ -62,8 +62,32 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_entities", "text", F.sha2("text", 256).alias("text_sha256"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in texts whose ``crc32(doc_id)`` ends in 0, the words from some place on repeat those that start there."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    trimmed = F.btrim(F.coalesce("text", F.lit("")), F.lit(SPACE_CHARS))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"),
+                       F.when((h % 10 == 0) & (F.length(trimmed) > 0), F.split(trimmed, SPACE)).alias("w"))
+    rows = rows.select("doc_id", "text", "w", "g", F.size("w").alias("n"))
+    rows = rows.withColumn("a", F.expr("if(n > 0, cast(g % n as int), null)"))
+    rows = rows.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    repeated = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.expr("cast(ceil((n - a) / p) as int)")))
+    words = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(repeated, F.lit(1), F.col("n") - F.col("a")))
+    return rows.select("doc_id", F.when(F.col("w").isNotNull(), F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("a"), (-r["period"]).alias("q"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return rows.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.a")).alias("start"), F.col("best.n").alias("length"),
+        (-F.col("best.q")).alias("period"), F.expr("1000 * best.n div -best.q").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_suffix_dedup, op3_bpe, op4_exact_dedup, op5_quality, op6_warc, op7_pitman_yor,
-                                 op8_mixing, op9_toxicity, op10_pii)}
+                                 op8_mixing, op9_toxicity, op10_pii, op11_periodic_runs)}
 
 ORACLE = {
     "op4_exact_dedup": r"""

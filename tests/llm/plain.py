@@ -116,3 +116,34 @@ def revisits(rows, least=1000):
             last[b] = max(p, last.get(b, p))
     return {p: (len(b), hashlib.sha1(b).hexdigest(), "response" if last.get(b, p) == p else "revisit", None if last.get(b, p) == p else last[b])
             for p, b in payload.items()}
+
+
+def runs(w, least=12):
+    """[(start, length, period)] of a list of words, by trying every period."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(least, 2 * q):
+                found.setdefault((i, j + q - i), q)
+            i = j + 1
+    return sorted((i, n, q) for (i, n), q in found.items())
+
+
+def without_runs(w, found):
+    gone = {i for a, n, q in found for i in range(a + q, a + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def planted(doc_id, w):
+    """Words that the query repeats in every tenth text."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(w)
+    if h % 10 or not n:
+        return w
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]

@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import LONG, PROSE
+from samples import LONG, PROSE
 from pyspark.sql import functions as F
 
 import plain

@@ -1,7 +1,7 @@
 from pathlib import Path
 
 import pytest
-from conftest import DOCS, ODD
+from samples import DOCS, ODD
 
 import corpus_pipeline
 import plain
