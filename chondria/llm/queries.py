@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chondria.llm import bpe, exact, mixing, pii, pitman, rules, runs, simhash, suffix, toxicity, warc
+from chondria.llm import bpe, exact, mixing, pii, pitman, rules, runs, simhash, suffix, topk, toxicity, warc
 from chondria.llm.common import SPACE, SPACE_CHARS, importable
 
 
@@ -86,8 +86,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_suffix_dedup, op3_bpe, op4_exact_dedup, op5_quality, op6_warc, op7_pitman_yor,
-                                 op8_mixing, op9_toxicity, op10_pii, op11_periodic_runs)}
+                                 op8_mixing, op9_toxicity, op10_pii, op11_periodic_runs,
+                                 op12_topk)}
 
 ORACLE = {
     "op4_exact_dedup": r"""
@@ -117,4 +122,12 @@ ORACLE = {
               FROM t JOIN e ON t.source IS NOT DISTINCT FROM e.source)
         SELECT doc_id, size, source_size, target,
                (size * (epochs + CASE WHEN until - size / 2 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM p""",
+    "op12_topk": r"""
+        WITH v AS (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (SELECT q.r, q.vec_id AS query_id, c.vec_id,
+                     coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+              FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0)
+        SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST))::INTEGER AS rank, vec_id, score
+        FROM p QUALIFY rank <= 20""",
 }
