@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chondria.llm import bpe, exact, mixing, pii, pitman, rules, runs, simhash, suffix, topk, toxicity, warc
+from chondria.llm import bpe, exact, lexical, mixing, pii, pitman, rules, runs, simhash, suffix, topk, toxicity, warc
 from chondria.llm.common import SPACE, SPACE_CHARS, importable
 
 
@@ -90,9 +90,13 @@ def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_suffix_dedup, op3_bpe, op4_exact_dedup, op5_quality, op6_warc, op7_pitman_yor,
                                  op8_mixing, op9_toxicity, op10_pii, op11_periodic_runs,
-                                 op12_topk)}
+                                 op12_topk, op13_lexical)}
 
 ORACLE = {
     "op4_exact_dedup": r"""
@@ -130,4 +134,19 @@ ORACLE = {
               FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0)
         SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST))::INTEGER AS rank, vec_id, score
         FROM p QUALIFY rank <= 20""",
+    "op13_lexical": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+        o AS (SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM d),
+        f AS (SELECT r, doc_id, t, count(*) AS tf FROM o GROUP BY ALL),
+        z AS (SELECT r, sum(tf)::BIGINT AS n FROM f GROUP BY r),
+        g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM z),
+        w AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f, g GROUP BY t, docs),
+        b AS (SELECT row_number() OVER () AS i, item_id, text FROM benchmark),
+        q AS (SELECT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM b),
+        s AS (SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // l))))::BIGINT AS score
+              FROM q JOIN f USING (t) JOIN w USING (t) JOIN z USING (r), g GROUP BY ALL HAVING score > 0)
+        SELECT item_id, (row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+        FROM s QUALIFY rank <= 20""",
 }
