@@ -21,6 +21,8 @@ from chondria.llm.common import stored, text_of
 DOCS, BYTES = 8192, 8 << 20
 #: Items that are scored together, on average.
 ITEMS = 1024
+#: Parts into which the postings of each term are dealt when they meet the items; every part gets the term's items.
+PARTS = 64
 #: The term under which a shard keeps its documents: their ids and lengths. No text has an empty term.
 ALL = ""
 LONG = np.iinfo(np.int64)
@@ -147,7 +149,7 @@ def search(postings: DataFrame, items: DataFrame, k: int = 20, item_col: str = "
 
     Terms are the runs of ASCII letters and digits and characters beyond ASCII, A-Z made small. Scores are whole numbers above 0; equal
     ones go by the smaller id, NULL ids last. Only the postings of terms that an item holds are read on. A shard is scored in one task for some
-    items at a time; it sends on ``k`` rows an item. A term's documents are spread over the shards, so no common term meets in one task.
+    items at a time; it sends on ``k`` rows an item. A common term's postings lie in many shards; they meet the term's items in ``PARTS`` parts.
 
     Items that are NULL, empty or without a known term give no rows; repeated items, and items with NULL id, are ranked each on its own. Documents that are NULL
     or without a term are in no count; repeated rows are documents of their own. Other columns aren't looked at.
@@ -172,7 +174,9 @@ def search(postings: DataFrame, items: DataFrame, k: int = 20, item_col: str = "
         rows = list(zip(*ranked_rows(table.to_pylist(), n_docs, n_terms, k)))
         return pa.table([pa.array(c, pa.int64()) for c in rows or [()] * 3], names=["item", "doc_id", "score"])
 
-    scored = hits.join(weighted, "term").groupBy("shard", "block").applyInArrow(score, found)
+    part = F.pmod(F.xxhash64("shard"), F.lit(PARTS))
+    dealt = weighted.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    scored = hits.withColumn("part", part).join(dealt, ["term", "part"]).groupBy("shard", "block").applyInArrow(score, found)
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.join(asked.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")
