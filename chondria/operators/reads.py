@@ -7,7 +7,6 @@ from chondria.operators.summary import mean, median, value_counts
 
 TILE = 4096
 ALIGNMENT_COLUMNS = ["contig", "pos", "mapq", "cigar", "mate_contig", "mate_pos", "tlen"]
-FRAGMENT = ["library", "contig", "five_prime", "strand", "mate_five_prime", "mate_strand"]
 
 
 def on_contig(reads: DataFrame, contig: str) -> DataFrame:
@@ -32,21 +31,6 @@ def merged_runs(*runs: DataFrame) -> DataFrame:
     return out.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def mark_duplicates(reads: DataFrame) -> DataFrame:
-    """``is_duplicate`` for every read of a fragment but the best (highest ``sum_qual``, then first name).
-
-    The best read of a fragment comes from an aggregate and is matched by fragment and ``qname``: mates share a name, and
-    a fragment with very many copies is neither sorted nor joined in one task. Reads without a place are no duplicates.
-    """
-    placed = F.col("five_prime").isNotNull()
-    best = (reads.filter(placed).groupBy(*FRAGMENT).agg(F.min(F.struct((-F.col("sum_qual")).alias("q"), "qname")).alias("best"))
-            .select(*[F.col(c).alias(f"_{c}") for c in FRAGMENT], F.col("best.qname").alias("_qname"), F.lit(True).alias("_best")))
-    same = F.col("qname") == F.col("_qname")
-    for c in FRAGMENT:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return reads.join(best, same, "left").select(*reads.columns, (placed & F.col("_best").isNull()).alias("is_duplicate"))
-
-
 def duplicate_metrics(marked: DataFrame) -> DataFrame:
     n, dup = F.count(F.lit(1)), F.count_if("is_duplicate")
     return marked.groupBy("library").agg(n.alias("reads"), dup.alias("duplicates"), (dup / n).alias("duplicate_rate"))

@@ -1,11 +1,9 @@
 """Registered queries of readers and writers: rows of the driver tables go out as files and come back through a reader."""
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chondria.operators import annotate as A, reads as R
+from chondria.operators.storage import scratch_path as folder
 from chondria.plans.lists import lists_job
 from chondria.registry import queries as Q
 from chondria.registry.inputs import derived, load
@@ -17,20 +15,6 @@ from chondria.sources import calls, coverage, files, reports, tables
 HEADER = "\t".join(["#" + calls.FIXED[0], *calls.FIXED[1:]])
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new path in ``spark.checkpoint.dir``, deleted when the driver ends. Only a local session may be without that setting."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
-
-
 def _ordered(lines: DataFrame, order: str, path: str) -> str:
     """Text files whose names and lines follow ``order``."""
     lines.orderBy(order).select("value").write.text(path)

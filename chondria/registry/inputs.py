@@ -183,6 +183,30 @@ select 'R' || cast(event_id as string) as qname, event_type as library, event_ty
        cast(floor(value * 10) as bigint) as sum_qual
 from events"""
 
+# Two reads per template, one per event; names carry tile, x and y. Fragments have copies in either order of mates; some mates are unplaced, on
+# another contig or not there, some places of lone reads have a pair, and some reads have a secondary alignment.
+_READ = """
+select event_id, value, cast(floor(event_id / 2) as bigint) as k, event_id % 2 as side, {primary} as is_primary from events{where}"""
+_MATE = """
+select *, 'M:7:FC:' || cast(1 + k % 2 as string) || ':' || cast(1101 + k % 3 as string) || ':' || cast((k * 7919) % 30011 as string) || ':' ||
+       cast((k * 104729) % 20011 as string) as qname, 'L' || cast(k % 3 as string) as library, 'S' || cast(k % 3 as string) as s,
+       (k * 37) % 400 as f, case when k % 11 = 0 then 1 - side else side end as strand from ({rows}) as r""".replace(
+    "{rows}", _READ.format(primary="true", where="") + " union all " + _READ.format(primary="false", where=" where event_id % 38 = 0"))
+SQL["mates"] = f"""
+select qname, library, s, is_primary, cast(case when unplaced then null else strand end as int) as strand,
+       case when unplaced then null when side = 1 and k % 17 = 0 then 'chr1' else 'chrM' end as contig,
+       cast(case when unplaced then null when side = 0 then five0 else five1 end as int) as five_prime,
+       cast(case when side = 1 or gone then case when k % 26 = 13 then null else five0 end when k % 9 = 0 then null else five1 end as int) as mate_five_prime,
+       cast(1 - strand as int) as mate_strand, case when side = 0 and k % 17 = 0 then 'chr1' else 'chrM' end as mate_contig,
+       cast(case when unplaced then null when side = 0 then five0 else five1 - 99 - k % 50 end as int) as start,
+       cast(case when unplaced then null when side = 0 then five0 + 99 + k % 50 else five1 end as int) as "end",
+       cast((k * 7 + side * 3) % 61 as int) as mapq, cast((k * 5 + side) % 41 as int) as baseq, k % 9 <> 0 as paired,
+       cast(floor(value * 10) as bigint) as sum_qual
+from (select *, side = 1 and k % 9 = 0 as unplaced, k % 13 = 0 as gone,
+             case when not is_primary then 9000 + f else f * 37 % 15000 + 700 end as five0, f * 37 % 15000 + 800 + f % 90 as five1
+      from ({_MATE}) as t) as m
+where not (k % 13 = 0 and side = 1)"""
+
 # Sample sheet, one row per order: several file types, blanks and missing indexes.
 SQL["sheet"] = """
 select o_orderkey as row_no,

@@ -225,9 +225,29 @@ _HGVS = f"""case when hgvsp is null or list_contains({texts(SPLICE_TERMS)}, majo
 
 # --- reads ------------------------------------------------------------------------------------------------
 _TARGETS = " union all ".join(f"select '{c}' as contig, unnest(range({a}, {b + 1})) as pos" for c, a, b in TARGETS)
+# Ends and pairs of ends as texts; the order of two ends is any fixed one.
+STEPS["ends"] = """
+select library, qname, sum_qual, contig || ':' || five_prime || ':' || strand as e,
+       mate_contig || ':' || mate_five_prime || ':' || mate_strand as m from mates where is_primary and five_prime is not null"""
+STEPS["tpl"] = """
+select library, qname, case when n > 1 or m is null then e0 else least(e0, m) end as a,
+       case when n > 1 then e1 when m is not null then greatest(e0, m) end as b, score
+from (select library, qname, min(e) as e0, max(e) as e1, min(m) as m, count(*) as n, sum(sum_qual) as score from ends group by library, qname)"""
+STEPS["verdict"] = """
+select t.*, row_number() over (partition by library, a, b order by score desc, qname) > 1
+            or b is null and (library, a) in (select (library, unnest([a, b])) from tpl where b is not null) as d from tpl t"""
 STEPS["dup"] = """
-select *, row_number() over (partition by library, contig, five_prime, strand, mate_five_prime, mate_strand
-                             order by sum_qual desc, qname) > 1 as is_duplicate from reads"""
+select m.*, coalesce(v.d, false) as is_duplicate from mates m left join verdict v on m.library = v.library and m.qname = v.qname"""
+STEPS["points"] = """
+select row_number() over () as i, library, a, b, split_part(qname, ':', 4) as lane, split_part(qname, ':', 5) as tile,
+       split_part(qname, ':', 6)::bigint as x, split_part(qname, ':', 7)::bigint as y from tpl where b is not null"""
+STEPS["close"] = """
+select p.i as i, q.i as j from points p join points q on p.library = q.library and p.a = q.a and p.b = q.b and p.lane = q.lane and p.tile = q.tile
+where p.i <> q.i and abs(p.x - q.x) <= 2500 and abs(p.y - q.y) <= 2500"""
+STEPS["optic"] = """
+select library, count(*) filter (i <> root) as optical from points join (
+    with recursive reach as (select i, i as j from points union select r.i, c.j from reach r join close c on r.j = c.i)
+    select i, min(j) as root from reach group by i) using (i) group by library"""
 STEPS["bases"] = f"""
 select s, contig, pos, count(*) as depth
 from (select s, contig, unnest(range(start, "end" + 1)) as pos from reads where mapq >= 20 and baseq >= 20) group by all"""
@@ -489,10 +509,28 @@ where contig = 'chrM' and (mate_contig = contig or mate_unmapped) and not (is_un
 ORACLE["read_revert"] = sql("reads", """
 select qname, library, sum_qual, 'NM' as tag_names, mapq::varchar as tag_values from reads""")
 ORACLE["merge_runs"] = sql("reads", "select qname, library, contig, pos from reads")
-ORACLE["mark_duplicates"] = sql("reads dup", "select qname, library, is_duplicate from dup")
-ORACLE["duplicate_metrics"] = sql("reads dup", """
+_DUP = "mates ends tpl verdict"
+ORACLE["mark_duplicates"] = sql(f"{_DUP} dup", "select qname, library, contig, five_prime, is_primary, is_duplicate from dup")
+ORACLE["duplicate_metrics"] = sql(f"{_DUP} dup", """
 select library, count(*) as reads, count(*) filter (is_duplicate) as duplicates,
        count(*) filter (is_duplicate)::double / count(*) as duplicate_rate from dup group by library""")
+ORACLE["optical_copies"] = sql("mates ends tpl points close optic", "select library, optical from optic")
+ORACLE["library_metrics"] = sql(f"{_DUP} points close optic", """
+, kinds as (select library, count(*) filter (b is null) as lone, count(b) as pairs, count(*) filter (b is null and d) as lone_duplicates,
+                   count(*) filter (b is not null and d) as pair_duplicates from verdict group by library),
+rest as (select library, count(*) filter (is_primary and five_prime is null) as unplaced, count(*) filter (not is_primary) as secondary from mates group by library)
+select k.library, lone, pairs, unplaced, secondary, lone_duplicates, pair_duplicates, optical as optical_pairs,
+       (lone_duplicates + 2 * pair_duplicates)::double / (lone + 2 * pairs) as duplicate_share, round(c * (lo + hi) / 2)::bigint as library_size
+from kinds k join rest using (library) join optic using (library) left join (
+    with recursive top as (
+        select library, (pairs - optical)::double as n, (pairs - pair_duplicates)::double as c, 100.0::double as hi from kinds join optic using (library)
+        where pairs - optical > pairs - pair_duplicates
+        union all select library, n, c, hi * 10 from top where 1.0::double / hi - 1 + exp(-n / (hi * c)) > 0),
+    half as (
+        select library, n, c, 1.0::double as lo, max(hi) as hi, 0 as i from top group by library, n, c
+        union all select library, n, c, case when up then (lo + hi) / 2 else lo end, case when up then hi else (lo + hi) / 2 end, i + 1
+        from (select *, 1.0::double / ((lo + hi) / 2) - 1 + exp(-n / ((lo + hi) / 2 * c)) > 0 as up from half) where i < 40)
+    select library, c, lo, hi from half where i = 40) s using (library)""")
 ORACLE["per_base_depth"] = sql("reads bases depth", "select s, contig, pos, least(depth, 4) as depth from depth")
 ORACLE["wgs_summary"] = sql("reads bases depth", """
 select s, avg(depth) as mean_coverage, median(depth) as median_coverage, floor(avg(depth))::bigint as mean_coverage_floor

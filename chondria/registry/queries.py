@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chondria import schema
 from chondria.functions import consequence as C, lof, names, variant as V
-from chondria.operators import annotate as A, calls as L, copynumber as N, documents as D, matrix as M, reads as R
+from chondria.operators import annotate as A, calls as L, copynumber as N, documents as D, matrix as M, reads as R, templates
 from chondria.operators import sheet as S
 from chondria.plans.lists import cohort_prefilter, final_list, single_prefilter
 from chondria.plans.quality import reported_contamination
@@ -695,12 +695,23 @@ def merge_runs(spark, sf):
 
 @query
 def mark_duplicates(spark, sf):
-    return R.mark_duplicates(derived(spark, sf, "reads")).select("qname", "library", "is_duplicate")
+    marked = templates.mark_duplicates(derived(spark, sf, "mates"))
+    return marked.select("qname", "library", "contig", "five_prime", "is_primary", "is_duplicate")
 
 
 @query
 def duplicate_metrics(spark, sf):
-    return R.duplicate_metrics(R.mark_duplicates(derived(spark, sf, "reads")))
+    return R.duplicate_metrics(templates.mark_duplicates(derived(spark, sf, "mates")))
+
+
+@query
+def optical_copies(spark, sf):
+    return templates.optical_copies(templates.templates(derived(spark, sf, "mates")))
+
+
+@query
+def library_metrics(spark, sf):
+    return templates.library_metrics(derived(spark, sf, "mates"))
 
 
 def _targets(spark):

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chondria.operators import annotate as A, calls as L, copynumber as N, documents as D, joins, matrix as M
-from chondria.operators import reads as R, sheet as S
+from chondria.operators import reads as R, sheet as S, templates
 
 
 def rows(df, *order):
@@ -244,7 +244,7 @@ def test_site_states_equal_the_resolved_matrix(spark):
 def test_duplicates(spark):
     schema = "qname string, library string, contig string, five_prime int, strand int, mate_five_prime int, mate_strand int, sum_qual int"
     data = [("r1", "l", "m", 1, 0, None, 0, 5), ("r2", "l", "m", 1, 0, None, 0, 9), ("r0", "l", "m", 1, 0, None, 0, 9), ("r3", "l", "m", 2, 0, 4, 0, 1)]
-    marked = R.mark_duplicates(spark.createDataFrame(data, schema))
+    marked = templates.mark_duplicates(spark.createDataFrame(data, schema))
     assert {r["qname"]: r["is_duplicate"] for r in marked.collect()} == {"r0": False, "r1": True, "r2": True, "r3": False}
     assert rows(R.duplicate_metrics(marked)) == [("l", 4, 2, 0.5)]
 
@@ -253,7 +253,7 @@ def test_duplicates_of_pairs(spark):
     schema = "qname string, library string, contig string, five_prime int, strand int, mate_five_prime int, mate_strand int, sum_qual int"
     pairs = [(name, "l", "m", a, s, b, 1 - s, q) for name, q in (("r1", 5), ("r2", 9)) for a, s, b in ((1, 0, 80), (80, 1, 1))]
     unmapped = [(f"u{i}", "l", None, None, None, None, None, i) for i in range(3)]
-    marked = R.mark_duplicates(spark.createDataFrame(pairs + unmapped, schema)).collect()
+    marked = templates.mark_duplicates(spark.createDataFrame(pairs + unmapped, schema)).collect()
     assert sorted((r["qname"], r["is_duplicate"]) for r in marked) == [("r1", True)] * 2 + [("r2", False)] * 2 + [(f"u{i}", False) for i in range(3)]
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from chondria.operators import annotate as A, joins, matrix as M, reads as R, sheet as S
+from chondria.operators import annotate as A, joins, matrix as M, templates, sheet as S
 from oracle_check import connect, differences
 
 SF = "/root/testdata/sf0.001"
@@ -82,7 +82,7 @@ def test_hot_fragment(spark, hot):
     data = hot.select(F.concat(F.lit("r"), F.col("row_no").cast("string")).alias("qname"), F.lit("l").alias("library"), F.lit("m").alias("contig"),
                       F.col("pos").alias("five_prime"), F.lit(0).alias("strand"), F.lit(None).cast("int").alias("mate_five_prime"),
                       F.lit(None).cast("int").alias("mate_strand"), F.col("coverage").alias("sum_qual"))
-    marked = R.mark_duplicates(data)
+    marked = templates.mark_duplicates(data)
     assert marked.filter("not is_duplicate").count() == data.select("five_prime").distinct().count()
     assert marked.count() == 3000
 
