@@ -45,13 +45,13 @@ def kept_templates(found: DataFrame) -> DataFrame:
 
     Best is the highest score, then the first name. Sets are aggregated, never sorted or listed.
     """
-    best = F.min(F.struct((-F.col("score")).alias("q"), "template")).alias("best")
-    pairs, lone = found.filter("b is not null"), found.filter("b is null")
-    ends = pairs.select("library", F.explode(F.array("a", "b")).alias("end")).select(F.struct("library", "end").alias("at")).distinct()
-    best_pairs = pairs.groupBy(F.struct("library", "a", "b")).agg(best).select("best.template")
-    best_lone = (lone.groupBy(F.struct("library", F.col("a").alias("end")).alias("at")).agg(best)
-                 .join(ends, "at", "left_anti").select("best.template"))
-    return best_pairs.unionByName(best_lone)
+    own = F.struct((-F.col("score")).alias("q"), "template")
+    nobody, nowhere = F.when(F.lit(False), own), F.when(F.lit(False), F.col("b"))
+    lies = [F.struct(F.col(end).alias("a"), nowhere.alias("b"), nobody.alias("own"), F.lit(True).alias("pair")) for end in ("a", "b")]
+    sets = F.array(F.struct("a", "b", own.alias("own"), F.lit(False).alias("pair")))
+    rows = found.select("library", F.inline(F.when(F.col("b").isNull(), sets).otherwise(F.concat(sets, F.array(*lies)))))
+    best = rows.groupBy(F.struct("library", "a", "b")).agg(F.min("own").alias("best"), F.max("pair").alias("pair"))
+    return best.filter("best is not null and not pair").select("best.template")
 
 
 def verdicts(found: DataFrame) -> DataFrame:

@@ -531,6 +531,25 @@ from kinds k join rest using (library) join optic using (library) left join (
         union all select library, n, c, case when up then (lo + hi) / 2 else lo end, case when up then hi else (lo + hi) / 2 end, i + 1
         from (select *, 1.0::double / ((lo + hi) / 2) - 1 + exp(-n / ((lo + hi) / 2 * c)) > 0 as up from half) where i < 40)
     select library, c, lo, hi from half where i = 40) s using (library)""")
+STEPS["read_bases"] = """
+select s, qname, contig, start + i as pos, case when mapq < 20 then 'mapq' when is_duplicate then 'dupe' when not paired then 'unpaired'
+       when i % 31 = 0 or (baseq + i * i) % 41 < 20 then 'baseq' end as why
+from (select *, unnest(range(0, "end" - start + 1)) as i from dup where is_primary and start is not null)"""
+STEPS["piles"] = """
+select s, contig, pos, count(distinct qname) filter (why is null) as depth, count(*) filter (why = 'mapq') as exc_mapq,
+       count(*) filter (why = 'dupe') as exc_dupe, count(*) filter (why = 'unpaired') as exc_unpaired, count(*) filter (why = 'baseq') as exc_baseq,
+       count(*) filter (why is null) - count(distinct qname) filter (why is null) as exc_overlap from read_bases group by all"""
+_LOST = ["mapq", "dupe", "unpaired", "baseq", "overlap"]
+STEPS["template_piles"] = f"""
+select g.s, g.contig, t.pos, coalesce(depth, 0) as depth, {', '.join(f'coalesce(exc_{n}, 0) as exc_{n}' for n in _LOST)}
+from (select distinct s, contig from read_bases) g join ({_TARGETS}) t on t.contig = g.contig left join piles p on p.s = g.s and p.contig = g.contig and p.pos = t.pos"""
+ORACLE["template_depth"] = sql(f"{_DUP} dup read_bases piles template_piles", "select *, 0::bigint as exc_capped from template_piles")
+_ALL = " + ".join(["sum(least(depth, 3))", *(f"sum(exc_{n})" for n in _LOST), "sum(greatest(depth - 3, 0))"])
+ORACLE["coverage_shares"] = sql(f"{_DUP} dup read_bases piles template_piles", f"""
+select s, count(*) as territory, avg(least(depth, 3)) as mean_coverage, median(least(depth, 3)) as median_coverage,
+       {', '.join(f"count(*) filter (least(depth, 3) >= {x})::double / count(*) as share_{x}x" for x in (1, 5, 10, 20, 30))},
+       {', '.join(f"sum(exc_{n})::double / ({_ALL})::double as exc_{n}" for n in _LOST)}, sum(greatest(depth - 3, 0))::double / ({_ALL})::double as exc_capped,
+       (({_ALL}) - sum(least(depth, 3)))::double / ({_ALL})::double as exc_total from template_piles group by s""")
 ORACLE["per_base_depth"] = sql("reads bases depth", "select s, contig, pos, least(depth, 4) as depth from depth")
 ORACLE["wgs_summary"] = sql("reads bases depth", """
 select s, avg(depth) as mean_coverage, median(depth) as median_coverage, floor(avg(depth))::bigint as mean_coverage_floor

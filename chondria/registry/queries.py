@@ -732,6 +732,23 @@ def wgs_summary(spark, sf):
     return R.coverage_summary(_depth(spark, sf, cap=100000))
 
 
+def _template_depth(spark, sf, cap=None):
+    width = F.col("end") - F.col("start")
+    quals = F.transform(F.sequence(F.lit(0), width), lambda i: F.when(i % 31 != 0, (F.col("baseq") + i * i) % 41))
+    marked = templates.mark_duplicates(derived(spark, sf, "mates")).withColumn("quals", quals)
+    return R.template_depth(marked, _targets(spark), cap=cap)
+
+
+@query
+def template_depth(spark, sf):
+    return _template_depth(spark, sf)
+
+
+@query
+def coverage_shares(spark, sf):
+    return R.coverage_shares(_template_depth(spark, sf, cap=3))
+
+
 # --- documents -------------------------------------------------------------------------------------------------------
 
 def _merge(operation, spark, sf):

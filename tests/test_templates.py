@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from chondria.operators import templates as T
+from chondria.operators import reads as R, templates as T
 from chondria.operators.components import components
 
 READ = "qname string, library string, contig string, five_prime int, strand int, mate_five_prime int, mate_strand int, sum_qual int, is_primary boolean"
@@ -183,3 +183,62 @@ def test_metrics(spark):
     assert (r["lone"], r["pairs"], r["unplaced"], r["secondary"], r["lone_duplicates"], r["pair_duplicates"], r["optical_pairs"]) == (2, 4, 1, 1, 1, 2, 1)
     assert r["duplicate_share"] == pytest.approx(5 / 10) and r["library_size"] > 2
     assert tuple(got[None])[1:] == (0, 0, 1, 0, 0, 0, 0, None, None)
+
+
+# --- coverage by template ------------------------------------------------------------------------------------------------
+
+BASES = "s string, qname string, contig string, start int, end int, mapq int, is_duplicate boolean, paired boolean, quals array<int>, is_primary boolean"
+
+
+def brute_piles(reads, first, last, cap):
+    """{(s, pos): (depth, then bases left out by reason)}"""
+    out = {(r[0], p): [set(), 0, 0, 0, 0, 0] for r in reads if r[3] is not None and r[9] is not False for p in range(first, last + 1)}
+    for i, (s, name, _, start, end, mapq, dup, paired, quals, primary) in enumerate(reads):
+        if start is None or primary is False:
+            continue
+        for p in range(max(start, first), min(end, last) + 1):
+            cell, q = out[s, p], quals[p - start] if quals and p - start < len(quals) else None
+            why = 1 if (mapq or 0) < 20 else 2 if dup else 3 if not paired else 4 if q is None or q < 20 else 0
+            if why:
+                cell[why] += 1
+            elif (name or i) in cell[0]:
+                cell[5] += 1
+            else:
+                cell[0].add(name or i)
+    return {k: (min(len(v[0]), cap), *v[1:], max(0, len(v[0]) - cap)) for k, v in out.items()}
+
+
+@pytest.mark.parametrize("seed,width", [(0, 7), (1, 64), (2, 4096)])
+def test_template_depth_per_base(spark, seed, width):
+    rng = random.Random(seed)
+    reads = []
+    for i in range(150):
+        s, name = rng.choice("ab"), rng.choice([None, *(f"t{rng.randrange(60)}" for _ in range(9))])
+        start = rng.choice([None] + [rng.randint(1, 90)] * 20)
+        end = start and start + rng.randint(-1, 25)
+        quals = rng.choice([None, [], [rng.choice([None, 5, 30, 30]) for _ in range(rng.randint(1, 30))]] + [[rng.choice([19, 20, 30]) for _ in range(30)]] * 9)
+        reads.append((s, name, "m", start, end, rng.choice([None, 10, 20, 60, 60, 60, 60]), rng.choice([None, False, False, False, True]),
+                      rng.choice([True, True, True, True, False]), quals, rng.choice([None, True, True, True, False])))
+    df = spark.createDataFrame(reads, BASES)
+    targets = spark.createDataFrame([("m", 5, 40), ("m", 41, 95), ("other", 1, 3)], "contig string, start int, end int")
+    got = {(r["s"], r["pos"]): tuple(r)[3:] for r in R.template_depth(df, targets, cap=2, width=width).collect()}
+    want = brute_piles(reads, 5, 95, 2)
+    assert got == want
+    for r in R.coverage_shares(R.template_depth(df, targets, cap=2, width=width)).collect():
+        mine = [v for (s, _), v in want.items() if s == r["s"]]
+        total = sum(map(sum, mine))
+        assert r["territory"] == 91 and r["mean_coverage"] == pytest.approx(sum(v[0] for v in mine) / 91)
+        assert r["share_1x"] == pytest.approx(sum(v[0] >= 1 for v in mine) / 91)
+        assert [r[f"exc_{n}"] for n in R.EXCLUDED] == pytest.approx([sum(v[i + 1] for v in mine) / total for i in range(6)])
+        assert r["exc_total"] == pytest.approx(sum(map(sum, (v[1:] for v in mine))) / total)
+
+
+def test_a_name_of_many_reads(spark):
+    """A third of the reads share one name: their blocks unite over the positions of a tile, however many reads there are."""
+    rows = spark.range(3000).select(
+        F.lit("a").alias("s"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("qname"), F.lit("m").alias("contig"),
+        (F.col("id") % 97 + 1).cast("int").alias("start"), (F.col("id") % 97 + 10).cast("int").alias("end"), F.lit(60).alias("mapq"), F.lit(False).alias("is_duplicate"),
+        F.lit(True).alias("paired"), F.array_repeat(F.lit(30), 10).alias("quals"))
+    targets = spark.createDataFrame([("m", 1, 106)], "contig string, start int, end int")
+    got = R.coverage_shares(R.template_depth(rows, targets)).first()
+    assert got["mean_coverage"] == pytest.approx((2000 * 10 + 106) / 106) and got["exc_overlap"] == pytest.approx((1000 * 10 - 106) / 30000)
