@@ -40,20 +40,27 @@ def good_quality(reads: DataFrame, mapq: int = 20, baseq: int = 20) -> DataFrame
     return reads.filter((F.col("mapq") >= mapq) & (F.col("baseq") >= baseq))
 
 
-def good_bases(reads: DataFrame, mapq: int = 20, baseq: int = 20, keep: list[str] | None = None) -> DataFrame:
-    """The runs of good bases of well placed reads, as blocks ``s, contig, start, end`` for :func:`per_base_depth`, with the columns in ``keep``.
+def good_bases(reads: DataFrame, mapq: int = 20, baseq: int = 20) -> DataFrame:
+    """The runs of good bases of well placed reads, as blocks ``s, contig, start, end`` for :func:`per_base_depth`.
 
     ``reads`` has ``quals``, one quality per base from ``start`` on; a missing quality is none, and a read without one has no block.
     """
+    runs = _with_runs(reads.filter((F.col("mapq") >= mapq) & (F.size("quals") > 0)), baseq)
+    # The outer form, as the plain one puts a filter on the array below, and with it a second evaluation of what makes the array.
+    return (runs.select("s", "contig", F.col("start").alias("_at"), F.inline_outer("_runs")).filter("a is not null")
+            .select("s", "contig", (F.col("_at") + F.col("a")).alias("start"), (F.col("_at") + F.col("b")).alias("end")))
+
+
+def _with_runs(reads: DataFrame, baseq: int) -> DataFrame:
+    """``reads`` with ``_runs``: first and last place (``a, b``) of each run of good ``quals``."""
     good = F.transform("quals", lambda q: F.coalesce(q >= baseq, F.lit(False)))
 
     def edges(step: int) -> Column:
         """Places of good bases whose neighbour is not good."""
         places = F.sequence(F.lit(0), F.size("_good") - 1)
         return F.filter(places, lambda i: F.get("_good", i) & ~F.coalesce(F.get("_good", i + step), F.lit(False)))
-    runs = (reads.filter((F.col("mapq") >= mapq) & (F.size("quals") > 0)).withColumn("_good", good)
-            .select("s", "contig", *(keep or []), F.col("start").alias("_at"), F.inline(F.arrays_zip(edges(-1).alias("a"), edges(1).alias("b")))))
-    return runs.select("s", "contig", *(keep or []), (F.col("_at") + F.col("a")).alias("start"), (F.col("_at") + F.col("b")).alias("end"))
+    runs = F.when(F.size("_good") > 0, F.arrays_zip(edges(-1).alias("a"), edges(1).alias("b")))
+    return reads.withColumn("_good", good).withColumn("_runs", runs).drop("_good")
 
 
 def per_base_depth(reads: DataFrame, targets: DataFrame, cap: int | None = None, samples: DataFrame | None = None,
@@ -123,23 +130,33 @@ def template_depth(reads: DataFrame, targets: DataFrame, mapq: int = 20, baseq:
     blocks = (reads.filter(F.col("start").isNotNull() & (F.col("end") >= F.col("start")))
               .select("s", "qname", "contig", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "mapq",
                       F.slice("quals", F.lit(1), (F.col("end") - F.col("start") + 1).cast("int")).alias("quals"), reason.alias("reason")))
-    good = good_bases(blocks.filter("reason = 'whole'"), mapq, baseq, ["qname"])
-    cut = (good.filter("qname is not null").withColumn("t", F.explode(tiles(F.col("start"), F.col("end"), width)))
-           .withColumn("start", F.greatest("start", F.col("t") * width)).withColumn("end", F.least("end", F.col("t") * width + (width - 1))))
-    ends = F.inline(F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("step")), F.struct((F.col("end") + 1).alias("pos"), F.lit(-1).alias("step"))))
+    read = _with_runs(blocks, baseq)
+    runs = F.when(F.col("reason") == "whole", F.transform("_runs", lambda r: F.struct(
+        (F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"]).alias("b"))))
+    read = read.select("s", "qname", "contig", "start", "end", "reason", runs.alias("runs"))
+
+    def event(pos: Column, kind: Column, step: int) -> Column:
+        return F.struct(pos.cast("long").alias("pos"), kind.alias("kind"), F.lit(step).alias("step"))
+
+    def run_events(kind: str) -> Column:
+        both = [F.transform("runs", lambda r: event(r["a"], F.lit(kind), 1)), F.transform("runs", lambda r: event(r["b"] + 1, F.lit(kind), -1))]
+        return F.coalesce(F.concat(*both), F.array().cast("array<struct<pos: bigint, kind: string, step: int>>"))
+    own = F.array(event(F.col("start"), F.col("reason"), 1), event(F.col("end") + 1, F.col("reason"), -1))
+    nameless = F.when(F.col("qname").isNull(), run_events("depth")).otherwise(F.array().cast("array<struct<pos: bigint, kind: string, step: int>>"))
+    events = read.select("s", "contig", F.inline_outer(F.concat(own, run_events("good"), nameless))).filter("pos is not null")
+    cut = (read.filter("qname is not null").select("s", "contig", "qname", F.inline_outer("runs")).filter("a is not null")
+           .select("s", "contig", "qname", "a", "b", F.explode(tiles(F.col("a"), F.col("b"), width)).alias("t")))
+    ends = F.inline(F.array(F.struct(F.greatest("a", F.col("t") * width).alias("pos"), F.lit(1).alias("step")),
+                            F.struct((F.least("b", F.col("t") * width + (width - 1)) + 1).alias("pos"), F.lit(-1).alias("step"))))
     tile = ["s", "contig", "qname", "t"]
     changes = cut.select(*tile, ends).groupBy(*tile, "pos").agg(F.sum("step").alias("step"))
     order = Window.partitionBy(*tile).orderBy("pos")
-    own = F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    now = F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, 0))
     before = F.coalesce(F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    united = changes.select("s", "contig", "pos", ((own > 0).cast("int") - (before > 0).cast("int")).alias("depth")).filter("depth <> 0")
-    parts = [_steps(blocks.filter(F.col("reason") == r), r) for r in ("mapq", "dupe", "unpaired", "whole")]
-    parts += [_steps(good, "good"), united, _steps(good.filter("qname is null"), "depth")]
+    united = changes.select("s", "contig", "pos", F.lit("depth").alias("kind"), ((now > 0).cast("int") - (before > 0).cast("int")).alias("step"))
     names = ["mapq", "dupe", "unpaired", "whole", "good", "depth"]
-    steps = parts[0]
-    for part in parts[1:]:
-        steps = steps.unionByName(part, allowMissingColumns=True)
-    steps = steps.select("s", "contig", "pos", *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
+    steps = events.unionByName(united.filter("step <> 0")).select(
+        "s", "contig", "pos", *[F.when(F.col("kind") == n, F.col("step")).otherwise(0).alias(n) for n in names])
     groups = (blocks if samples is None else samples).select("s", "contig").distinct()
     sums = _running(steps, groups, targets, names, width)
     depth = F.col("depth") if cap is None else F.least("depth", F.lit(cap).cast("long"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from chondria import schema
 from chondria.functions import consequence as C, lof, names, variant as V
 from chondria.operators import annotate as A, calls as L, copynumber as N, documents as D, matrix as M, reads as R, templates
+from chondria.operators.storage import settled
 from chondria.operators import sheet as S
 from chondria.plans.lists import cohort_prefilter, final_list, single_prefilter
 from chondria.plans.quality import reported_contamination
@@ -735,8 +736,8 @@ def wgs_summary(spark, sf):
 def _template_depth(spark, sf, cap=None):
     width = F.col("end") - F.col("start")
     quals = F.transform(F.sequence(F.lit(0), width), lambda i: F.when(i % 31 != 0, (F.col("baseq") + i * i) % 41))
-    marked = templates.mark_duplicates(derived(spark, sf, "mates")).withColumn("quals", quals)
-    return R.template_depth(marked, _targets(spark), cap=cap)
+    marked = settled(templates.mark_duplicates(derived(spark, sf, "mates")), "marked")
+    return R.template_depth(marked.withColumn("quals", quals), _targets(spark), cap=cap)
 
 
 @query
