@@ -147,20 +147,3 @@ def localize(entries: DataFrame, values: list[str], site: list[str] | None = Non
 def unlocalize(blocks: DataFrame, site: list[str] | None = None) -> DataFrame:
     site = SITE if site is None else site
     return blocks.select(*site, F.inline("entries"))
-
-
-def densify(entries: DataFrame, sites: DataFrame, samples: DataFrame, site: list[str] | None = None,
-            block: int = 64) -> DataFrame:
-    """Every cell of ``sites`` and ``samples``; cells without an entry hold NULLs.
-
-    Samples fall into blocks of about ``block`` by hash. Sites are repeated once per block, matched with the
-    samples of the block by equality, and the entries are joined on the full cell key.
-    """
-    site = SITE if site is None else site
-    names = samples.select("s").distinct()
-    n_blocks = F.ceil(names.agg(F.count(F.lit(1))).scalar() / F.lit(block)).cast("int")
-    part = F.pmod(F.xxhash64("s"), F.greatest(n_blocks, F.lit(1))).cast("int")
-    grid = sites.select(*site).distinct().withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0)))))
-    cells = lookup_join(grid, names.withColumn("_block", part), ["_block"], "inner").drop("_block")
-    return cells.join(entries, [*site, "s"], "left")

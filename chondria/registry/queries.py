@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chondria import schema
 from chondria.functions import consequence as C, lof, names, variant as V
-from chondria.operators import annotate as A, calls as L, copynumber as N, documents as D, matrix as M, reads as R, templates
+from chondria.operators import annotate as A, blocks as B, calls as L, copynumber as N, documents as D, matrix as M, reads as R, templates
 from chondria.operators.storage import settled
 from chondria.operators import sheet as S
 from chondria.plans.lists import cohort_prefilter, final_list, single_prefilter
@@ -135,7 +135,7 @@ def matrix_localize_roundtrip(spark, sf):
 @query
 def matrix_densify(spark, sf):
     calls = derived(spark, sf, "family_calls").select("s", "pos", "ref", "alt", "DP", "HL")
-    return M.densify(calls, calls, derived(spark, sf, "families"))
+    return B.densify(calls, calls, derived(spark, sf, "families"))
 
 
 def _family_lines(spark, sf):
@@ -165,8 +165,10 @@ def _vcf_samples(spark, sf):
 
 @query
 def variant_long(spark, sf):
-    rows = A.long_records(_vcf_records(spark, sf), _vcf_samples(spark, sf))
-    return A.format_by_tag(rows).select("SampleID", "POS", "REF", "ALT", "FILTER", "DP", "Heteroplasmy")
+    cells = _clean(_entries(spark, sf, "family_calls")).withColumn("contig", F.lit("MT"))
+    sites = M.flag_artifacts(cells.select("contig", "pos", "ref", "alt").distinct(), derived(spark, sf, "bed"))
+    places = B.sample_places(derived(spark, sf, "families").select("s", "sample_idx"))
+    return B.long_records(B.array_blocks(cells, sites, places, ["DP", "HL"]), sites)
 
 
 @query
@@ -175,6 +177,15 @@ def variant_long_carriers(spark, sf):
     return A.carriers(A.format_by_tag(rows)).select("SampleID", "POS", "REF", "ALT", "Heteroplasmy")
 
 
+@query
+def homref_blocks(spark, sf):
+    """The resolved matrix by array blocks; only cells that are known go out."""
+    calls, coverage = _clean(_entries(spark, sf, "calls")), derived(spark, sf, "coverage")
+    places = B.sample_places(derived(spark, sf, "samples").select("s"))
+    rows = B.cells_of(B.resolved_blocks(calls, coverage, places))
+    return rows.filter("HL is not null or DP is not null").select("s", "pos", "ref", "alt", "HL", "DP", F.array_join("FT", ";").alias("FT"))
+
+
 def _family_probands(spark, sf):
     meta = derived(spark, sf, "samples").select(F.col("family").alias("s"), "category")
     return A.probands(meta)

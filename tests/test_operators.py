@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from chondria.operators import annotate as A, calls as L, copynumber as N, documents as D, joins, matrix as M
+from chondria.operators import annotate as A, blocks, calls as L, copynumber as N, documents as D, joins, matrix as M
 from chondria.operators import reads as R, sheet as S, templates
 
 
@@ -92,7 +92,7 @@ def test_resolved_cells_equal_the_dense_matrix(spark):
     calls = spark.createDataFrame([("a", 1, "A", "G", 50, 0.5, 1.0, 1.0, ["PASS"]), ("b", 2, "C", "T", 9, 0.1, 1.0, 1.0, ["x"])], CALL)
     cov = spark.createDataFrame([("b", 1, 500), ("c", 2, 20)], "s string, pos int, coverage int")
     samples = spark.createDataFrame([("a",), ("b",), ("c",)], "s string")
-    dense = M.densify(calls, calls, samples, block=2)
+    dense = blocks.densify(calls, calls, samples, block=2)
     assert dense.count() == 2 * 3
     full = dense.join(cov, ["s", "pos"], "left").select("s", *M.SITE, "MQ", "TLOD", *M.resolved(
         F.col("HL"), F.col("DP"), F.col("FT"), F.col("coverage"), 100))
