@@ -522,9 +522,14 @@ def prefilter_single(spark, sf):
     return _single(spark, sf)
 
 
+def _final(prefilter, max_freq=100, disease_first=False):
+    """The final list from stored candidates, as sorting reads its input twice."""
+    return final_list(settled(A.keep_candidates(prefilter, max_freq), "candidates"), max_freq, disease_first)
+
+
 @query
 def final_single(spark, sf):
-    return final_list(_single(spark, sf))
+    return _final(_single(spark, sf))
 
 
 def _cohort(spark, sf, probands=None):
@@ -538,12 +543,12 @@ def prefilter_cohort(spark, sf):
 
 @query
 def final_cohort(spark, sf):
-    return final_list(_cohort(spark, sf), MAX_FREQ, disease_first=True)
+    return _final(_cohort(spark, sf), MAX_FREQ, disease_first=True)
 
 
 @query
 def final_disease(spark, sf):
-    return final_list(_cohort(spark, sf, _probands(spark, sf)), MAX_FREQ, disease_first=True)
+    return _final(_cohort(spark, sf, _probands(spark, sf)), MAX_FREQ, disease_first=True)
 
 
 @query
