@@ -45,8 +45,13 @@ def site_coverage(coverage: DataFrame, n_samples: Column, exact: bool = False, k
     ``n_samples`` counts all samples of the manifest, so a missing cell is not over a threshold. The median of
     whole numbers is a whole number unless ``exact``.
     """
+    return site_coverage_of_counts(value_counts(coverage, [key], F.col("coverage")), n_samples, exact, key)
+
+
+def site_coverage_of_counts(counts: DataFrame, n_samples: Column, exact: bool = False, key: str = "pos") -> DataFrame:
+    """:func:`site_coverage` from the number ``n`` of samples per site and depth ``v``, as a growing cohort stores it."""
     over = [(rows_over(t).cast("double") / n_samples).alias(f"over_{t}") for t in (100, 1000)]
-    return value_counts(coverage, [key], F.col("coverage")).groupBy(key).agg(
+    return counts.groupBy(key).agg(
         mean().alias("mean"), (median() if exact else F.floor(median()).cast("int")).alias("median"), *over)
 
 

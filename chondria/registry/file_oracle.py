@@ -13,6 +13,10 @@ select stem || ['.merged.final.split.vcf', '.final.split.vcf.gz', '.merged.per_b
        case when k = 4 then stem || '.wgs.txt' else stem end as s, stem
 from (select 'S' || o_orderkey as stem, (o_orderkey % 5)::int as k from orders)"""
 ORACLE["file_coverage"] = sql("coverage", "select 'chrM' as chrom, pos, s, coverage from coverage")
+ORACLE["grown_site_summary"] = sql("coverage", """
+, here as (select * from coverage where s not like '%3'), n as (select count(distinct s) as n from here)
+select pos, avg(coverage) as mean, floor(median(coverage))::int as median, count(*) filter (coverage > 100)::double / (select n from n) as over_100,
+       count(*) filter (coverage > 1000)::double / (select n from n) as over_1000 from here group by pos""")
 ORACLE["file_commented_table"] = sql("gnomad g", """
 select ref, pos as position, alt, v.m as max_observed_heteroplasmy, v.h as AF_hom, v.e as AF_het from g""")
 ORACLE["file_plain_table"] = sql("mitotip", 'select rCRS, "Position", "Alt", "Quartile" from mitotip')

@@ -2,8 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chondria.operators import annotate as A, reads as R
+from chondria.operators import annotate as A, matrix as M, reads as R
 from chondria.operators.storage import scratch_path as folder
+from chondria.plans import growth
 from chondria.plans.lists import lists_job
 from chondria.registry import queries as Q
 from chondria.registry.inputs import derived, load
@@ -65,6 +66,30 @@ def file_coverage(spark, sf):
     return coverage.read_coverage(spark, f"{path}/s=*/part-*", _manifest(spark, path))
 
 
+def _coverage_files(spark, rows, path):
+    rows = rows.select("s", F.lit("chrM").alias("chrom"), "pos", F.lit("t").alias("target"), "coverage")
+    rows.repartition("s").write.mode("append").partitionBy("s").csv(path, sep="\t", header=True)
+
+
+def _depth_counts(cells):
+    return cells.groupBy("pos", F.col("coverage").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def grown_site_summary(spark, sf):
+    """The site summary of a cohort that has grown: most samples come first, then the rest comes while some of the first go."""
+    path, root = folder(spark, "coverage"), folder(spark, "cohort")
+    found, late, gone = derived(spark, sf, "coverage"), F.col("s").endswith("7"), F.col("s").endswith("3")
+
+    def read(paths, named):
+        return coverage.read_coverage(spark, paths, named).drop("chrom")
+    for rows, listed in ((found.filter(~late), F.lit(True)), (found.filter(late), ~gone)):
+        _coverage_files(spark, rows, path)
+        growth.grow(spark, root, _manifest(spark, path).filter(listed), path, read, {"depth": _depth_counts})
+    n = growth.samples(spark, root).agg(F.count(F.lit(1))).scalar()
+    return M.site_coverage_of_counts(growth.count(spark, root, "depth"), n)
+
+
 @query
 def file_commented_table(spark, sf):
     keys, values = ["ref", "position", "alt"], ["max_observed_heteroplasmy", "AF_hom", "AF_het"]
