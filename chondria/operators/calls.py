@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chondria import schema
+from chondria.operators.intervals import covered
 from chondria.operators.joins import lookup_join, positions
 
 # Call regions of the two references and the rotation between them.
@@ -77,15 +78,14 @@ def applied_contamination(reported: Column, external: Column) -> Column:
 def spans_listed(records: DataFrame, intervals: DataFrame, name: str) -> DataFrame:
     """Boolean ``name``: whether the reference allele of a record covers a base of the 0-based half-open intervals.
 
-    Works on distinct ``(contig, pos, length of ref)``, each expanded over its few bases and matched by
-    equality; the answer is joined back as a lookup.
+    Works on distinct ``(contig, pos, length of ref)``, each expanded over the bases of its allele and looked up by aligned
+    pieces, so that a long interval is never taken apart into bases; the answer is joined back as a lookup.
     """
     spans = (records.select("contig", F.col("pos").cast("long").alias("_at"), F.length("ref").cast("long").alias("_len"))
              .dropna().distinct().withColumn("_to", F.col("_at") + F.col("_len") - 1))
     bases = positions(spans, "_at", "_to", ["contig", "_at", "_len"])
-    listed = positions(intervals.withColumn("_first", F.col("start") + 1), "_first", "end", ["contig"]).distinct()
-    hits = lookup_join(bases, listed, ["contig", "pos"], "left_semi")
-    hit = hits.select("contig", "_at", "_len").distinct().withColumn(name, F.lit(True))
+    listed = intervals.select("contig", (F.col("start") + 1).cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    hit = covered(bases, listed, ["contig"]).select("contig", "_at", "_len").distinct().withColumn(name, F.lit(True))
     marked = (records.withColumn("_at", F.col("pos").cast("long"))
               .withColumn("_len", F.length("ref").cast("long")))
     return (lookup_join(marked, hit, ["contig", "_at", "_len"])
