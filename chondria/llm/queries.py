@@ -24,7 +24,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffix.without_repeats(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+                       (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"))
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ LENGTH = 400            # bytes of a string that counts as repeated
 GRAM = 64               # bytes of the initial buckets
 HOT = 4096              # contexts of a bucket that one task refines; larger buckets are refined by Spark's own aggregates
 PART_ROWS = 4096        # contexts that a task is to have
+HEAVY, SALTS = 256, 64  # rows of one key beyond which a join deals them to that many parts
 SEGMENT = 1 << 19
 LOW = np.uint64((1 << 20) - 1)
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -135,6 +136,26 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def spread_join(rows: DataFrame, lines: DataFrame, on: list[tuple[str, str]], count: str, by: list[str]) -> DataFrame:
+    """``rows`` joined with ``lines``, which has a row per key and says in ``count`` how many rows have it.
+
+    The rows of a key that more than ``HEAVY`` have are dealt to ``SALTS`` parts by the columns ``by``, and its line is repeated for each. A bit filter tells such
+    keys; others that pass it are treated alike on both sides. Its bits grow with the heavy keys, of which there are at most rows / ``HEAVY``.
+    """
+    ours, theirs = (F.xxhash64(*names) for names in zip(*on))
+    heavy = stored(lines.where(F.col(count) > HEAVY).select(theirs.alias("k")), "heavy")
+    filter_ = bits.build(heavy, heavy.count(), twice=False)
+    part = F.pmod(F.xxhash64(*by), F.lit(SALTS))
+    left = rows.withColumn("_many", bits.passes(ours, filter_)).withColumn("_part", F.when(F.col("_many"), part).otherwise(0)).drop("_many")
+    every = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    right = lines.withColumn("_many", bits.passes(theirs, filter_)).withColumn(
+        "_to", F.explode(F.when(F.col("_many"), every).otherwise(F.array(F.lit(0).cast("long"))))).drop("_many")
+    same = F.col("_part") == F.col("_to")
+    for a, b in on:
+        same = same & (F.col(a) == F.col(b))
+    return left.join(right, same).drop("_part", "_to")
+
+
 def spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(id, tkey, start, stop): spans of bytes, overlapping ones too, that cover each repeated string of ``texts(id, tkey, text)``.
 
@@ -147,7 +168,7 @@ def spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
     3. Classes of one bucket are refined: identifiers of their strings double in length, and strings that are alone drop out. Buckets are packed
        into tasks of bounded size; a bucket with more than ``HOT`` classes is not given to a task, its strings are counted by Spark.
 
-    No task holds a group of unbounded size, and no pair is ever made.
+    No task holds a group of unbounded size, and no pair is ever made: rows of a string or context that very many have meet its line in parts.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,8 +221,8 @@ def spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
 
     classes = stored(pieces.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.min("piece").alias("piece"),
                                                            F.min(F.struct("id", "tkey", "first")).alias("one")), "classes")
-    whole = pieces.select("id", "tkey", "first", "final", "label").join(
-        classes.where("n > 1").select(F.col("label").alias("l")), F.col("label") == F.col("l"))
+    whole = spread_join(pieces.select("id", "tkey", "first", "final", "label"), classes.where("n > 1").select(F.col("label").alias("l"), F.col("n").alias("c")),
+                        [("label", "l")], "c", ["id", "tkey", "first"])
     whole = whole.select("id", "tkey", F.col("first").alias("start"), (F.col("final") + length).alias("stop"))
 
     sizes = classes.groupBy(F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -231,8 +252,8 @@ def spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame
 
     hot = open_.where(F.col("m") > HOT).select("n", "id", "tkey", "first", "piece").mapInArrow(
         strings, "n long, id long, tkey long, start int, a long, b long")
-    again = hot.groupBy(F.col("a").alias("x"), F.col("b").alias("y")).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    counted = hot.where("n = 1").join(again, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y"))).select(
+    again = stored(hot.groupBy(F.col("a").alias("x"), F.col("b").alias("y")).agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "again")
+    counted = spread_join(hot.where("n = 1"), again, [("a", "x"), ("b", "y")], "c", ["id", "tkey", "start"]).select(
         "id", "tkey", "start", (F.col("start") + length).alias("stop"))
     return whole.unionByName(refined).unionByName(counted)
 

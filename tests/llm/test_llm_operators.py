@@ -140,6 +140,22 @@ def test_refinement_keeps_what_is_repeated():
     assert [g.tolist() for g in got] == [[i for i in range(len(p) - 399) if seen[p[i:i + 400]] > 1] for p in pieces]
 
 
+def test_a_common_string_is_met_in_parts(spark, docs, monkeypatch):
+    """A string that all texts have in different surroundings: its rows are dealt evenly, and none is lost."""
+    from pyspark.sql import functions as F
+    for name, value in (("HOT", 8), ("HEAVY", 16), ("SALTS", 8)):
+        monkeypatch.setattr(suffix, name, value)
+    rng = random.Random(4)
+    common = prose(rng, 200)[:420]
+    rows = [(i, f"{prose(rng, 30)} {common} {prose(rng, 30)}") for i in range(120)]
+    want = plain.without_repeats([t.encode() for _, t in rows], 400)
+    same_rows(suffix.without_repeats(docs(rows)), [(i, *w) for (i, _), w in zip(rows, want)], "doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+    left = spark.range(4000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    lines = left.groupBy(F.col("k").alias("l")).agg(F.count(F.lit(1)).alias("c"))
+    met = suffix.spread_join(left, lines, [("k", "l")], "c", ["id"])
+    assert met.count() == 4000 and met.select("id").distinct().count() == 4000
+
+
 def test_copies_of_a_row_fill_no_list(docs, monkeypatch):
     kept, plans = suffix.stored, []
 
