@@ -1,6 +1,7 @@
 """Check SQL of the file queries: what must come back is what the tables say. Constants are written out."""
 
 from chondria.registry.oracle import ORACLE, sql
+from chondria.schema import SINGLE_LIST
 
 ORACLE["file_sheet"] = sql("sheet", """
 select row_number() over (order by row_no) - 1 as row_no, id, file1, file2 from sheet""")
@@ -31,13 +32,13 @@ select 'S' || s_suppkey as s, case when s_suppkey % 5 = 0 then 'YES' else 'NO' e
        s_nationkey::double / 64.0::double as major_level, case when s_suppkey % 3 <> 0 then 0.015::double end as minor_level
 from supplier"""
 ORACLE["file_report_metadata"] = sql("samples", "select s, haplogroup, contamination from samples")
-ORACLE["file_metrics"] = "select s_suppkey::double as nuc_median, s_suppkey::double / 4.0::double as nuc_mean from supplier"
+ORACLE["file_metrics"] = "select 'S' || s_suppkey as s, s_suppkey::double as nuc_median, s_suppkey::double / 4.0::double as nuc_mean from supplier"
 ORACLE["file_disease_metadata"] = sql("samples", "select s, category from samples")
 ORACLE["file_matrix"] = sql("coverage", "select s, pos, coverage from coverage")
-ORACLE["file_copy_number"] = sql("coverage nuclear contam mtcn", """
-select Sample_ID, Pass_Filter::varchar as "Pass_Filter" from mtcn""")
+ORACLE["file_copy_number"] = ORACLE["sample_qc_mtcn"]
 ORACLE["file_documents"] = f"select unnest(string_split(value, chr(10))) as value from ({ORACLE['doc_bulk_lines']})"
-_LISTED = 'select SAMPLE_ID, "POS", "REF", "ALT", nullif("Consequence", \'\') as "Consequence", nullif(clinvar_interp, \'\') as clinvar_interp'
+_NUMBERS = {"Heteroplasmy", "gnomad_af_hom", "gnomad_af_het", "helix_max_hl", "helix_af_hom", "helix_af_het", "mitomap_af", "Freq"}
+_LISTED = "select " + ", ".join(f'"{c}"' if c in _NUMBERS else f"nullif(\"{c}\", '') as \"{c}\"" for c in SINGLE_LIST)
 ORACLE["file_variant_lists"] = f"""
 {_LISTED}, 'variant_list_prefiltering' as list from ({ORACLE['prefilter_single']})
 union all {_LISTED}, 'variant_list' as list from ({ORACLE['final_single']})"""

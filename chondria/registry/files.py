@@ -34,6 +34,12 @@ def _manifest(spark: SparkSession, path: str) -> DataFrame:
     return found.select(F.regexp_extract("path_key", "/s=([^/]+)/part-", 1).alias("s"), F.col("path_key").alias("path"))
 
 
+def _read_back(spark: SparkSession, path: str, written: DataFrame) -> DataFrame:
+    """All columns of a text table, as strings read and then of the types that were written. Empty texts come back as missing."""
+    read = tables.read_strings(spark, path, written.columns)
+    return read.select(*[F.col(c).cast(kind).alias(c) for c, kind in written.dtypes])
+
+
 @query
 def file_sheet(spark, sf):
     lines = derived(spark, sf, "sheet").select("row_no", F.concat_ws("\t", "id", "file1", "file2").alias("value"))
@@ -176,7 +182,7 @@ def file_metrics(spark, sf):
                      F.lit("\t"), F.col("s_suppkey").cast("string"), F.lit("\n\n## HISTOGRAM\tInteger\ncoverage\tn\n0\t1"))
     lines = load(spark, sf, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("s"), block.alias("value"))
     path = _by_sample(lines, folder(spark, "metrics"))
-    return reports.read_coverage_metrics(spark, f"{path}/s=*/part-*").select("nuc_median", "nuc_mean")
+    return reports.read_coverage_metrics(spark, f"{path}/s=*/part-*", _manifest(spark, path))
 
 
 @query
@@ -194,18 +200,18 @@ def file_matrix(spark, sf):
 @query
 def file_variant_lists(spark, sf):
     path = folder(spark, "lists")
-    lists_job(Q.prefilter_single(spark, sf), path)
-    columns = ["SAMPLE_ID", "POS", "REF", "ALT", "Consequence", "clinvar_interp"]
-    both = [tables.read_strings(spark, f"{path}/{name}", columns).drop("ord").withColumn("list", F.lit(name))
-            for name in ("variant_list_prefiltering", "variant_list")]
+    prefilter = Q.prefilter_single(spark, sf)
+    lists_job(prefilter, path)
+    both = [_read_back(spark, f"{path}/{name}", prefilter).withColumn("list", F.lit(name)) for name in ("variant_list_prefiltering", "variant_list")]
     return both[0].unionByName(both[1])
 
 
 @query
 def file_copy_number(spark, sf):
     path = folder(spark, "summary")
-    sinks.write_tsv(Q.sample_qc_mtcn(spark, sf), path)
-    return tables.read_strings(spark, path, ["Sample_ID", "Pass_Filter"]).drop("ord")
+    summary = Q.sample_qc_mtcn(spark, sf)
+    sinks.write_tsv(summary, path)
+    return _read_back(spark, path, summary)
 
 
 @query

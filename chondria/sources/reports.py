@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chondria.functions.casts import integer, number
-from chondria.sources.files import read_or_empty, require_none, sample_before_dot
+from chondria.operators.joins import lookup_join
+from chondria.sources.files import path_key, read_or_empty, require_none, sample_before_dot
 
 # 1-based report columns that must carry these names.
 HAPLO_LAYOUT = {2: "Contamination", 6: "HgMajor", 8: "HgMinor", 14: "MeanHetLevelMajor", 15: "MeanHetLevelMinor"}
@@ -48,8 +49,11 @@ def read_report_columns(spark: SparkSession, path: str, columns: dict[str, str])
         .select(*[F.col(f"`{old}`").alias(new) for old, new in columns.items()]), spark, ddl)
 
 
-def read_coverage_metrics(spark: SparkSession, path) -> DataFrame:
-    """``(s, nuc_median, nuc_mean)`` from the first whole-genome metrics block of each report."""
+def read_coverage_metrics(spark: SparkSession, path, manifest: DataFrame | None = None) -> DataFrame:
+    """``(s, nuc_median, nuc_mean)`` from the first whole-genome metrics block of each report.
+
+    With a manifest ``(s, path)`` only the listed files are kept and named by it; otherwise the sample id comes from the file name.
+    """
     text = F.regexp_replace("value", "\r", "")
     block = F.regexp_extract(text, r"(?s)## METRICS CLASS[^\n]*WgsMetrics[^\n]*\n(.*?)(?:## HISTOGRAM|\z)", 1)
     lines = F.filter(F.split(block, "\n"), lambda line: F.trim(line) != "")
@@ -62,6 +66,10 @@ def read_coverage_metrics(spark: SparkSession, path) -> DataFrame:
     broken = F.coalesce(F.size(lines) < 2, F.lit(True)) | ~F.array_contains(names, "MEDIAN_COVERAGE") | \
         ~F.array_contains(names, "MEAN_COVERAGE")
     checked = F.when(broken, F.raise_error(F.concat(F.lit("no coverage metrics in "), "_metadata.file_path")))
-    return files.select(sample_before_dot(F.col("_metadata.file_name")).alias("s"),
-                        checked.otherwise(field("MEDIAN_COVERAGE")).alias("nuc_median"),
-                        field("MEAN_COVERAGE").alias("nuc_mean"))
+    found = files.select(path_key(F.col("_metadata.file_path")).alias("path_key"), sample_before_dot(F.col("_metadata.file_name")).alias("s"),
+                         checked.otherwise(field("MEDIAN_COVERAGE")).alias("nuc_median"),
+                         field("MEAN_COVERAGE").alias("nuc_mean"))
+    if manifest is not None:
+        listed = manifest.select("s", path_key(F.col("path")).alias("path_key"))
+        found = lookup_join(found.drop("s"), listed, ["path_key"], "inner")
+    return found.select("s", "nuc_median", "nuc_mean")
