@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chondria.llm.common import text_of
 
@@ -17,6 +17,7 @@ GRAMS = (3, 4, 5)
 SPAN = 8                # words that are averaged
 STEP = 4                # words from one span to the next
 SAMPLE = 3000           # labelled rows of each class that the model is fitted on, at most
+SAMPLE_BYTES = 64 << 20 # of their texts, at most
 EPOCHS = 8
 WARM = 2                # of these, the first, in which any of a text's spans learn
 BATCH = 128
@@ -140,11 +141,17 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 5) -> Model:
 
 
 def learned(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int = SAMPLE) -> Model:
-    """The model fitted on at most ``sample`` rows of each class, from the folds to learn from, in hash order. Ids are chosen before texts are read."""
-    usable = labels.where(F.col(label_col).isin(0, 1) & (fold(F.col(id_col)) != 1)).select(F.col(id_col).alias("i"), F.col(label_col).alias("y"))
+    """The model fitted on at most ``sample`` texts of each class and ``SAMPLE_BYTES`` in all, from the folds to learn from, in hash order.
+
+    Ids are chosen before texts are read. Of the rows of one id the least text is taken; texts beyond the bytes are left out of the fit.
+    """
+    usable = labels.where(F.col(label_col).isin(0, 1) & (fold(F.col(id_col)) != 1)).select(F.col(id_col).alias("i"), F.col(label_col).alias("y")).distinct()
     chosen = [usable.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i").limit(sample) for y in (0, 1)]
     ids = chosen[0].unionByName(chosen[1])
-    rows = df.select(df[id_col].alias("id"), text_of(df, text_col).alias("text")).join(F.broadcast(ids), F.col("id") == F.col("i")).select("id", "text", "y").collect()
+    texts = df.select(df[id_col].alias("id"), text_of(df, text_col).alias("text")).join(F.broadcast(ids), F.col("id") == F.col("i"))
+    texts = texts.groupBy("id", "y").agg(F.min("text").alias("text"))
+    so_far = F.sum(F.octet_length("text")).over(Window.orderBy(F.xxhash64("id"), "id", "y"))        # over at most 2 * sample rows
+    rows = texts.withColumn("bytes", so_far).where(F.col("bytes") <= SAMPLE_BYTES).select("id", "text", "y").collect()
     rows.sort(key=lambda r: (r.id, r.y, r.text))
     toxic = np.array([r.y for r in rows])
     if len(set(toxic.tolist())) < 2:
@@ -158,7 +165,7 @@ def scored(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
 
     Labels come from the folds to learn from only; a score depends on the text alone. Its words are read in overlapping spans, whole text
     through, each the mean of its subwords' vectors under one linear softmax; the highest span decides. A misspelling
-    shares n-gram vectors with the word it is made from. The model is fitted on a sample of at most ``2 * sample`` rows, and is sent to the tasks
+    shares n-gram vectors with the word it is made from. The model is fitted on at most ``2 * sample`` texts and ``SAMPLE_BYTES``, and is sent to the tasks
     as a table of fixed size; scoring has no shuffle.
 
     NULL and empty texts get the score of no evidence. Without labels of both classes all texts get one low score. Repeated rows get equal

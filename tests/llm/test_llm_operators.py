@@ -4,6 +4,7 @@ import math
 import pickle
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -435,6 +436,20 @@ def test_toxicity(spark, docs, odd):
     assert {r.predicted for r in toxicity.scored(docs(rows[:5]), marks.limit(0)).collect()} == {0}
 
 
+def test_the_fit_is_bounded_whatever_repeats(spark, docs, monkeypatch):
+    """Thousands of rows of one id, and labels given twice, add one text."""
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: seen.append(list(texts)) or toxicity.Model(np.zeros(toxicity.BUCKETS, np.float32), 0.0, 1.0, -2.0))
+    usable = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1][:6]
+    rows = [(usable[0], f"text {k}") for k in range(3000)] + [(i, f"own {i}") for i in usable[1:]]
+    labels = spark.createDataFrame([(i, 0, k % 2) for k, i in enumerate(usable) for _ in range(3)], "doc_id long, quality int, toxic int")
+    toxicity.learned(docs(rows), labels, "doc_id", "text", "toxic", sample=2)
+    assert len(seen[0]) == 4
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 14)
+    toxicity.learned(docs(rows), labels, "doc_id", "text", "toxic", sample=3)
+    assert len(seen) == 1 or sum(map(len, seen[1])) <= 14
+
+
 def test_misspelled_words_share_n_grams():
     texts = [PROSE + (" you horrid thing" if i % 2 else "") for i in range(60)]
     model = toxicity.fit(texts, np.arange(60) % 2)
