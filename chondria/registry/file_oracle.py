@@ -44,6 +44,11 @@ ORACLE["file_variant_lists"] = f"""
 union all {_LISTED}, 'variant_list' as list from ({ORACLE['final_single']})"""
 ORACLE["file_probands"] = f"""
 select row_number() over (order by s) - 1 as row_no, s as value from ({ORACLE['proband_set']})"""
+ORACLE["doc_store_merge"] = sql("stored", """
+, incoming as (select o_custkey * 2 as id, case when o_orderkey % 3 <> 0 then o_orderpriority end as name, o_orderkey as version from orders
+               qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1)
+select coalesce(o.id, i.id) as id, case when i.id is null then o.name else i.name end as name, o.balance, o.segment, i.version
+from stored o full join incoming i on o.id = i.id""")
 ORACLE["good_base_depth"] = sql("reads", """
 , cells as (select s, contig, start, mapq, baseq, unnest(range(0, "end" - start + 1)) as i from reads where mapq >= 20),
 good as (select s, contig, start + i as pos from cells where i % 31 <> 0 and (baseq + i * i) % 41 >= 20),

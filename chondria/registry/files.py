@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chondria.operators import annotate as A, matrix as M, reads as R
 from chondria.operators.storage import scratch_path as folder
-from chondria.plans import growth
+from chondria.plans import documents, growth
 from chondria.plans.lists import lists_job
 from chondria.registry import queries as Q
 from chondria.registry.inputs import derived, load
@@ -228,6 +228,18 @@ def file_documents(spark, sf):
     return spark.read.text(path)
 
 
+@query
+def doc_store_merge(spark, sf):
+    """A stored document table after two merges: orders as versions of their customer's document, then all of those again, which changes nothing."""
+    root = folder(spark, "store")
+    documents.write_store(derived(spark, sf, "stored"), root, "id", buckets=16)
+    versions = load(spark, sf, "orders").select((F.col("o_custkey") * 2).alias("id"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority")).alias("name"),
+                                               F.col("o_orderkey").alias("version"))
+    for operation in ("upsert", "update"):
+        documents.merge_store(spark, root, versions, "id", operation, order="version")
+    return documents.read_store(spark, root)
+
+
 @query
 def good_base_depth(spark, sf):
     """Depth over bases whose own quality is good; the quality falls and rises along a read."""
