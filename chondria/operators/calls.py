@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chondria import schema
+from chondria.operators.circular import arcs, wrapped
 from chondria.operators.intervals import covered
 from chondria.operators.joins import lookup_join, positions
 
@@ -75,9 +76,11 @@ def applied_contamination(reported: Column, external: Column) -> Column:
     return F.greatest(F.coalesce(external, reported), reported)
 
 
-def spans_listed(records: DataFrame, intervals: DataFrame, name: str) -> DataFrame:
+def spans_listed(records: DataFrame, intervals: DataFrame, name: str, circular: int | None = None) -> DataFrame:
     """Boolean ``name``: whether the reference allele of a record covers a base of the 0-based half-open intervals.
 
+    With ``circular``, the length of a contig without ends, alleles and intervals that go beyond it go on from its first base.
+
     Works on distinct ``(contig, pos, length of ref)``, each expanded over the bases of its allele and looked up by aligned
     pieces, so that a long interval is never taken apart into bases; the answer is joined back as a lookup.
     """
@@ -85,6 +88,8 @@ def spans_listed(records: DataFrame, intervals: DataFrame, name: str) -> DataFra
              .dropna().distinct().withColumn("_to", F.col("_at") + F.col("_len") - 1))
     bases = positions(spans, "_at", "_to", ["contig", "_at", "_len"])
     listed = intervals.select("contig", (F.col("start") + 1).cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    if circular is not None:
+        bases, listed = bases.withColumn("pos", wrapped(F.col("pos"), circular)), arcs(listed, circular)
     hit = covered(bases, listed, ["contig"]).select("contig", "_at", "_len").distinct().withColumn(name, F.lit(True))
     marked = (records.withColumn("_at", F.col("pos").cast("long"))
               .withColumn("_len", F.length("ref").cast("long")))
@@ -92,9 +97,9 @@ def spans_listed(records: DataFrame, intervals: DataFrame, name: str) -> DataFra
             .withColumn(name, F.coalesce(name, F.lit(False))).drop("_at", "_len"))
 
 
-def mask_sites(records: DataFrame, mask: DataFrame, filter_name: str = "blacklisted_site") -> DataFrame:
-    """Adds ``filter_name`` to the filters of records that overlap a mask interval."""
-    marked = spans_listed(records, mask, "_masked")
+def mask_sites(records: DataFrame, mask: DataFrame, filter_name: str = "blacklisted_site", circular: int | None = None) -> DataFrame:
+    """Adds ``filter_name`` to the filters of records that overlap a mask interval; ``circular`` as in :func:`spans_listed`."""
+    marked = spans_listed(records, mask, "_masked", circular)
     return (marked.withColumn("filters", _with_name(F.col("filters"), filter_name, F.col("_masked")))
             .drop("_masked"))
 

@@ -127,12 +127,12 @@ def site_states(calls: DataFrame, coverage: DataFrame, n_samples: Column, thresh
                                                   (n_samples - F.col("n_called") - ref).alias("n_no_call"))
 
 
-def flag_artifacts(sites: DataFrame, artifact_sites: DataFrame) -> DataFrame:
+def flag_artifacts(sites: DataFrame, artifact_sites: DataFrame, circular: int | None = None) -> DataFrame:
     """``filters`` of each site: ``artifact_prone_site`` when its reference allele covers a listed base, else PASS.
 
-    ``artifact_sites`` has ``contig, start, end`` of a BED table on the contig of ``sites``.
+    ``artifact_sites`` has ``contig, start, end`` of a BED table on the contig of ``sites``; ``circular`` as in :func:`spans_listed`.
     """
-    marked = spans_listed(sites, artifact_sites, "_artifact")
+    marked = spans_listed(sites, artifact_sites, "_artifact", circular)
     name = F.when(F.col("_artifact"), "artifact_prone_site").otherwise("PASS")
     return marked.withColumn("filters", F.array(name)).drop("_artifact")
 

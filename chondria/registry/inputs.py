@@ -183,6 +183,12 @@ select 'R' || cast(event_id as string) as qname, event_type as library, event_ty
        cast(floor(value * 10) as bigint) as sum_qual
 from events"""
 
+# Alignments around the whole contig; those near its end go on over the origin, so their end lies beyond the contig.
+SQL["ring_reads"] = """
+select 'R' || cast(event_id as string) as qname, event_type as s, 'chrM' as contig, cast((event_id * 37) % 16569 + 1 as int) as start,
+       cast((event_id * 37) % 16569 + 150 + event_id % 50 as int) as "end", cast(event_id % 61 as int) as mapq, cast((event_id * 7) % 41 as int) as baseq
+from events"""
+
 # Two reads per template, one per event; names carry tile, x and y. Fragments have copies in either order of mates; some mates are unplaced, on
 # another contig or not there, some places of lone reads have a pair, and some reads have a secondary alignment.
 _READ = """

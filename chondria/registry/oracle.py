@@ -6,6 +6,7 @@ from chondria.registry.inputs import SQL
 from chondria.registry.queries import FAMILIES, MAX_FREQ, TARGETS
 
 ORACLE: dict[str, str] = {}
+LENGTH = 16569
 
 
 def texts(values) -> str:
@@ -257,6 +258,20 @@ from (select distinct s, contig from reads where mapq >= 20 and baseq >= 20) g
 join ({_TARGETS}) t on t.contig = g.contig
 left join bases b on b.s = g.s and b.contig = g.contig and b.pos = t.pos"""
 
+STEPS["ring_good"] = 'select * from ring_reads where mapq >= 20 and baseq >= 20'
+STEPS["ring_bases"] = f"""
+select s, contig, (base - 1) % {LENGTH} + 1 as pos, count(*) as depth
+from (select s, contig, unnest(range(start, "end" + 1)) as base from ring_good) group by all"""
+STEPS["ring_depth"] = f"""
+select g.s, g.contig, t.pos, coalesce(b.depth, 0) as depth from (select distinct s, contig from ring_good) g
+cross join (select unnest(range(1, {LENGTH + 1})) as pos) t left join ring_bases b on b.s = g.s and b.contig = g.contig and b.pos = t.pos"""
+# A run's name is the number of changes before it; the run at the end takes the name of the first one where the depth doesn't change over the origin.
+STEPS["ring_changes"] = """
+select *, case when depth = lag(depth, 1, -1) over (partition by s, contig order by pos) then 0 else 1 end as new from ring_depth"""
+STEPS["ring_runs"] = """
+select s, contig, run, any_value(depth) as depth, min(pos) as a, max(pos) as b
+from (select *, sum(new) over (partition by s, contig order by pos) as run from ring_changes) group by s, contig, run"""
+
 
 def sql(steps: str, body: str) -> str:
     """``body`` after the named inputs and steps, in the order given."""
@@ -290,6 +305,12 @@ _COUNTS = """select pos, ref, alt, count(*) filter (HL > 0) as n_called, count(*
        (select n from n) - count(*) filter (HL is not null) as n_no_call from cells group by pos, ref, alt"""
 ORACLE["homref_state_counts"] = sql(_MATRIX + " n", _COUNTS)
 ORACLE["artifact_flag"] = sql("calls bed artifact flagged", "select * from flagged")
+ORACLE["circular_artifact_flag"] = sql("calls bed", f"""
+select 'MT' as contig, pos, ref, alt,
+       case when exists (select 1 from (select distinct (unnest(range(start, "end"))) % {LENGTH} + 1 as base from bed) l
+                         where (base - pos + {LENGTH}) % {LENGTH} < length(ref))
+            then 'artifact_prone_site' else 'PASS' end as filters
+from (select distinct pos, ref, alt from calls)""")
 ORACLE["locus_mt"] = sql("coverage", "select s, 'MT' as contig, pos, coverage from coverage")
 ORACLE["matrix_blocks"] = sql("calls", f"""
 select pos, ref, alt, substr(s, 2)::bigint // {256} as block,
@@ -552,6 +573,13 @@ select s, count(*) as territory, avg(least(depth, 3)) as mean_coverage, median(l
        {', '.join(f"sum(exc_{n})::double / ({_ALL})::double as exc_{n}" for n in _LOST)}, sum(greatest(depth - 3, 0))::double / ({_ALL})::double as exc_capped,
        (({_ALL}) - sum(least(depth, 3)))::double / ({_ALL})::double as exc_total from template_piles group by s""")
 ORACLE["per_base_depth"] = sql("reads bases depth", "select s, contig, pos, least(depth, 4) as depth from depth")
+_RING = "ring_reads ring_good ring_bases ring_depth"
+ORACLE["circular_depth"] = sql(_RING, "select s, contig, pos, depth from ring_depth")
+ORACLE["circular_depth_runs"] = sql(f"{_RING} ring_changes ring_runs", f"""
+select t.s, t.contig, t.depth, t.a as start, t.b + coalesce(h.b, 0) as "end"
+from ring_runs t left join ring_runs h on t.b = {LENGTH} and t.a > 1 and h.a = 1 and h.s = t.s and h.contig = t.contig and h.depth = t.depth
+where not (t.a = 1 and t.b < {LENGTH} and exists (
+    select 1 from ring_runs e where e.b = {LENGTH} and e.s = t.s and e.contig = t.contig and e.depth = t.depth))""")
 ORACLE["wgs_summary"] = sql("reads bases depth", """
 select s, avg(depth) as mean_coverage, median(depth) as median_coverage, floor(avg(depth))::bigint as mean_coverage_floor
 from depth group by s""")

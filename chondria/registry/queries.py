@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chondria import schema
 from chondria.functions import consequence as C, lof, names, variant as V
-from chondria.operators import annotate as A, blocks as B, calls as L, copynumber as N, documents as D, matrix as M, reads as R, templates
+from chondria.operators import annotate as A, blocks as B, calls as L, circular, copynumber as N, documents as D, matrix as M, reads as R, templates
 from chondria.operators.storage import settled
 from chondria.operators import sheet as S
 from chondria.plans.lists import cohort_prefilter, final_list, single_prefilter
@@ -109,6 +109,11 @@ def artifact_flag(spark, sf):
     return M.flag_artifacts(_sites(spark, sf), derived(spark, sf, "bed")).withColumn("filters", _names("filters"))
 
 
+@query
+def circular_artifact_flag(spark, sf):
+    return M.flag_artifacts(_sites(spark, sf), derived(spark, sf, "bed"), schema.CONTIG_LENGTH).withColumn("filters", _names("filters"))
+
+
 @query
 def locus_mt(spark, sf):
     contig, pos = M.as_mt(F.col("pos"))
@@ -749,6 +754,21 @@ def wgs_summary(spark, sf):
     return R.coverage_summary(_depth(spark, sf, cap=100000))
 
 
+def _ring_depth(spark, sf):
+    whole = spark.createDataFrame([("chrM", 1, schema.CONTIG_LENGTH)], "contig string, start int, end int")
+    return circular.circular_depth(R.good_quality(derived(spark, sf, "ring_reads")), whole)
+
+
+@query
+def circular_depth(spark, sf):
+    return _ring_depth(spark, sf)
+
+
+@query
+def circular_depth_runs(spark, sf):
+    return circular.depth_runs(_ring_depth(spark, sf))
+
+
 def _template_depth(spark, sf, cap=None):
     width = F.col("end") - F.col("start")
     quals = F.transform(F.sequence(F.lit(0), width), lambda i: F.when(i % 31 != 0, (F.col("baseq") + i * i) % 41))
