@@ -88,14 +88,27 @@ def resolve_hom_refs(calls: DataFrame, coverage: DataFrame, threshold: int = 100
                      sites: DataFrame | None = None) -> DataFrame:
     """Cells of the called sites: called, reference or no call, from calls and coverage ``(s, pos, coverage)``.
 
-    Coverage rows are matched with the sites at their position. The result holds each cell with a call or a coverage
-    row once. ``sites``, a stored table, saves finding the sites of the calls and moving the coverage to them.
+    Calls and coverage meet once per sample and position, each call list as short as the alleles there; the sites of the position are added
+    inside the row. Tables stored in buckets by sample and position (:mod:`chondria.sinks.colocated`) meet without an exchange. The result holds
+    each cell with a call or a coverage row once. ``sites``, a stored table, saves finding the sites of the calls, and is broadcast while it is small.
     """
     found = calls.select(*SITE).distinct() if sites is None else sites.select(*SITE)
-    covered = lookup_join(coverage.select("s", "pos", "coverage"), found, ["pos"], "inner")
-    cells = calls.join(covered, ["s", *SITE], "full")
-    return cells.select("s", *SITE, "MQ", "TLOD",
-                        *resolved(F.col("HL"), F.col("DP"), F.col("FT"), F.col("coverage"), threshold))
+    values = ["MQ", "TLOD", "HL", "DP", "FT"]
+    own = calls.groupBy("s", "pos").agg(F.collect_list(F.struct("ref", "alt", *values)).alias("_calls"))
+    at = found.groupBy("pos").agg(F.collect_set(F.struct("ref", "alt")).alias("_sites"))
+    met = own.join(coverage.select("s", "pos", "coverage", F.lit(True).alias("_deep")), ["s", "pos"], "full")
+    called = F.coalesce("_calls", F.array())
+
+    def open_site(site: Column) -> Column:
+        return ~F.exists(called, lambda c: c["ref"].eqNullSafe(site["ref"]) & c["alt"].eqNullSafe(site["alt"]))
+    kinds = {f.name: f.dataType for f in calls.schema}
+    empty = [F.lit(None).cast(kinds[v]).alias(v) for v in values]
+    rest = F.when(F.col("_deep"), F.transform(F.filter("_sites", open_site), lambda x: F.struct(x["ref"], x["alt"], *empty)))
+    cells = F.concat(called, F.coalesce(rest, F.array()))
+    rows = lookup_join(met, at, ["pos"]).select("s", "pos", "coverage", F.inline_outer(cells)).toDF("s", "pos", "coverage", "ref", "alt", *values)
+    # The outer form, as the plain one evaluates the array a second time; rows without a cell have neither allele.
+    rows = rows.filter("ref is not null or alt is not null")
+    return rows.select("s", *SITE, "MQ", "TLOD", *resolved(F.col("HL"), F.col("DP"), F.col("FT"), F.col("coverage"), threshold))
 
 
 def cell_state(hl: Column) -> Column:

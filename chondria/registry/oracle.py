@@ -300,6 +300,7 @@ ORACLE["entry_projection"] = sql("calls entries", "select * from entries")
 ORACLE["ft_clean"] = sql("calls clean", "select s, pos, ref, alt, FT from clean")
 ORACLE["homref_resolve"] = sql(_MATRIX, """
 select *, case when HL is null then 'no_call' when HL > 0 then 'called' else 'hom_ref' end as state from cells""")
+ORACLE["homref_colocated"] = ORACLE["homref_resolve"]
 ORACLE["homref_blocks"] = sql(_MATRIX, "select s, pos, ref, alt, HL, DP, FT from cells where HL is not null or DP is not null")
 _COUNTS = """select pos, ref, alt, count(*) filter (HL > 0) as n_called, count(*) filter (HL <= 0) as n_hom_ref,
        (select n from n) - count(*) filter (HL is not null) as n_no_call from cells group by pos, ref, alt"""

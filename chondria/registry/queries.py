@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from chondria import schema
 from chondria.functions import consequence as C, lof, names, variant as V
 from chondria.operators import annotate as A, blocks as B, calls as L, circular, copynumber as N, documents as D, matrix as M, reads as R, templates
-from chondria.operators.storage import settled
+from chondria.operators.storage import scratch_path, settled
 from chondria.operators import sheet as S
 from chondria.plans.lists import cohort_prefilter, final_list, single_prefilter
 from chondria.plans.quality import reported_contamination
 from chondria.registry.inputs import TRANSCRIPT_FIELDS, derived, load
+from chondria.sinks.colocated import write_colocated
 from chondria.sinks.tables import coverage_lines, pivoted_coverage
 from chondria.sinks.vcf import body_lines, proband_lines
 
@@ -95,6 +96,15 @@ def homref_resolve(spark, sf):
     return _resolved(spark, sf).withColumn("FT", _names("FT")).withColumn("state", M.cell_state(F.col("HL")))
 
 
+@query
+def homref_colocated(spark, sf):
+    """The resolved matrix from calls and coverage that lie in the same buckets by sample and position."""
+    calls = write_colocated(_clean(_entries(spark, sf)), scratch_path(spark, "calls"), buckets=16)
+    coverage = write_colocated(derived(spark, sf, "coverage"), scratch_path(spark, "coverage"), buckets=16)
+    sites = settled(calls.select(*M.SITE).distinct(), "sites")
+    return M.resolve_hom_refs(calls, coverage, sites=sites).withColumn("FT", _names("FT")).withColumn("state", M.cell_state(F.col("HL")))
+
+
 @query
 def homref_state_counts(spark, sf):
     return M.state_counts(_resolved(spark, sf), _n_samples(spark, sf))

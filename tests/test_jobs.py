@@ -95,7 +95,7 @@ def test_reruns(spark, cohort_files):
         return cohort.coverage_job(spark, f"{root}/cov", f"{root}/cov.list", f"{root}/out", **options)
 
     def combine():
-        stored = sinks.read_matrix(spark, f"{root}/out/coverage_matrix")
+        stored = cohort.stored_coverage(spark, f"{root}/out")
         return cohort.combine_job(spark, f"{root}/calls", f"{root}/calls.list", stored, f"{root}/sites.bed", f"{root}/vcf")
     want = coverage().collect()
     assert combine().count() == 8
