@@ -6,7 +6,7 @@ from chondria.operators import matrix
 from chondria.plans.stages import fingerprint, output, stage
 from chondria.sinks.colocated import BUCKETS, read_colocated, write_colocated
 from chondria.sinks.tables import read_matrix, write_matrix, write_tsv, write_wide_coverage
-from chondria.sinks.vcf import body_lines, write_vcf
+from chondria.sinks.vcf import write_cohort_vcf
 from chondria.sources.calls import read_calls
 from chondria.sources.coverage import read_coverage
 from chondria.sources.reports import read_bed
@@ -67,6 +67,6 @@ def combine_job(spark: SparkSession, calls_path: str, manifest_path: str, covera
     output(spark, f"{out}/matrix",
            lambda path: write_matrix(matrix.resolve_hom_refs(calls, coverage, threshold, sites), path, overwrite=True), key, overwrite)
     cells = read_matrix(spark, f"{out}/matrix")
-    lines = body_lines(cells.withColumn("contig", F.lit("MT")), sites, samples)
-    output(spark, f"{out}/combined_vcf", lambda path: write_vcf(lines, samples, path), key, overwrite)
+    whole = cells.withColumn("contig", F.lit("MT"))
+    output(spark, f"{out}/combined_vcf", lambda path: write_cohort_vcf(whole, sites, samples, path), key, overwrite)
     return cells

@@ -1,5 +1,6 @@
 """Check SQL of the file queries: what must come back is what the tables say. Constants are written out."""
 
+from chondria.registry.inputs import SQL
 from chondria.registry.oracle import ORACLE, sql
 from chondria.schema import SINGLE_LIST
 
@@ -42,6 +43,9 @@ _LISTED = "select " + ", ".join(f'"{c}"' if c in _NUMBERS else f"nullif(\"{c}\",
 ORACLE["file_variant_lists"] = f"""
 {_LISTED}, 'variant_list_prefiltering' as list from ({ORACLE['prefilter_single']})
 union all {_LISTED}, 'variant_list' as list from ({ORACLE['final_single']})"""
+ORACLE["file_wide_coverage"] = f"""
+select row_number() over (order by pos) as row_no, line as value from ({ORACLE['coverage_wide_lines']})
+union all select 0 as row_no, 'pos' || chr(9) || string_agg(s, chr(9) order by sample_idx) as value from ({SQL['families']})"""
 ORACLE["file_probands"] = f"""
 select row_number() over (order by s) - 1 as row_no, s as value from ({ORACLE['proband_set']})"""
 ORACLE["doc_store_merge"] = sql("stored", """

@@ -10,7 +10,7 @@ from chondria.registry import queries as Q
 from chondria.registry.inputs import derived, load
 from chondria.registry.queries import query
 from chondria.sinks import tables as sinks
-from chondria.sinks.vcf import write_vcf
+from chondria.sinks.vcf import write_cohort_vcf
 from chondria.sources import calls, coverage, files, reports, tables
 
 HEADER = "\t".join(["#" + calls.FIXED[0], *calls.FIXED[1:]])
@@ -136,11 +136,19 @@ def file_calls(spark, sf):
 @query
 def file_cohort_vcf(spark, sf):
     path = folder(spark, "vcf")
-    write_vcf(Q.vcf_lines(spark, sf), derived(spark, sf, "families"), path)
+    write_cohort_vcf(*Q.family_matrix(spark, sf), path)
     rows = A.long_records(*calls.read_annotated(spark, path))
     return A.format_by_tag(rows).select("SampleID", "POS", "REF", "ALT", "FILTER", "DP", "Heteroplasmy")
 
 
+@query
+def file_wide_coverage(spark, sf):
+    """The sample-level text table, read back as lines of its files in their order, with the number of the line."""
+    path = folder(spark, "wide")
+    sinks.write_wide_coverage(derived(spark, sf, "family_coverage"), derived(spark, sf, "families"), path)
+    return files.numbered_lines(spark, path)
+
+
 @query
 def file_bed(spark, sf):
     rows = derived(spark, sf, "bed").select(F.concat_ws(" ", "contig", "start", "end", F.lit("x")).alias("value"))

@@ -153,11 +153,15 @@ def matrix_densify(spark, sf):
     return B.densify(calls, calls, derived(spark, sf, "families"))
 
 
-def _family_lines(spark, sf):
+def family_matrix(spark, sf):
+    """Cells, sites with their filters, and samples of the cohort by families."""
     cells = _clean(_entries(spark, sf, "family_calls")).withColumn("contig", F.lit("MT"))
     sites = cells.select("contig", "pos", "ref", "alt").distinct()
-    sites = M.flag_artifacts(sites, derived(spark, sf, "bed"))
-    return body_lines(cells, sites, derived(spark, sf, "families"))
+    return cells, M.flag_artifacts(sites, derived(spark, sf, "bed")), derived(spark, sf, "families")
+
+
+def _family_lines(spark, sf):
+    return body_lines(*family_matrix(spark, sf))
 
 
 @query

@@ -1,8 +1,8 @@
 """Stored matrices and tab-separated outputs."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chondria.sinks.wide import header_cells, wide_rows
+from chondria.sinks.wide import block_texts, header_cells, ranged, wide_rows, write_ordered
 from chondria.sources.files import require_none
 
 
@@ -32,19 +32,26 @@ def pivoted_coverage(coverage: DataFrame, samples: list[str], key: str = "pos")
     return coverage.groupBy(key).pivot("s", samples).agg(F.first("coverage", ignorenulls=True))
 
 
+def _known(coverage: DataFrame, key: str) -> DataFrame:
+    return coverage.filter(F.col("coverage").isNotNull()).select(key, "s", F.col("coverage").cast("string").alias("cell"))
+
+
+def _coverage_line(key: str) -> Column:
+    return F.concat_ws("\t", F.col(key).cast("string"), "cells")
+
+
 def coverage_lines(coverage: DataFrame, samples: DataFrame, key: str = "pos") -> DataFrame:
     """``key, line``: position and the coverage of all samples in order of ``sample_idx``, ``NA`` where missing."""
-    known = coverage.filter(F.col("coverage").isNotNull()).select(key, "s", F.col("coverage").cast("string").alias("cell"))
-    wide = wide_rows(known, coverage.select(key).distinct(), samples, [key], "NA")
-    return wide.select(key, F.concat_ws("\t", F.col(key).cast("string"), "cells").alias("line"))
+    wide = wide_rows(_known(coverage, key), coverage.select(key).distinct(), samples, [key], "NA")
+    return wide.select(key, _coverage_line(key).alias("line"))
 
 
-def write_wide_coverage(coverage: DataFrame, samples: DataFrame, path: str, key: str = "pos") -> None:
-    """Sample-level text table in position order; works for any number of samples."""
-    head = header_cells(samples).select(F.lit(None).cast("int").alias(key),
-                                        F.concat(F.lit(key + "\t"), "cells").alias("line"))
-    rows = coverage_lines(coverage, samples, key)
-    (head.unionByName(rows).orderBy(F.asc_nulls_first(key)).select("line").write.mode("overwrite").text(path))
+def write_wide_coverage(coverage: DataFrame, samples: DataFrame, path: str, key: str = "pos", files: int | None = None) -> None:
+    """Sample-level text table in position order, the header in the first file; works for any number of samples."""
+    head = header_cells(samples).select(F.concat(F.lit(key + "\t"), "cells").alias("value"))
+    places = ranged(coverage.select(key).distinct(), [key], files)
+    texts = block_texts(_known(coverage, key), places.select(key), samples, [key], "NA")
+    write_ordered(head, texts, _coverage_line(key), [key], places, path)
 
 
 def write_report_metadata(reports: DataFrame, directory: str) -> None:
