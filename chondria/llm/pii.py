@@ -230,7 +230,9 @@ def linked(mentions: DataFrame) -> DataFrame:
     met = stored(met.select(*[c for c in met.columns if c != "givens"], given.alias("given")), "linked")
     told = met.where(F.col("given") & F.col("kind").isin(*TITLES)).groupBy(F.col("canon").alias("name"), F.col("kind").alias("gender")).agg(F.count(F.lit(1)).alias("n"))
     told = told.groupBy("name").agg(F.max(F.struct(~F.col("gender").startswith("neutral"), "n", "gender")).alias("most")).select("name", F.col("most.gender").alias("gender"))
-    met = met.join(told, F.col("given") & (F.col("canon") == F.col("name")), "left")
+    # only given names meet their genders; a piece without one has no key to be joined by
+    asked = met.where("given").join(told, F.col("canon") == F.col("name"), "left").drop("name")
+    met = asked.unionByName(met.where("not given").withColumn("gender", F.lit(None).cast("string")))
     kind = F.when(F.col("given"), F.coalesce("gender", F.lit("neutral_latin"))).when(name, F.lit(FAMILY)).otherwise(F.col("kind"))
     met = met.select("key", "at", "part", "value", kind.alias("kind"), "canon", "first")
     return met.withColumn("canon", F.when(F.col("value").isNotNull(), F.coalesce("canon", canonical(F.col("kind"), F.col("value")))))
@@ -269,8 +271,10 @@ def replaced(df: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "t
     mentions = stored(mentions.withColumn("kind", F.when(F.col("value").isNotNull(), kind)), "mentions")
     mentions = stored(linked(mentions), "mentions")
     fresh = assigned(mentions.where("value is not null").select("kind", "canon").distinct(), key).select(F.col("kind").alias("k"), F.col("canon").alias("c"), "fresh")
-    joined = mentions.join(fresh, (F.col("kind") == F.col("k")) & (F.col("canon") == F.col("c")), "left").select(
-        "key", "at", "part", "first", F.when(F.col("value").isNotNull(), rendered(F.col("kind"), F.col("value"), F.col("fresh"))).alias("value"))
+    met = mentions.where("value is not null").join(fresh, (F.col("kind") == F.col("k")) & (F.col("canon") == F.col("c"))).select(
+        "key", "at", "part", "first", rendered(F.col("kind"), F.col("value"), F.col("fresh")).alias("value"))
+    # the last piece of a text has no mention and goes past the join
+    joined = met.unionByName(mentions.where("value is null").select("key", "at", "part", "first", F.lit(None).cast("string").alias("value")))
     whole = joined.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "part", "value"))).alias("parts"), F.count_if(F.col("value").isNotNull() & F.col("first")).alias("n"))
     whole = whole.select("key", "n", F.array_join(F.transform("parts", lambda p: F.concat(F.coalesce(p["part"], F.lit("")), F.coalesce(p["value"], F.lit("")))), "").alias("clean"))
     met = held.select("row", "digest").join(whole, F.col("digest") == F.col("key"))

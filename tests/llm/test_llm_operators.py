@@ -533,3 +533,22 @@ def test_surrogates_odd(docs, odd):
     assert [r.n_entities for r in got.where("doc_id = 0").collect()] == [0]
     assert got.where("doc_id is null and text is null").count() == 1
     assert pii.replaced(docs([]), "k").collect() == []
+
+
+def test_pieces_without_a_mention_share_no_partition(docs, monkeypatch):
+    """The pieces that are joined by an entity all have one: none is sent to the partition of missing keys."""
+    table = [(i, f"Write to user{i}@mail{i % 7}.example or call Mrs Julia Sand, " + "then rest. " * 20) for i in range(400)]
+    seen = {}
+    real = pii.stored
+
+    def kept(df, name):
+        seen.setdefault(name, []).append(out := real(df, name))
+        return out
+    monkeypatch.setattr(pii, "stored", kept)
+    got = pii.replaced(docs(table), "k")
+    assert got.count() == 400 and got.where("n_entities <> 2").count() == 0
+    assert got.where("text not like '%then rest. ' or text like '%Sand%'").count() == 0
+    assert seen["mentions"][-1].where("value is null").count() == 400
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert joins == []
