@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chondria.llm import bpe, exact, mixing, rules, simhash
-from chondria.llm.common import importable, new_path
+from chondria.llm.common import importable, new_path, row_of, stored, unpacked
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,9 +20,19 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by fingerprints, the document with the smallest id."""
-    gone = simhash.near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")
+    """Of texts linked by fingerprints, the row with the smallest id.
+
+    Rows are told apart by id and text, so one whose id is that of a dropped row isn't lost with it. A NULL id is larger than any; rows of one id follow the
+    digests of their texts. Of rows alike in id and text the smallest one stays. NULL text counts as empty.
+    """
+    # no id but the row's own: a smallest one is that of one row
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest"))
+    found = stored(simhash.near_duplicates(docs.select(key.alias("key"), "text"), "key"), "near")
+    gone = found.where("key <> component_id").select("key").distinct()
+    again = found.where("key = component_id").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    rows = docs.select(row_of(docs, docs.columns), key.alias("key")).join(gone, "key", "left_anti")
+    one = rows.join(again, "key", "left_semi").groupBy("key").agg(F.min("row").alias("row"))
+    return rows.join(again, "key", "left_anti").unionByName(one).select(unpacked(docs.columns))
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
