@@ -1,7 +1,8 @@
 from pathlib import Path
 
 import pytest
-from samples import DOCS, ODD
+from pyspark.sql import functions as F
+from samples import DOCS, ODD, PROSE
 
 import corpus_pipeline
 import plain
@@ -89,3 +90,21 @@ def test_stages_on_odd_tables(spark):
             out = stage(spark, given, SF)
             assert k == len(corpus_pipeline.STAGES) - 1 or out.columns == given.columns, name
             assert out.count() <= 3 * len(table)
+
+
+def test_near_duplicates_go_by_row(spark):
+    """Clashing and missing ids: only the rows of a group go, and one of them stays."""
+    far = " ".join(f"other{i * i} thing{i}" for i in range(60))
+    rows = [(1, PROSE, "en", "a", 1), (1, far, "en", "a", 1), (2, PROSE.replace(" ", "\t"), "en", "a", 1), (2, " ".join(f"unlike{i}" for i in range(50)), "en", "b", 1),
+            (None, PROSE, "en", "a", 1), (None, "alone in the end " * 9, "en", "a", 1), (None, "alone in the end " * 9, "en", "a", 1),
+            (3, None, "en", "b", 1), (4, "", "en", None, 1), (5, "lonely words stand here", "en", "c", 2), (5, "lonely words stand here", "en", "c", 2),
+            (5, "lonely words stand here", "en", "d", 1)]
+    for extra in ((), ("key", "row")):
+        given = spark.createDataFrame(rows, DOCS)
+        for c in extra:
+            given = given.withColumn(c, F.lit("x"))
+        got = corpus_pipeline.near_dedup(spark, given, SF)
+        assert got.columns == given.columns
+        kept = sorted((tuple(r)[:5] for r in got.collect()), key=str)
+        want = [rows[0], rows[1], rows[3], rows[5], rows[7], rows[9]]
+        assert kept == sorted(want, key=str)
