@@ -67,3 +67,14 @@ def test_no_lines(spark, tmp_path):
     cells, sites, samples = cohort(spark)
     vcf.write_cohort_vcf(cells.limit(0), sites.limit(0), samples, str(tmp_path / "none"), [])
     assert [len(f) for f in files_of(tmp_path / "none")] == [1]
+
+
+def test_texts_grow_with_the_known_cells(spark):
+    """One sparse row a site: what is dealt is a text a known block and an end a site, and empty cells are in no text but between known ones of a block."""
+    sites = spark.createDataFrame([("MT", p, "A", "C") for p in range(1, 9)], "contig string, pos int, ref string, alt string")
+    cells = sites.filter("pos < 8").select(*vcf.SITE, F.concat(F.lit("s"), F.col("pos") * 10).alias("s"), F.lit("x").alias("cell"))
+    samples = spark.range(100).select(F.concat(F.lit("s"), "id").alias("s"), F.col("id").alias("sample_idx"))
+    texts = wide.block_texts(cells, sites, samples, vcf.SITE, "-", 8)
+    assert texts.count() == 7 + 8 and {r["_text"] for r in texts.collect()} == {"x", "-"}
+    got = {r["pos"]: r["cells"] for r in wide.wide_rows(cells, sites, samples, vcf.SITE, "-", 8).collect()}
+    assert got == {p: "\t".join("x" if p < 8 and i == p * 10 else "-" for i in range(100)) for p in range(1, 9)}
