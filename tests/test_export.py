@@ -3,6 +3,7 @@ import gzip
 
 from pyspark.sql import functions as F
 
+from chondria.operators import annotate
 from chondria.sinks import tables, vcf, wide
 
 CELL = "contig string, pos int, ref string, alt string, s string, DP int, HL double, MQ double, TLOD double, FT array<string>"
@@ -78,3 +79,25 @@ def test_texts_grow_with_the_known_cells(spark):
     assert texts.count() == 7 + 8 and {r["_text"] for r in texts.collect()} == {"x", "-"}
     got = {r["pos"]: r["cells"] for r in wide.wide_rows(cells, sites, samples, vcf.SITE, "-", 8).collect()}
     assert got == {p: "\t".join("x" if p < 8 and i == p * 10 else "-" for i in range(100)) for p in range(1, 9)}
+
+
+def test_lines_are_not_split_again_for_each_proband(spark):
+    """What makes the cells and the layout stands outside the lambdas over the probands, so it's evaluated once a line."""
+    line = "\t".join(["MT", "5", ".", "A", "C", ".", "PASS", ".", "DP:HL", "3:0.5", ".:.", "9:0.0"])
+    cells = F.split("line", "\t")
+    records = spark.createDataFrame([(line,), (line.replace("0.5", "0.0"),)], "line string").repartition(2).select(
+        *[F.get(cells, F.lit(i)).alias(n) for i, n in enumerate(["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"])],
+        F.slice(cells, F.lit(10), F.lit(3)).alias("cells"))
+    samples = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "idx int, SampleID string")
+    lines, _ = vcf.proband_lines(records, samples, spark.createDataFrame([("a",), ("c",)], "s string"))
+    assert [r["line"].split("\t")[9:] for r in lines.collect()] == [["3:0.5", "9:0.0"]]
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "get(slice(split(" not in plan and "split(split(line" not in plan and "split(get(split(" not in plan
+
+
+def test_known_cells_as_rows(spark):
+    rows = [("A:B", [".:.", "1:.", ".", None, ".:.:."]), ("A", [".", "x"]), (None, ["."])]
+    records = spark.createDataFrame(rows, "FORMAT string, cells array<string>")
+    samples = spark.createDataFrame([(i, f"s{i}") for i in range(5)], "idx int, SampleID string")
+    got = {known: {(r["FORMAT"], r["SampleID"], r["SAMPLE_DATA"]) for r in annotate.long_records(records, samples, known=known).collect()} for known in (True, False)}
+    assert got[False] - got[True] == {("A:B", "s0", ".:."), ("A", "s0", ".")} and got[True] <= got[False] and len(got[False]) == 8
