@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +95,41 @@ def test_written_again(spark, tmp_path):
     again = S.write_colocated(rows.limit(1).select("s", "pos", F.array("v").alias("odd name")), path, True, 2)
     assert again.columns == ["s", "pos", "odd name"] and [tuple(r) for r in again.collect()] == [("a", 1, [2])]
     assert S.write_colocated(rows.limit(0), path, True, 2).collect() == []
+
+
+def test_resolved_cells_become_rows_in_generated_code(spark, tmp_path):
+    calls, coverage = tables(spark, str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = M.resolve_hom_refs(calls, coverage)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert re.search(r"\*\(\d+\) Generate inline", plan)
+
+
+def test_resolved_cells_against_plain_rules(spark):
+    calls = [("a", 1, "A", "C", 7, None, 50.0, 9.5, ["PASS"]), ("a", 1, "A", "G", 8, 0.5, 50.0, None, None), ("b", 1, "A", None, 9, 0.0, None, 9.5, ["x"]),
+             ("b", 2, None, None, 9, 0.1, None, 9.5, ["x"]), ("c", 3, "T", "C", 400, 1.0, 50.0, 9.5, ["PASS"]), (None, 1, "A", "C", 3, None, None, None, [])]
+    deep = [("a", 1, 500), ("c", 1, 200), ("d", 1, None), ("d", 2, 900), ("d", 3, 100), ("d", 4, 900), (None, 1, 900)]
+    sites = {r[1:4] for r in calls}
+    want = []
+    for s, pos in {r[:2] for r in calls} | {r[:2] for r in deep}:
+        own = {r[2:4]: r[4:] for r in calls if r[:2] == (s, pos)}
+        at = [d[2] for d in deep if d[:2] == (s, pos) and s is not None]
+        for ref, alt in set(own) | ({t[1:] for t in sites if t[0] == pos} if at else set()):
+            if ref is None and alt is None:
+                continue
+            dp, hl, mq, tlod, ft = own.get((ref, alt), (None,) * 5)
+            depth = (at[0] if at else None) if hl is None else dp
+            if hl is not None:
+                state = (hl, dp, ft)
+            elif depth is None:
+                state = (None, None, None)
+            else:
+                state = (0.0, depth, ["PASS"]) if depth > 100 else (None, None, ft)
+            want.append((s, pos, ref, alt, mq, tlod, *state))
+    # A missing sample meets no coverage, so its coverage is a row of its own.
+    want += [(None, 1, ref, alt, None, None, 0.0, 900, ["PASS"]) for _, ref, alt in (t for t in sites if t[0] == 1)]
+    got = M.resolve_hom_refs(spark.createDataFrame(calls, CALL), spark.createDataFrame(deep, "s string, pos int, coverage int"))
+    got = [(r["s"], r["pos"], r["ref"], r["alt"], r["MQ"], r["TLOD"], r["HL"], r["DP"], r["FT"]) for r in got.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
