@@ -7,6 +7,7 @@ Keys are structs, so that a missing library or strand is a value like any other.
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chondria.operators.components import components
+from chondria.operators.storage import settled
 
 END = ["contig", "five_prime", "strand"]
 #: Two copies closer than this on both axes of a tile come from one cluster.
@@ -128,7 +129,10 @@ def optical_copies(found: DataFrame, pixels: int = PIXELS, pattern: str | None =
     width = pixels + 1
     points = (located(found.filter("b is not null"), pattern).select(
         F.struct("library", "a", "b", "lane", "tile", F.floor(F.col("x") / width).alias("gx"), F.floor(F.col("y") / width).alias("gy")).alias("cell"), "x", "y"))
+    # Stored, as both are used several times; templates would be found again for each.
+    points = settled(points, "points")
     cells = points.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.struct(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).alias("box"))
+    cells = settled(cells, "cells")
     joined = components(_links(cells, points, pixels))
     # A group of c cells and n points has n - 1 copies: n - 1 for each of its cells alone, and c - 1 more for what joins them.
     alone = cells.groupBy("cell.library").agg(F.sum(F.col("n") - 1).alias("optical"))

@@ -102,6 +102,15 @@ def brute_copies(points, pixels):
     return len(points) - len({find(i) for i in range(len(points))})
 
 
+def test_optical_copies_reads_its_templates_once(spark):
+    reads = [r for i in range(6) for r in pair(f"M:1:F:1:1101:{i * 7}:{i}", 10, 90, (5, 5))]
+    df = T.optical_copies(T.templates(spark.createDataFrame(reads, READ)))
+    assert df.first()["optical"] == 5
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "LocalTableScan" not in plan
+
+
+
 @pytest.mark.parametrize("pixels,spread,n", [(0, 6, 60), (1, 25, 80), (4, 60, 80), (25, 300, 120)])
 def test_optical_copies_on_a_small_flow_cell(spark, pixels, spread, n):
     rng = random.Random(pixels)
