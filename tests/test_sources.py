@@ -1,8 +1,12 @@
+import glob
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from chondria.operators import annotate as A
 from chondria.plans.lists import read_resources
+from chondria.registry import files as registry_files
 from chondria.sources import calls, coverage, files, reports, tables
 
 
@@ -167,3 +171,35 @@ def test_many_single_sample_files(spark, write, tmp_path):
     long = A.format_by_tag(A.long_records(records, samples, per_file=True))
     got = {(r["SampleID"], r["POS"]): r["Heteroplasmy"] for r in long.collect()}
     assert len(got) == 6 and (got[("X", "10")], got[("Y", "10")]) == (0.25, 0.75)
+
+
+def test_a_file_a_sample_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(f"S{i}", f"{i}\t1") for i in range(40)], "s string, value string").coalesce(1)
+    path = registry_files._by_sample(rows, str(tmp_path / "files"))
+    found = [re.search(r"/s=(S\d+)/part-(\d+)-", f).groups() for f in glob.glob(f"{path}/s=*/part-*")]
+    assert sorted(s for s, _ in found) == sorted(f"S{i}" for i in range(40))
+    assert len({task for _, task in found}) > 3
+    assert sorted(r["value"] for r in spark.read.text(f"{path}/s=*/part-*").collect()) == sorted(f"{i}\t1" for i in range(40))
+
+
+def test_names_of_a_cohort_are_broadcast_whatever_its_size(spark, write):
+    head = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ta\tb\n"
+    path = write("wide.vcf", "##x\n" + head + "".join(f"MT\t{p}\t.\tA\tG\t.\tPASS\t.\tDP:HL\t.:.\t{p}:0.5\n" for p in range(1, 9)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        long = A.format_by_tag(A.long_records(*calls.read_annotated(spark, path)))
+        got = [(r["POS"], r["SampleID"], r["DP"], r["Heteroplasmy"]) for r in long.collect()]
+        plan = long._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(got) == sorted([(str(p), "a", None, None) for p in range(1, 9)] + [(str(p), "b", str(p), 0.5) for p in range(1, 9)])
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_cells_of_dots_and_near_dots(spark):
+    data = [("GT:DP", ".:."), ("GT:DP", "."), ("GT:DP", "..:"), ("GT:DP", ".:"), ("GT:DP", ""), ("GT:DP", ":."), ("GT:DP", None), (None, ".:."),
+            ("GT:DP", ".:.."), ("GT:DP:HL", ".:.:0.5"), ("GT:AD:DP", ":".join("." * 80))]
+    got = A.format_by_tag(spark.createDataFrame(data, "FORMAT string, SAMPLE_DATA string"))
+    assert [(r["GT"], r["DP"], r["Heteroplasmy"]) for r in got.collect()] == [
+        (None, None, None), (None, None, None), ("..", "", None), (None, "", None), ("", None, None), ("", None, None), (None, None, None),
+        (None, None, None), (None, "..", None), (None, None, 0.5), (None, None, None)]
