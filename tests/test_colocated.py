@@ -4,7 +4,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from chondria.operators import matrix as M
+from chondria.operators import annotate, matrix as M
+from chondria.registry import QUERIES
+from chondria.registry.inputs import SCHEMAS
 from chondria.sinks import colocated as S
 from chondria.sinks.tables import read_matrix
 
@@ -133,3 +135,20 @@ def test_resolved_cells_against_plain_rules(spark):
     got = M.resolve_hom_refs(spark.createDataFrame(calls, CALL), spark.createDataFrame(deep, "s string, pos int, coverage int"))
     got = [(r["s"], r["pos"], r["ref"], r["alt"], r["MQ"], r["TLOD"], r["HL"], r["DP"], r["FT"]) for r in got.collect()]
     assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_arrays_that_become_rows_are_made_once(spark, tmp_path):
+    """Spark filters by the array of a plain generator first, so that array is made twice."""
+    lines = [(i, i % 3, i % 5, i % 7, float(i), 1.0, 0.1, 0.1, "ANR"[i % 3], "OF"[i % 2], None) for i in range(30)]
+    spark.createDataFrame(lines, SCHEMAS["lineitem"]).write.parquet(f"{tmp_path}/lineitem.parquet")
+    calls, coverage = tables(spark, str(tmp_path))
+    records = spark.createDataFrame([("1", "DP", ["7", "."]), ("2", "DP", []), ("3", "DP", None)], "POS string, FORMAT string, cells array<string>")
+    names = spark.createDataFrame([(0, "a"), (1, "b")], "idx int, SampleID string")
+    records = records.withColumn("cells", F.reverse("cells"))
+    long = [annotate.long_records(records, names, known=known) for known in (False, True)]
+    assert [sorted((r["POS"], r["SampleID"], r["SAMPLE_DATA"]) for r in df.collect()) for df in long] == [[("1", "a", "."), ("1", "b", "7")], [("1", "b", "7")]]
+    made = [QUERIES[n](spark, str(tmp_path)) for n in ("hgvs_format", "transcript_rank", "transcript_rank_noncoding")]
+    for df in [M.resolve_hom_refs(calls, coverage), *long, *made]:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter" in line and "size(" in line]
+        assert df.count() > 0
