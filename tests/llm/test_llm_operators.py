@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -15,7 +16,7 @@ from samples import LONG, PROSE
 from pyspark.sql import functions as F
 
 import plain
-from chondria.llm import bits, bpe, components, exact, mixing, pii, pitman, rules, simhash, suffix, toxicity, warc
+from chondria.llm import bits, bpe, common, components, exact, mixing, pii, pitman, rules, simhash, suffix, toxicity, warc
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -552,3 +553,13 @@ def test_pieces_without_a_mention_share_no_partition(docs, monkeypatch):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
     assert joins == []
+
+
+def test_scores_delete_the_tables_and_shuffles_they_have_used(spark, docs):
+    folder = Path(common.shared_folder(spark).removeprefix("file://"))
+    before, setting = {*folder.glob("*")}, spark.conf.get(common.CLEANUP, "false")
+    rows = [(i, f"red fox {i % 3} old boat", ("en", "de", None)[i % 3], "a") for i in range(40)]
+    got = pitman.scored(docs(rows), block_rows=16)
+    assert [p.name.split("-")[0] for p in {*folder.glob("*")} - before] == ["looked_up"]
+    assert spark.conf.get(common.CLEANUP, "false") == setting
+    assert sorted(r.doc_id for r in got.collect()) == [*range(40)]
