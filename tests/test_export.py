@@ -101,3 +101,21 @@ def test_known_cells_as_rows(spark):
     samples = spark.createDataFrame([(i, f"s{i}") for i in range(5)], "idx int, SampleID string")
     got = {known: {(r["FORMAT"], r["SampleID"], r["SAMPLE_DATA"]) for r in annotate.long_records(records, samples, known=known).collect()} for known in (True, False)}
     assert got[False] - got[True] == {("A:B", "s0", ".:."), ("A", "s0", ".")} and got[True] <= got[False] and len(got[False]) == 8
+
+
+def test_finished_lines_meet_nothing(spark):
+    """The filter of a site comes with its narrow rows, so no join, sort or exchange stands above the lines; of a site listed twice each has a line."""
+    cells, sites, samples = cohort(spark)
+    sites = sites.unionByName(sites.filter("pos = 1").withColumn("filters", F.array(F.lit("twice"))))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = vcf.body_lines(cells, sites, samples, 3)
+        rows = lines.collect()
+        plan = lines._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    top = plan[:plan.index("ObjectHashAggregate")]
+    assert not any(x in top for x in ("Join", "Sort", "Exchange"))
+    assert len(rows) == sites.count()
+    assert {r["line"].split("\t")[6] for r in rows if r["pos"] == 1} == {"twice", "PASS"} and {r["line"].split("\t")[6] for r in rows if r["pos"] % 5 == 0} == {"."}
