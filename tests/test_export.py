@@ -119,3 +119,26 @@ def test_finished_lines_meet_nothing(spark):
     assert not any(x in top for x in ("Join", "Sort", "Exchange"))
     assert len(rows) == sites.count()
     assert {r["line"].split("\t")[6] for r in rows if r["pos"] == 1} == {"twice", "PASS"} and {r["line"].split("\t")[6] for r in rows if r["pos"] % 5 == 0} == {"."}
+
+
+def test_cells_as_text(spark):
+    """Records whose cells are one text give what those with an array do; lines that no proband can be kept for aren't split."""
+    cells, sites, samples = cohort(spark, n_samples=40)
+    cells = cells.filter("DP % 11 = 0").withColumn("HL", F.when(F.col("DP") % 2 == 0, F.col("HL")))
+    lines = vcf.body_lines(cells, sites, samples, 16)
+    names = ["CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", "cells"]
+    text = lines.select(*[F.get(F.split("line", "\t", 10), F.lit(i)).alias(n) for i, n in enumerate(names)])
+    text = text.unionByName(text.limit(3).withColumn("FORMAT", F.lit("DP:XX:MQ:TLOD:FT"))).unionByName(text.limit(3).withColumn("cells", F.lit(None).cast("string")))
+    text = spark.createDataFrame(text.collect(), text.schema)
+    array = text.withColumn("cells", F.split("cells", "\t"))
+    named = samples.select(F.col("sample_idx").alias("idx"), F.col("s").alias("SampleID"))
+    ids = spark.createDataFrame([("s3",), ("s7",), ("s39",)], "s string")
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+    for known in (True, False):
+        assert rows(annotate.long_records(text, named, known=known)) == rows(annotate.long_records(array, named, known=known))
+    for by_level in (True, False):
+        got, want = (rows(vcf.proband_lines(r, named, ids, by_level)[0]) for r in (text, array))
+        assert got == want and 0 < len(got)
+    assert len(rows(vcf.proband_lines(text, named, ids)[0])) < lines.count()

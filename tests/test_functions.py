@@ -2,6 +2,7 @@ from hypothesis import given, settings, strategies as st
 import pytest
 from pyspark.sql import functions as F
 
+from chondria.functions.cells import known_cells
 from chondria.functions import consequence as C, lof, names, variant as V
 from chondria.functions.casts import if_known, number, text_or_null
 
@@ -164,3 +165,16 @@ def test_missing_values(spark):
     assert [r[0] for r in na] == [None, None, None, "0"]
     cond = spark.createDataFrame([(True,), (False,), (None,)], "c boolean")
     assert [r[0] for r in cond.select(if_known(F.col("c"), F.lit(1), F.lit(2))).collect()] == [1, 2, None]
+
+
+def test_known_cells(spark):
+    """Cells of a text are those of the text split whole: runs of empty cells, marks in the text, cells that go on after an empty one's text."""
+    e = ".:.:."
+    texts = [e, "", None, "\t".join([e] * 300), "\t".join([e] * 16 + ["1:2:x"] + [e] * 15), "\t".join(["1:2:x"] * 2000), "\t".join([e] * 40 + [e + "y"] + [e] * 40 + ["", ".", "z"]),
+             "\t".join([e] * 40 + ["a\x01"] + [e] * 40 + ["\x02"]), "\t".join(["5:.:."] + [e] * 1000 + ["6:.:."] + [e] * 33 + ["é:.:."])]
+    rows = spark.createDataFrame([(t, f) for t in texts for f in ("DP:HL:FT", "X", "", None)], "text string, layout string")
+    got = rows.select("text", "layout", known_cells(F.col("text"), F.col("layout")).alias("got")).collect()
+    for r in got:
+        empty = None if r["layout"] is None else ":".join("." if n else "" for n in r["layout"].split(":"))
+        want = None if r["text"] is None else [(i, c) for i, c in enumerate(r["text"].split("\t")) if c != empty]
+        assert (r["got"] and [tuple(x) for x in r["got"]]) == want or r["got"] == want == []
