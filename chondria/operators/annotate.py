@@ -6,13 +6,13 @@ single table with one row per variant, so that annotating costs one join however
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from chondria import schema
 from chondria.functions.casts import bound, number
 from chondria.functions.cells import empty_cell, known_cells, known_items
 from chondria.functions.variant import variant_key
-from chondria.operators.joins import keep_listed, lookup_join, prefixes
+from chondria.operators.joins import keep_listed, lookup_join, own_lookup, prefixes
 from chondria.sources.calls import info_value, tag_value
 
 KEY = ["ref", "pos", "alt"]
@@ -287,9 +287,9 @@ def haplogroup_status(exact_token: bool = False) -> Column:
             .when(F.coalesce(same, F.lit(False)), "haplo_var_match").otherwise("haplo_var_diff_haplo"))
 
 
-def annotated(rows: DataFrame, resources: list[DataFrame] | DataFrame) -> DataFrame:
-    """Rows with the population and clinical columns of the resource tables, and their haplogroup status if known."""
-    out = look_up(rows, resources).withColumns({**population_columns(), **clinical_columns()})
+def annotated(rows: DataFrame, resources: list[DataFrame] | DataFrame | None) -> DataFrame:
+    """Rows with the population and clinical columns of the resource tables, and their haplogroup status if known. Without tables the rows have looked them up."""
+    out = (rows if resources is None else look_up(rows, resources)).withColumns({**population_columns(), **clinical_columns()})
     if "Haplogroup" in out.columns:
         out = out.withColumn("Haplogroup_Var_Status", haplogroup_status())
     return out.drop(*RESOURCES)
@@ -297,17 +297,21 @@ def annotated(rows: DataFrame, resources: list[DataFrame] | DataFrame) -> DataFr
 
 # --- cohort counts, filters and order ---------------------------------------------------------------------
 
-def cohort_counts(rows: DataFrame, count_all_rows: bool = False) -> DataFrame:
+def cohort_counts(rows: DataFrame, count_all_rows: bool = False, resources: list[DataFrame] | DataFrame | None = None) -> DataFrame:
     """Adds ``variant_key``, ``in_cohort_AC`` per variant and ``Freq`` per sample.
 
-    Counts carriers, or every row with ``count_all_rows``. The counts combine on the map side and are joined back as lookups.
+    Counts carriers, or every row with ``count_all_rows``. The counts combine on the map side and are joined back as lookups. The ``resources`` of
+    :func:`look_up` are joined to the variants, so that the wide rows are shuffled once for both. The counts of the samples, two short values each, are
+    broadcast whatever their number: a shuffle for them would move the wide rows again.
     """
-    rows = rows.withColumn("variant_key", variant_key(F.col("POS"), F.col("REF"), F.col("ALT")))
+    key, site = variant_key(F.col("POS"), F.col("REF"), F.col("ALT")), ["POS", "REF", "ALT"]
     counted = F.lit(True) if count_all_rows else F.col("Heteroplasmy") > 0
-    variants = rows.groupBy("variant_key").agg(F.count_if(counted).alias("in_cohort_AC"))
+    # Alleles that hold the key's separator may share a key.
+    variants = rows.groupBy(*site).agg(F.count_if(counted).alias("_n")).withColumn("variant_key", key)
+    variants = variants.select(*site, F.sum("_n").over(Window.partitionBy("variant_key")).alias("in_cohort_AC"))
     samples = rows.groupBy("SampleID").agg(F.count_if(counted).alias("Freq"))
-    out = lookup_join(rows, variants, ["variant_key"])
-    return lookup_join(out, samples, ["SampleID"])
+    out = own_lookup(rows, variants if resources is None else look_up(variants, resources), site)
+    return own_lookup(out, F.broadcast(samples), ["SampleID"]).withColumn("variant_key", key)
 
 
 def completed(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -17,6 +17,23 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return both[0].join(both[1], [*keys, "_hash"], how).drop("_hash")
 
 
+def own_lookup(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """:func:`lookup_join` of ``left`` with a table that is counted from its own rows; missing keys find nothing.
+
+    Spark would filter the missing keys out of what ``right`` is counted from, but not out of ``left``, so that the same rows would be computed and shuffled
+    for each. Missing keys are filled in here and told apart by ``_gaps``, so both sides share them. Of a key only the filled one is shuffled.
+    """
+    def filled(side: DataFrame) -> DataFrame:
+        kinds, rest = dict(side.dtypes), [c for c in side.columns if c not in keys]
+        gaps = sum((F.col(k).isNull().cast("int") * 2 ** i for i, k in enumerate(keys)), F.lit(0))
+        return side.select(*[F.coalesce(k, F.lit("" if kinds[k] == "string" else 0).cast(kinds[k])).alias(k) for k in keys], gaps.alias("_gaps"),
+                           F.xxhash64(*keys).alias("_hash"), *rest)
+    found = [c for c in right.columns if c not in keys]
+    both = filled(left).join(filled(right), [*keys, "_gaps", "_hash"], "left")
+    return both.select(*[F.when(F.col("_gaps").bitwiseAND(2 ** i) == 0, F.col(k)).alias(k) for i, k in enumerate(keys)], *[c for c in left.columns if c not in keys],
+                       *[F.when(F.col("_gaps") == 0, F.col(c)).alias(c) for c in found])
+
+
 def keep_listed(left: DataFrame, ids: DataFrame, key: str, listed: bool = True) -> DataFrame:
     """Rows of ``left`` whose key is (or is not) in ``ids``."""
     return lookup_join(left, ids.select(key), [key], "left_semi" if listed else "left_anti")

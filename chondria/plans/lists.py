@@ -60,8 +60,9 @@ def cohort_prefilter(rows: DataFrame, resources: list[DataFrame] | DataFrame, pr
     parsed = A.format_by_tag(A.without_hard_filters(rows))
     if carriers_only:
         parsed = A.carriers(parsed)
-    parsed = A.consequence_fields(A.cohort_counts(parsed, count_all_rows), schema.CONSEQUENCE_COLUMNS)
-    return A.completed(A.annotated(parsed, resources), schema.COHORT_LIST)
+    # The fields in use are shorter than the texts they come from, which are not shuffled then.
+    parsed = A.cohort_counts(A.consequence_fields(parsed, schema.CONSEQUENCE_COLUMNS), count_all_rows, resources)
+    return A.completed(A.annotated(parsed, None), schema.COHORT_LIST)
 
 
 def final_list(prefilter: DataFrame, max_freq: int = 100, disease_first: bool = False) -> DataFrame:

@@ -364,3 +364,29 @@ def test_last_row_of_a_repeated_sample(spark):
 def test_no_proband_is_an_error(spark):
     with pytest.raises(ValueError, match="no proband"):
         A.probands(spark.createDataFrame([("S1", "control")], "s string, category string"))
+
+
+def test_cohort_counts_of_missing_keys(spark):
+    """Missing keys find no count, empty ones do; alleles that hold the separator share the count of their key; resources come with the counts."""
+    data = spark.createDataFrame([("a", "1", "A", "G", 0.5), (None, "1", "A", "G", 0.5), ("", None, "A", "G", 0.5), ("", "", "A", "G", 0.5), ("a", "2", "A:C", "G", 0.5), ("b", "2", "A", "C:G", 0.5)],
+                                 "SampleID string, POS string, REF string, ALT string, Heteroplasmy double")
+    table = spark.createDataFrame([("A", "1", "G", "x"), (None, None, None, "y"), ("A", None, "G", "z")], "ref string, pos string, alt string, t string").withColumn("gnomad", F.struct("t")).drop("t")
+    got = A.cohort_counts(data, resources=table)
+    values = sorted((r["SampleID"], r["POS"], r["REF"], r["variant_key"], r["in_cohort_AC"], r["Freq"], r["gnomad"] and r["gnomad"]["t"]) for r in got.fillna("-", ["SampleID", "POS"]).collect())
+    assert {v[3:] for v in values} == {("1:A:G", 2, 2, "x"), ("1:A:G", 2, None, "x"), (None, None, 2, None), (":A:G", 1, 2, None), ("2:A:C:G", 2, 2, None), ("2:A:C:G", 2, 1, None)}
+
+
+def test_cohort_rows_are_made_and_shuffled_once(spark):
+    """The counts share the exchange that the rows come from, and the rows meet counts and resources in one join by variant."""
+    rows = spark.range(4000).selectExpr("concat('s', id % 7) SampleID", "cast(id % 90 as string) POS", "'A' REF", "'G' ALT", "id % 3 / 10.0D Heteroplasmy", "id").groupBy(
+        "SampleID", "POS", "REF", "ALT").agg(F.max("Heteroplasmy").alias("Heteroplasmy"))
+    table = spark.range(90).selectExpr("'A' ref", "cast(id as string) pos", "'G' alt", "struct(id as t) gnomad").groupBy("ref", "pos", "alt").agg(F.first("gnomad").alias("gnomad"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = A.cohort_counts(rows, resources=table)
+        assert len(out.collect()) == rows.count()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("ReusedExchange") == 2
