@@ -563,3 +563,16 @@ def test_scores_delete_the_tables_and_shuffles_they_have_used(spark, docs):
     assert [p.name.split("-")[0] for p in {*folder.glob("*")} - before] == ["looked_up"]
     assert spark.conf.get(common.CLEANUP, "false") == setting
     assert sorted(r.doc_id for r in got.collect()) == [*range(40)]
+
+
+def test_scores_send_no_rows_from_shuffles_that_are_deleted(spark, docs, monkeypatch):
+    """toPandas() counts as ended before its last stage has run; while shuffle files go with the end of a job, what it reads is stored."""
+    kind, plans = type(spark.range(1)), []
+
+    def seen(df, to_pandas=kind.toPandas):
+        if spark.conf.get(common.CLEANUP, "false") == "true":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return to_pandas(df)
+    monkeypatch.setattr(kind, "toPandas", seen)
+    assert pitman.scored(docs([(i, f"red fox {i % 3}") for i in range(30)]), block_rows=16).count() == 30
+    assert plans and not any("Exchange" in plan for plan in plans)
