@@ -566,13 +566,13 @@ def test_scores_delete_the_tables_and_shuffles_they_have_used(spark, docs):
 
 
 def test_scores_send_no_rows_from_shuffles_that_are_deleted(spark, docs, monkeypatch):
-    """toPandas() counts as ended before its last stage has run; while shuffle files go with the end of a job, what it reads is stored."""
-    kind, plans = type(spark.range(1)), []
-
-    def seen(df, to_pandas=kind.toPandas):
-        if spark.conf.get(common.CLEANUP, "false") == "true":
-            plans.append(df._jdf.queryExecution().executedPlan().toString())
-        return to_pandas(df)
-    monkeypatch.setattr(kind, "toPandas", seen)
+    """toPandas() and toLocalIterator() count as ended before their last stage has run; while shuffle files go with the end of a job, what they read is stored."""
+    kind, plans = type(spark.range(1)), {"toPandas": [], "toLocalIterator": []}
+    for name, found in plans.items():
+        def seen(df, *args, sent=getattr(kind, name), found=found, **named):
+            if spark.conf.get(common.CLEANUP, "false") == "true":
+                found.append(df._jdf.queryExecution().executedPlan().toString())
+            return sent(df, *args, **named)
+        monkeypatch.setattr(kind, name, seen)
     assert pitman.scored(docs([(i, f"red fox {i % 3}") for i in range(30)]), block_rows=16).count() == 30
-    assert plans and not any("Exchange" in plan for plan in plans)
+    assert all(plans.values()) and not any("Exchange" in plan for found in plans.values() for plan in found)
